@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, quality_rules, simhash, winnowing
+from tidemark.llm import chat, language_id, mixing, packing, quality_model, quality_rules, simhash, warc, winnowing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_pairs(_read(spark, sf_dir, "documents"))
 
@@ -28,15 +32,45 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits")
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels.where(quality_model.crc_mod(3) != 1))
+    held_out = (quality_model.crc_mod(3) == 1).alias("held_out")
+    return quality_model.score(docs, model, "doc_id").select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_read(spark, sf_dir, "pages"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    same = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", same), (-1, 1, "assistant", same)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(d.unionByName(own))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(quality_model.crc_mod(4) != 2))
+    held_out = (quality_model.crc_mod(4) == 2).alias("held_out")
+    return language_id.predict(docs, model, "doc_id").select("doc_id", held_out, "lang_pred", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.sized(_read(spark, sf_dir, "documents")).select("doc_id", "size", mixing.single_source().alias("sources"))
     return mixing.mix(d).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_winnowing": op2_winnowing,
     "op4_simhash": op4_simhash,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_model": op6_quality_model,
+    "op7_warc": op7_warc,
+    "op8_chat": op8_chat,
+    "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
 }
 
