@@ -1,8 +1,89 @@
-"""The corpus pipeline (being built)."""
+"""The corpus pipeline: five stages from documents to packed windows of token ids.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return the columns of
+documents and carry out their decision: what a stage rejects is not in its result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing, packing, quality_model, simhash, substring_dedup
+from tidemark.llm.common import WORD, table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't predict to be of quality 0. It learns from all labelled
+    documents, up to its bounded sample."""
+    model = quality_model.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_model.score(docs, model, *COLUMNS).where("score >= 0.5").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that of the smallest doc_id.
+
+    Only ids are shuffled to find it; the texts meet them in joins on doc_id. Rows that repeat a whole
+    row are one document; rows without an id stay.
+    """
+    groups = table(simhash.simhash_groups(docs).select("doc_id", "component_id"), "near-groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    twice = table(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
+    if twice.isEmpty():
+        return kept
+    return kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").distinct()).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the paragraphs and passages that stand in an earlier document."""
+    return substring_dedup.dedup(docs.select(*COLUMNS))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, repeated as it repeats them.
+
+    A document of which taken is k times its size and r words more gives k whole rows and, if r is
+    over 0, one row of its first r words.
+    """
+    sizes = mixing.sized(docs).select("doc_id", "size", mixing.single_source().alias("sources"))
+    taken = mixing.mix(sizes).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("taken"), F.col("size"), F.col("sources")[0].alias("_source")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    d = docs.select(*COLUMNS).join(taken, same)
+    rounds = F.floor(F.col("taken") / F.col("size")).cast("int")
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    words = F.concat(F.array_repeat(F.lit(0), rounds), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
+    d = d.withColumn("_words", F.explode(words))
+    pieces = F.regexp_extract_all("text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1))  # each word with the spaces before it
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_words")), "")
+    text = F.when(F.col("_words") > 0, cut).otherwise(F.col("text"))
+    return d.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of near-equal windows; see packing.pack."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("SimHash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("mixing to target weights", mixture),
+    ("packing", packed),
+]
+
+#: SQL can express neither the classifier nor the fingerprints; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written as Parquet to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        docs = table(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language_id, mixing, packing, quality_model, quality_rules, simhash, warc, winnowing
+from tidemark.llm import chat, language_id, mixing, packing, quality_model, quality_rules, simhash, substring_dedup, warc, winnowing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_pairs(_read(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per removed span: the document, where the span is (words, or a whole line), a document
+    that keeps an earlier copy, and the cluster of documents that removals connect."""
+    found = substring_dedup.removals(_read(spark, sf_dir, "documents"))
+    return substring_dedup.clusters(found).select("doc_id", "start", "stop", "line", "kept_doc_id", "cluster_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = simhash.simhash_groups(_read(spark, sf_dir, "documents"))
     return d.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -65,6 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_winnowing": op2_winnowing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_model": op6_quality_model,
