@@ -1,0 +1,93 @@
+"""Writing items to a remote index in batches, with retries, from the tasks that hold them."""
+
+from __future__ import annotations
+
+import email.utils
+import time
+from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame
+
+MAX_REQUESTS = 20
+MAX_BYTES = 4 << 20
+ATTEMPTS = 5
+RETRYABLE = frozenset({429, 502, 503, 504})
+MAX_WAIT = 300
+RESULT = "item_id string, status int, attempts int, ok boolean"
+
+Send = Callable[[list[dict]], dict[str, tuple[int, str | None]]]
+
+
+def retry_after(value: str | None, now: datetime | None = None) -> float | None:
+    """Seconds of a Retry-After header, a number or an HTTP date; at most MAX_WAIT."""
+    if not value:
+        return None
+    if value.strip().isdigit():
+        return float(min(int(value), MAX_WAIT))
+    try:
+        at = email.utils.parsedate_to_datetime(value)
+    except (TypeError, ValueError):
+        return None
+    return max(0.0, min(MAX_WAIT, (at - (now or datetime.now(timezone.utc))).total_seconds()))
+
+
+def backoff(attempt: int) -> float:
+    return float(min(60, 2 ** (attempt + 1)))
+
+
+def batches(rows: Iterator[dict], most: int = MAX_REQUESTS, most_bytes: int = MAX_BYTES, size: str = "payload_bytes") -> Iterator[list[dict]]:
+    """Runs of rows within both limits; a row over the byte limit goes alone."""
+    own: list[dict] = []
+    total = 0
+    for row in rows:
+        n = row[size] or 0
+        if own and (len(own) == most or total + n > most_bytes):
+            yield own
+            own, total = [], 0
+        own.append(row)
+        total += n
+    if own:
+        yield own
+
+
+def send_batch(batch: list[dict], send: Send, delete: bool = False, sleep: Callable[[float], None] = time.sleep) -> list[tuple[str, int, int, bool]]:
+    """Sends a batch; only what may succeed later is sent again, after the longest wait asked for.
+
+    send maps item ids to (status, Retry-After); an id that it doesn't answer may be retried. A delete
+    of what is not there has succeeded.
+    """
+    out, left = [], {r["item_id"]: r for r in batch}
+    for attempt in range(1, ATTEMPTS + 1):
+        answers = send(list(left.values()))
+        again, waits = {}, []
+        for key, row in left.items():
+            status, wait = answers.get(key, (503, None))
+            if status in RETRYABLE and attempt < ATTEMPTS:
+                again[key] = row
+                waits.append(retry_after(wait))
+            else:
+                out.append((key, status, attempt, 200 <= status < 300 or (delete and status == 404)))
+        left = again
+        if not left:
+            break
+        asked = [w for w in waits if w is not None]
+        sleep(max(asked) if asked else backoff(attempt))
+    return out
+
+
+def write_items(items: DataFrame, connect: Callable[[], Send], writers: int = 4, delete: bool = False) -> DataFrame:
+    """Sends items (item_id, payload, payload_bytes) from at most writers tasks; one result row each.
+
+    A task that is run again sends its items again: upserts and deletes by id are idempotent.
+    """
+
+    def run(frames):
+        import pandas as pd
+
+        send = connect()
+        rows = (r for f in frames for r in f.to_dict("records"))
+        for batch in batches(rows):
+            yield pd.DataFrame(send_batch(batch, send, delete), columns=["item_id", "status", "attempts", "ok"])
+
+    return items.select("item_id", "payload", "payload_bytes").coalesce(writers).mapInPandas(run, RESULT)
