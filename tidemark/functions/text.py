@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Formats and patterns whose results other systems compare.
 TRUNCATION_MARK = "\n[content truncated at {cap} bytes of {size}]"
@@ -48,7 +49,7 @@ def truncate_utf8(text: Column, cap: int) -> Column:
     return F.struct(out.alias("content"), size.alias("original_bytes"), F.octet_length(out).alias("final_bytes"), (size > cap).alias("truncated"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """HTML character references to characters; Spark has no built-in for the named ones."""
     for s in batches:

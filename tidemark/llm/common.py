@@ -46,6 +46,15 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes a table that table() wrote and nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_tables(spark: SparkSession) -> None:
     """Deletes all tables that table() wrote; results that still read them are then lost."""
     jvm = spark.sparkContext._jvm

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,17 +27,29 @@ from tidemark.llm.common import table
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_ROWS = 768
+GROUP_ROWS = 384
 TOKENIZER = "word_bpe_49k.json"
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 1_000_000
 _MARK = "\x01"
+_STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[,.]")
+
+
+def _latin(text: str) -> bool:
+    """Of Latin-1 alone, whose letters the tokenizer lower-cases as str.lower does (its special tokens,
+    which begin with <|, aside)."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer's rules never look across a blank or a line feed, so the parts between those are
-    encoded on their own and their ids are kept, for at most _CACHE_WORDS short parts.
+    encoded on their own and their ids are kept. Of kept parts there are two generations of at most
+    _CACHE_WORDS each; once the younger is full it becomes the older, and what is met again moves on.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,24 +57,35 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[str, bytes] = {}
         self.kept: dict[str, bytes] = {"": b""}
+        self.stops = dict(zip(",.", self._ids([",", "."])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # ASCII letters are lower-cased by the tokenizer anyhow, but not in its special tokens
-        texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
+        texts = [t.lower() if _latin(t) and "<|" not in t else t for t in texts]
         parted = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {p for parts in parted for p in parts} - self.kept.keys()
-        if len(self.kept) + len(new) > _CACHE_WORDS:
-            self.kept = {"": b""}
-            new = {p for parts in parted for p in parts} - self.kept.keys()
-        self.kept.update(self._parts([p for p in new if _MARK not in p]))
-        self.kept.update((p, self._ids([p])[0]) for p in new if _MARK in p)
+        if len(self.kept) > _CACHE_WORDS:
+            self.older, self.kept = self.kept, {"": b""}
+        new = set(chain.from_iterable(parted)).difference(self.kept)
+        self._learn(new)
         out = [b"".join(map(self.kept.__getitem__, parts)) for parts in parted]
         for p in new:
             if len(p) > 64:
-                del self.kept[p]
+                self.kept.pop(p, None)
         return out
 
+    def _learn(self, new: set[str]) -> None:
+        """Parts of Latin letters and one stop have the ids of the letters, then those of the stop."""
+        kept, older = self.kept, self.older
+        kept.update([(p, older[p]) for p in new if p in older])
+        stopped = [p for p in new if p[-1:] in self.stops and p not in kept and _STOPPED.fullmatch(p)]
+        plain = new.union(p[:-1] for p in stopped).difference(kept, stopped)
+        kept.update([(p, older[p]) for p in plain if p in older])
+        plain = [p for p in plain if p not in kept]
+        kept.update(self._parts([p for p in plain if _MARK not in p]))
+        kept.update((p, self._ids([p])[0]) for p in plain if _MARK in p)
+        kept.update((p, kept[p[:-1]] + self.stops[p[-1]]) for p in stopped)
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 

@@ -11,6 +11,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.hashing import path_id
 from tidemark.functions.text import extension, file_name, folder, strip_markup
@@ -53,7 +54,7 @@ def office_text(content: bytes) -> str:
     return "\n".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _office(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def one(x: bytes | None) -> str | None:
         try:
