@@ -42,7 +42,8 @@ def route(spark, *ps, table="orders", f=en.route_tables):
         ([], ("live query", "no group", [])),
         ([policy(1), policy(2, kind=2, enabled=False)], ("index", None, ["staff"])),
         ([policy(1, table="ord*")], ("index", None, ["staff"])),
-        ([policy(1, table="or?ers")], ("live query", "no group", [])),
+        ([policy(1, table="or?ers")], ("index", None, ["staff"])),
+        ([policy(1, table="or?rs")], ("live query", "no group", [])),
         ([policy(1, table="ORDERS")], ("index", None, ["staff"])),
         ([policy(1, table="o.ders")], ("live query", "no group", [])),
         ([policy(1, table="customers", excluded=["table"])], ("index", None, ["staff"])),

@@ -50,7 +50,7 @@ def _quoted(value: Column) -> Column:
 
 def matches(value: Column, candidate: Column) -> Column:
     """Wildcard match without case; * is any run, ? one character."""
-    pattern = F.concat(F.lit("(?is)^"), F.regexp_replace(F.regexp_replace(_quoted(value), r"\*", ".*"), r"\?", "."), F.lit("$"))
+    pattern = F.concat(F.lit(r"(?is)\A"), F.regexp_replace(F.regexp_replace(_quoted(value), r"\*", ".*"), r"\?", "."), F.lit(r"\z"))
     return F.regexp_like(candidate, pattern)
 
 
@@ -59,7 +59,7 @@ def path_matches(value: Column, path: Column, recursive: Column) -> Column:
     trim = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
     body = F.regexp_replace(F.regexp_replace(_quoted(trim(value)), r"\*", "[^/]*"), r"\?", "[^/]")
     body = F.when(body == "/", F.when(recursive, F.lit("/.*")).otherwise(body)).otherwise(F.concat(body, F.when(recursive, "(/.*)?").otherwise("")))
-    return F.regexp_like(trim(path), F.concat(F.lit("^"), body, F.lit("$")))
+    return F.regexp_like(trim(path), F.concat(F.lit(r"\A"), body, F.lit(r"\z")))
 
 
 def _values(name: str) -> Column:
