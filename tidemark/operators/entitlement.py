@@ -48,18 +48,24 @@ def _quoted(value: Column) -> Column:
     return F.regexp_replace(value, r"([\\.\[\]{}()+^$|])", r"\\$1")
 
 
-def matches(value: Column, candidate: Column) -> Column:
-    """Wildcard match without case; * is any run, ? one character."""
-    pattern = F.concat(F.lit(r"(?is)\A"), F.regexp_replace(F.regexp_replace(_quoted(value), r"\*", ".*"), r"\?", "."), F.lit(r"\z"))
-    return F.regexp_like(candidate, pattern)
+def name_pattern(value: Column) -> Column:
+    """* is any run, ? one character."""
+    return F.regexp_replace(F.regexp_replace(_quoted(value), r"\*", ".*"), r"\?", ".")
 
 
-def path_matches(value: Column, path: Column, recursive: Column) -> Column:
-    """Case counts, * and ? stay within one path segment; recursive takes all below."""
-    trim = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
-    body = F.regexp_replace(F.regexp_replace(_quoted(trim(value)), r"\*", "[^/]*"), r"\?", "[^/]")
-    body = F.when(body == "/", F.when(recursive, F.lit("/.*")).otherwise(body)).otherwise(F.concat(body, F.when(recursive, "(/.*)?").otherwise("")))
-    return F.regexp_like(trim(path), F.concat(F.lit(r"\A"), body, F.lit(r"\z")))
+def _trimmed(path: Column) -> Column:
+    return F.when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))
+
+
+def path_pattern(value: Column, recursive: Column) -> Column:
+    """* and ? stay within one path segment; recursive takes all below."""
+    body = F.regexp_replace(F.regexp_replace(_quoted(_trimmed(value)), r"\*", "[^/]*"), r"\?", "[^/]")
+    return F.when(body == "/", F.when(recursive, F.lit("/.*")).otherwise(body)).otherwise(F.concat(body, F.when(recursive, "(/.*)?").otherwise("")))
+
+
+def _any_of(flags: str, patterns: Column) -> Column:
+    """One expression for all patterns of a policy, compiled once for many candidates; null without any."""
+    return F.when(F.size(patterns) > 0, F.concat(F.lit(f"{flags}\\A(?:"), F.array_join(patterns, "|"), F.lit(r")\z")))
 
 
 def _values(name: str) -> Column:
@@ -70,22 +76,33 @@ def _flag(name: str, flag: str) -> Column:
     return F.coalesce(F.col("resources")[name][flag], F.lit(False))
 
 
+def _patterns() -> list[Column]:
+    """What covers() and its kin read: a policy's expressions, and whether they name what is excluded."""
+    paths = lambda recursive: F.transform(_values("path"), lambda v: path_pattern(v, recursive))
+    names = [_any_of("(?is)", F.transform(_values(n), name_pattern)).alias(f"{n}_like") for n in ("database", "table")]
+    places = [_any_of("", paths(r)).alias(n) for n, r in (("path_like", _flag("path", "isRecursive")), ("path_wide", F.lit(True)), ("path_narrow", F.lit(False)))]
+    return [*names, *places, *(_flag(n, "isExcludes").alias(f"{n}_excludes") for n in ("database", "table", "path"))]
+
+
+def _hits(pattern: str, candidate: Column) -> Column:
+    return F.coalesce(F.regexp_like(candidate, F.col(pattern)), F.lit(False))
+
+
 def covers(name: str, candidate: Column) -> Column:
-    """Whether a policy's values of a resource take the candidate; excluded values take all others."""
-    hit = F.exists(_values(name), lambda v: matches(v, candidate))
-    return F.when((F.size(_values(name)) > 0) & _flag(name, "isExcludes"), ~hit).otherwise(hit)
+    """Whether a policy's values of a resource take the candidate, without case; excluded values take all others."""
+    hit = _hits(f"{name}_like", candidate)
+    return F.when(F.col(f"{name}_like").isNotNull() & F.col(f"{name}_excludes"), ~hit).otherwise(hit)
 
 
 def covers_path(path: Column) -> Column:
-    hit = F.exists(_values("path"), lambda v: path_matches(v, path, _flag("path", "isRecursive")))
-    return F.when((F.size(_values("path")) > 0) & _flag("path", "isExcludes"), ~hit).otherwise(hit)
+    """The same for paths, in which case counts."""
+    return covers("path", _trimmed(path))
 
 
 def covers_path_for_deny(path: Column) -> Column:
     """A deny reaches below its path, and an excluding one spares only the path itself."""
-    wide = F.exists(_values("path"), lambda v: path_matches(v, path, F.lit(True)))
-    narrow = F.exists(_values("path"), lambda v: path_matches(v, path, F.lit(False)))
-    return F.when(F.size(_values("path")) == 0, F.lit(False)).when(_flag("path", "isExcludes"), ~narrow).otherwise(wide)
+    wide, narrow = _hits("path_wide", _trimmed(path)), _hits("path_narrow", _trimmed(path))
+    return F.when(F.col("path_like").isNull(), F.lit(False)).when(F.col("path_excludes"), ~narrow).otherwise(wide)
 
 
 def column_scoped() -> Column:
@@ -114,7 +131,7 @@ def _prepared(policies: DataFrame) -> DataFrame:
     return policies.where(F.col("isEnabled")).select(
         "id", "resources", F.coalesce("policyType", F.lit(ACCESS)).alias("kind"), (F.size(_items("denyPolicyItems")) > 0).alias("denies"), (F.size(grants) > 0).alias("grants_read"),
         F.when(access, _groups(grants)).otherwise(none).alias("granted"), F.when(access, _groups(_items("allowExceptions"))).otherwise(none).alias("excepted"),
-        (access & F.coalesce("isDenyAllElse", F.lit(False))).alias("deny_all_else"), column_scoped().alias("column_scoped"),
+        (access & F.coalesce("isDenyAllElse", F.lit(False))).alias("deny_all_else"), column_scoped().alias("column_scoped"), *_patterns(),
     )
 
 
