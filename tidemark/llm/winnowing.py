@@ -18,6 +18,8 @@ WINDOW = 4
 PLACE_BITS = 24
 #: Rows that one slice of the doc_id order is meant to hold.
 SLICE_ROWS = 2000
+#: Slices at most; from then on they hold more rows each.
+MAX_SLICES = 50_000
 
 
 def gram_hashes(words: Column, k: int = K) -> Column:
@@ -71,16 +73,27 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return d.withColumn("prints", winnow(F.col("_grams"))).drop("_words", "_grams")
 
 
-def in_slices(docs: DataFrame, column: str = "doc_id") -> tuple[DataFrame, list[int]]:
-    """docs with slice, ranges of column of about SLICE_ROWS rows, and the slices' largest values.
+def slice_tops(ids: DataFrame) -> list[int]:
+    """The largest id of each slice of about SLICE_ROWS ids (at most MAX_SLICES slices), ascending.
 
-    The bounds are values of the column (percentiles of all rows), so each slice's largest is known.
+    They are values of the column (percentiles of all rows), so each slice's largest is known.
     """
-    n = docs.count()
-    parts = max(1, n // SLICE_ROWS)
+    parts = max(1, min(MAX_SLICES, ids.count() // SLICE_ROWS))
     at = [i / parts for i in range(1, parts + 1)]
-    tops = sorted(set(docs.agg(F.percentile_approx(column, at, 10 * max(1000, parts))).first()[0] or []))
-    return docs.withColumn("slice", F.lit(0) if not tops else F.size(F.filter(F.array(*map(F.lit, tops)), lambda x: x < F.col(column)))), tops
+    return sorted(set(ids.agg(F.percentile_approx("doc_id", at, 10 * max(1000, parts))).first()[0] or []))
+
+
+def _below(tops: list[int]) -> Column:
+    """How many of the ascending tops are below doc_id, by halving: as many steps as their number has bits."""
+    array = F.array(*(F.lit(t).cast("long") for t in tops)) if tops else F.array().cast("array<long>")
+    n = len(tops)
+
+    def step(found: Column, jump: Column) -> Column:
+        further = F.get(array, found + jump - 1) < F.col("doc_id")
+        return F.when((found + jump <= n) & F.coalesce(further, F.lit(False)), found + jump).otherwise(found)
+
+    jumps = F.array(*(F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1))) if n else F.array().cast("array<int>")
+    return F.aggregate(jumps, F.lit(0), step)
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
@@ -93,15 +106,13 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ids = d.select("doc_id").where("doc_id is not null")
-    _, tops = in_slices(ids)
+    tops = slice_tops(ids)
     # slices count down the order: 0 has the largest ids, nulls stand in a slice of their own after the last
-    array = F.array(*(F.lit(t).cast("long") for t in tops)) if tops else F.array().cast("array<long>")
-    below = F.size(F.filter(array, lambda x: x < F.col("doc_id")))
-    own = F.when(F.col("doc_id").isNull(), F.lit(len(tops))).otherwise(F.lit(len(tops) - 1) - below)
+    own = F.when(F.col("doc_id").isNull(), F.lit(len(tops))).otherwise(F.lit(len(tops) - 1) - _below(tops))
     d = d.withColumn("slice", own.cast("int"))
     has_null = bool(docs.where("doc_id is null").limit(1).count())
     n = len(tops) + has_null
-    first = F.col("doc_id").isin(tops) if tops else F.lit(False)
+    first = F.col("doc_id").isin(tops) if tops else F.lit(False)  # a set in the plan: one look-up
     if has_null:
         first = first | F.col("doc_id").isNull()
     before = F.pmod(F.col("slice") - 1, F.lit(max(1, n)))
