@@ -26,6 +26,8 @@ DATE = "2000-01-01T00:00:00Z"
 ARCHIVE_BYTES = 1 << 30
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Bytes of an archive that one task reads in a row, and of all archives for each task.
+STRETCH_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 0
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, digest string, archive string, offset long, length long"
@@ -133,8 +135,15 @@ def ranges(places: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int,
 
 
 def read_records(index: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records of the given rows of an index, with their payload if asked for."""
-    d = index.select("archive", "offset", "length").repartition("archive").sortWithinPartitions("archive", "offset")
+    """The records of the given rows of an index, with their payload if asked for.
+
+    Rows of the index are few bytes, whatever they point to, so stretches of the archives are dealt to
+    as many tasks as their bytes ask for.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(total // STRETCH_BYTES + 1, min(index.sparkSession.sparkContext.defaultParallelism, total // GAP_BYTES + 1))
+    d = index.select("archive", "offset", "length").repartition(tasks, "archive", F.floor(F.col("offset") / min(STRETCH_BYTES, total // tasks + 1)))
+    d = d.sortWithinPartitions("archive", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["url", "payload"] * payloads
