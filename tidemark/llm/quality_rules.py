@@ -24,7 +24,7 @@ def _rules() -> dict[str, Column]:
     return {
         "few_words": c("n_words") < 20,
         "repeated_windows": c("n_repeat_words") * 100 > c("n_words") * 30,
-        "many_symbols": c("n_symbols") * 2 > c("n_words"),
+        "many_symbols": c("n_symbols") * 10 > c("n_words"),
         "duplicate_lines": c("n_dup_lines") * 2 > c("n_lines"),
         "short_mean_word": c("word_chars") < c("n_words") * 2,
         "long_mean_word": c("word_chars") > c("n_words") * 20,
