@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language_id, mixing, packing, quality_model, quality_rules, simhash, substring_dedup, warc, winnowing
+from tidemark.llm import chat, language_id, mixing, oracles, packing, quality_model, quality_rules, simhash, substring_dedup, warc, winnowing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.SQL
