@@ -68,7 +68,8 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
     Alternating large-star and small-star rounds; each round is written to the shared folder, and
     the rounds end when the edges no longer change. Nothing but two numbers a round reaches the
     driver. Minima are aggregated before the shuffle, so a node with very many neighbours is
-    combined where its rows lie. Self-loops and repeated pairs are harmless; no pairs, no rows.
+    combined where its rows lie; they are written before the join, so that a skewed join can split
+    that node's rows. Self-loops and repeated pairs are harmless; no pairs, no rows.
     """
 
     def settle(df: DataFrame, k: int) -> tuple[DataFrame, tuple]:
@@ -79,7 +80,7 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
     e, seen = settle(edges.where("a <> b").select(pair.alias("p")).select("p.a", "p.b"), 0)
     for k in range(1, max_rounds + 1):
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-low-{k}")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = table(large, f"{name}-large-{k}")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
