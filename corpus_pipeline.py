@@ -47,13 +47,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, repeated as it repeats them.
 
-    A document of which taken is k times its size and r words more gives k whole rows and, if r is
-    over 0, one row of its first r words.
+    Each row is mixed by itself, also if it has no id or shares it. One of which taken is k times its
+    size and r words more gives k whole rows and, if r is over 0, one row of its first r words.
     """
-    sizes = mixing.sized(docs).select("doc_id", "size", mixing.single_source().alias("sources"))
-    taken = mixing.mix(sizes).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("taken"), F.col("size"), F.col("sources")[0].alias("_source")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    d = docs.select(*COLUMNS).join(taken, same)
+    rows = mixing.sized(docs.select(*COLUMNS)).withColumns({"_hash": F.xxhash64("text", "lang", "n_chars"), "_row": F.monotonically_increasing_id()})
+    rows = table(rows, "mix-rows")  # written, so that a row keeps its number
+    taken = mixing.mix(rows.select("doc_id", "size", mixing.single_source().alias("sources"), "_hash", "_row"), carry=("_hash", "_row"))
+    d = rows.join(taken.where("taken > 0").select("_row", "taken"), "_row")
     rounds = F.floor(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") % F.col("size")).cast("int")
     words = F.concat(F.array_repeat(F.lit(0), rounds), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))

@@ -74,3 +74,16 @@ def test_empty_documents(spark, corpus, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert c.run(spark, str(tmp_path)).count() == 0
+
+
+def test_mixture_rows_without_an_id(spark):
+    r = random.Random(4)
+    docs = [(None, prose(20 + i % 7, r), "en", "ab"[i % 2], 0) for i in range(60)] + [(i, prose(30, r), "en", "a", 0) for i in range(20)]
+    docs += docs[:2] + docs[-1:]
+    docs = [(i, t, lang, s, len(t)) for i, t, lang, s, _ in docs]
+    mixed = c.mixture(spark, spark.createDataFrame(docs, SCHEMA).repartition(5), "").collect()
+    whole = [r["text"] for r in mixed]
+    assert abs(sum(len(words(t)) for t in whole) - 1.5 * sum(len(words(d[1])) for d in docs)) <= 3
+    texts = [d[1] for d in docs]
+    assert all(whole.count(t) <= 2 * texts.count(t) for t in set(texts))
+    assert sum(t not in set(texts) for t in whole) <= 2  # one cut document a source

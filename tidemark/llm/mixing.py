@@ -100,9 +100,12 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("size", F.regexp_count(text_of(), F.lit(f"({WORD})")).cast("long"))
 
 
-def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
+def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: str = SEED, carry: Sequence[str] = ()) -> DataFrame:
     """Words taken of each row. sizes: doc_id, sources (array of strings), size.
 
+    Columns of sizes named in carry come along; they tell rows alike in doc_id and size apart, and the
+    first of them stands in for a doc_id that is null.
+
     Adds source_size and target (both of the first of its sources) and taken, the words that the mix
     takes of the row, repetitions counted: 0 to epochs times its size. Sources are ranked by code
     point with null last and weigh ``weights`` in turn. Within a pattern whole documents are taken in
@@ -111,9 +114,10 @@ def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float =
     same for every result. Empty arrays and nulls count as the null source; size 0 takes 0; no rows,
     no rows. Reruns agree.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    named = F.coalesce(*(F.col(c).cast("string") for c in ("doc_id", *carry[:1])), F.lit(""))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), named).cast("binary"))
     own = F.when(F.size(F.coalesce("sources", F.array())) > 0, F.array_sort(F.array_distinct("sources"))).otherwise(F.array(F.lit(None).cast("string")))
-    d = table(sizes.select("doc_id", "size", own.alias("sources"), key.alias("key")), "mix-sizes")
+    d = table(sizes.select("doc_id", "size", own.alias("sources"), key.alias("key"), *carry), "mix-sizes")
     rows = d.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -138,11 +142,11 @@ def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float =
     total = d.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
     before = total.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plan = before.join(plan, "pattern").select("pattern", "bucket", "before", "source_size", "target", "rounds", "rest")
-    order = Window.partitionBy("pattern", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("pattern", "bucket").orderBy("key", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     extra = F.least(F.greatest(F.col("rest") - ahead, F.lit(0)), F.col("size"))
     return d.join(plan, ["pattern", "bucket"]).select(
-        "doc_id", "sources", "size", "source_size", "target", (F.col("rounds") * F.col("size") + extra).alias("taken")
+        "doc_id", "sources", "size", "source_size", "target", (F.col("rounds") * F.col("size") + extra).alias("taken"), *carry
     )
 
 
