@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, quality_model, simhash, substring_dedup
+from tidemark.llm import mixing, near_copies, packing, quality_model, substring_dedup
 from tidemark.llm.common import WORD, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,12 +25,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id.
+    """One document of each group of near-duplicates: that of the smallest doc_id. Two are alike if
+    their 5-word shingles have a Jaccard index of 0.8 or more.
 
     Only ids are shuffled to find it; the texts meet them in joins on doc_id. Rows that repeat a whole
     row are one document; rows without an id stay.
     """
-    groups = table(simhash.simhash_groups(docs).select("doc_id", "component_id"), "near-groups")
+    groups = table(near_copies.groups(docs), "near-groups")
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
     twice = table(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")

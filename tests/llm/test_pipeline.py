@@ -87,3 +87,24 @@ def test_mixture_rows_without_an_id(spark):
     texts = [d[1] for d in docs]
     assert all(whole.count(t) <= 2 * texts.count(t) for t in set(texts))
     assert sum(t not in set(texts) for t in whole) <= 2  # one cut document a source
+
+
+def test_edited_copies_are_near_duplicates(spark):
+    r = random.Random(6)
+
+    def grams(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    docs = []
+    for i in range(40):
+        w = prose(r.randint(100, 200), r).split()
+        docs.append((2 * i, " ".join(w)))
+        for k in range(r.randint(1, 4)):
+            w[20 * k + 10] = f"edited{i}"
+        docs.append((2 * i + 1, " ".join(w)))
+    j = [len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for (_, a), (_, b) in zip(docs[::2], docs[1::2])]
+    assert sum(0.8 <= x < 0.95 for x in j) > 10 and sum(x < 0.8 for x in j) > 3
+    d = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in docs], SCHEMA).repartition(3)
+    left = {x["doc_id"] for x in c.near_duplicates(spark, d, "").collect()}
+    assert left == {2 * i for i in range(40)} | {2 * i + 1 for i, x in enumerate(j) if x < 0.8}
