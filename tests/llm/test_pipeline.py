@@ -7,7 +7,7 @@ import corpus_pipeline as c
 import numpy as np
 import pytest
 
-from tidemark.llm import packing
+from tidemark.llm import near_copies, packing
 from tests.llm.test_ops import SCHEMA, brute_components, brute_simhash, prose, words
 
 
@@ -108,3 +108,18 @@ def test_edited_copies_are_near_duplicates(spark):
     d = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in docs], SCHEMA).repartition(3)
     left = {x["doc_id"] for x in c.near_duplicates(spark, d, "").collect()}
     assert left == {2 * i for i in range(40)} | {2 * i + 1 for i, x in enumerate(j) if x < 0.8}
+
+
+def test_pairs_of_a_crowded_key_are_all_linked(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(30):
+        w = prose(120, r).split()
+        rows.append((2 * i, near_copies.shingles([x.encode() for x in w]).view(np.int64).tolist()))
+        w[60] = "edited"
+        rows.append((2 * i + 1, near_copies.shingles([x.encode() for x in w]).view(np.int64).tolist()))
+    assert len(rows) > near_copies.FEW + 2
+    sh = spark.createDataFrame(rows, "node long, sh array<long>")
+    met = spark.createDataFrame([(n, 1) for n, _ in rows], "node long, key long")
+    got = {x["node"]: x["component"] for x in near_copies.linked(met, sh, "crowded").collect()}
+    assert got == {n: n - n % 2 for n, _ in rows}
