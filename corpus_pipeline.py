@@ -25,19 +25,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id. Two are alike if
-    their 5-word shingles have a Jaccard index of 0.8 or more.
+    """One document of each group of near-duplicates: the first by doc_id (null last), then by the hash of
+    the text. Two are alike if their 5-word shingles have a Jaccard index of 0.8 or more.
 
-    Only ids are shuffled to find it; the texts meet them in joins on doc_id. Rows that repeat a whole
-    row are one document; rows without an id stay.
+    Documents are told apart by doc_id and text, so rows that share an id, or have none, are judged by
+    themselves. Rows alike in both are one document, of which the smallest row stays. Null, empty and
+    blank texts are alike. Only ids and hashes are shuffled to find it; the texts meet them in one join.
     """
-    groups = table(near_copies.groups(docs), "near-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    twice = table(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-twice")
-    if twice.isEmpty():
-        return kept
-    return kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").distinct()).select(*COLUMNS)
+    stays = near_copies.kept(docs)
+    d = docs.select(*COLUMNS).withColumn("_th", near_copies.text_key(F.col("text").cast("string"))).alias("d")
+    same = F.expr("d.doc_id <=> k.doc_id and d._th = k.th")
+    out = d.join(stays.alias("k"), same).select("d.*", "n")
+    if stays.where("n > 1").isEmpty():
+        return out.select(*COLUMNS)
+    single = out.where("n = 1").select(*COLUMNS)
+    twice = out.where("n > 1").groupBy("doc_id", "_th").agg(F.min(F.struct(*COLUMNS)).alias("r")).select("r.*")
+    return single.unionByName(twice)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

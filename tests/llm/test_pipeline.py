@@ -7,7 +7,7 @@ import corpus_pipeline as c
 import numpy as np
 import pytest
 
-from tidemark.llm import near_copies, packing
+from tidemark.llm import bands, packing
 from tests.llm.test_ops import SCHEMA, brute_components, brute_simhash, prose, words
 
 
@@ -110,16 +110,24 @@ def test_edited_copies_are_near_duplicates(spark):
     assert left == {2 * i for i in range(40)} | {2 * i + 1 for i, x in enumerate(j) if x < 0.8}
 
 
+def test_near_duplicates_with_shared_and_missing_ids(spark):
+    a, b, c_ = (prose(60, random.Random(i)) for i in range(3))
+    docs = [(2, b), (5, a), (5, b), (7, a), (None, a), (None, c_), (None, c_), (9, None), (3, ""), (8, " \n"), (None, None), (2, b)]
+    d = spark.createDataFrame([(i, t, "en", "s", 0 if t is None else len(t)) for i, t in docs], SCHEMA)
+    got = sorted(((x["doc_id"], x["text"]) for x in c.near_duplicates(spark, d, "").collect()), key=str)
+    assert got == sorted([(2, b), (5, a), (None, c_), (3, "")], key=str)
+
+
 def test_pairs_of_a_crowded_key_are_all_linked(spark):
     r = random.Random(8)
     rows = []
     for i in range(30):
         w = prose(120, r).split()
-        rows.append((2 * i, near_copies.shingles([x.encode() for x in w]).view(np.int64).tolist()))
+        rows.append((2 * i, np.unique(bands.shingles([x.encode() for x in w])).view(np.int64).tolist()))
         w[60] = "edited"
-        rows.append((2 * i + 1, near_copies.shingles([x.encode() for x in w]).view(np.int64).tolist()))
-    assert len(rows) > near_copies.FEW + 2
+        rows.append((2 * i + 1, np.unique(bands.shingles([x.encode() for x in w])).view(np.int64).tolist()))
+    assert len(rows) > bands.FEW + 2
     sh = spark.createDataFrame(rows, "node long, sh array<long>")
     met = spark.createDataFrame([(n, 1) for n, _ in rows], "node long, key long")
-    got = {x["node"]: x["component"] for x in near_copies.linked(met, sh, "crowded").collect()}
+    got = {x["node"]: x["component"] for x in bands.linked(met, sh, "crowded").collect()}
     assert got == {n: n - n % 2 for n, _ in rows}

@@ -23,15 +23,17 @@ def word_array(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) is a folder of the session's warehouse used and set.
+    Where that is unset, a local master (tests on one machine) uses a folder of its warehouse; a cluster
+    has no folder that is safe to assume, so there the setting is asked for.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
@@ -66,19 +68,24 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
     """Connected components of (a, b) long pairs: columns node, component (its smallest node).
 
     Alternating large-star and small-star rounds; each round is written to the shared folder, and
-    the rounds end when the edges no longer change. Nothing but two numbers a round reaches the
-    driver. Minima are aggregated before the shuffle, so a node with very many neighbours is
-    combined where its rows lie; they are written before the join, so that a skewed join can split
-    that node's rows. Self-loops and repeated pairs are harmless; no pairs, no rows.
+    the rounds end when every node but the smallest of its component hangs from that one alone. Nothing
+    but a number a round reaches the driver. Minima are aggregated before the shuffle, so a node with
+    very many neighbours is combined where its rows lie; they are written before the join, so that a
+    skewed join can split that node's rows. Self-loops and repeated pairs are harmless; no pairs, no rows.
     """
 
-    def settle(df: DataFrame, k: int) -> tuple[DataFrame, tuple]:
+    def settle(df: DataFrame, k: int) -> tuple[DataFrame, bool]:
         df = table(df.where("a > b").distinct(), f"{name}-{k}")
-        return df, df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        ends = df.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(df.select("b", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return df, ends.where("up > 1 or up + down > 1").agg(F.count("*")).first()[0] == 0
 
     pair = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e, seen = settle(edges.where("a <> b").select(pair.alias("p")).select("p.a", "p.b"), 0)
-    for k in range(1, max_rounds + 1):
+    e, stars = settle(edges.where("a <> b").select(pair.alias("p")).select("p.a", "p.b"), 0)
+    k = 0
+    while not stars:
+        if (k := k + 1) > max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-low-{k}")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -87,11 +94,6 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
         small = large.join(low, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p")
         )
-        e, now = settle(small.select("p.a", "p.b"), k)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        e, stars = settle(small.select("p.a", "p.b"), k)
     roots = e.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -15,39 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
-from tidemark.llm.common import components, table
-from tidemark.llm.substring_dedup import _mix, grams, prefixes, word_hashes
+from tidemark.llm import bands, simhash
+from tidemark.llm.common import drop, table
 
-SHINGLE = 5
-SIMILARITY = 0.8
 BANDS, BAND_ROWS = 16, 4
-#: Members outside the largest component of a key that are compared with all its members.
-FEW = 32
-#: A key with more is split by FINER_BANDS bands of values of its own, up to LEVELS times.
-FINER_BANDS, LEVELS = 16, 4
-_RNG = np.random.default_rng(11)
-_N = BANDS * BAND_ROWS + LEVELS * FINER_BANDS * BAND_ROWS
-_ODDS = _RNG.integers(1, 1 << 63, _N, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XORS = _RNG.integers(1, 1 << 63, _N, dtype=np.uint64)
-
-
-def shingles(words: list[bytes]) -> np.ndarray:
-    """Distinct hashes of the runs of SHINGLE words, sorted; of fewer words, one; of none, none."""
-    return np.unique(grams(prefixes(word_hashes(words)), min(SHINGLE, len(words)))) if words else np.zeros(0, np.uint64)
-
-
-def band_keys(g: np.ndarray, first: int, bands: int) -> np.ndarray:
-    """Keys of so many bands, of the values from ``first`` on."""
-    keys = np.arange(first + 1, first + bands + 1, dtype=np.uint64)
-    for k in range(bands if len(g) else 0):
-        at = slice(first + k * BAND_ROWS, first + (k + 1) * BAND_ROWS)
-        for low in ((g ^ _XORS[at, None]) * _ODDS[at, None]).min(axis=1):
-            keys[k : k + 1] = _mix(keys[k : k + 1] * np.uint64(31) + low)
-    return keys.view(np.int64)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -58,98 +32,68 @@ def _wording(words: list[bytes]) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).astype(np.int64))
 
 
+def text_key(text: str | Column = "text") -> Column:
+    """Tells the texts of rows alike in doc_id apart; a null text has one, too."""
+    return F.xxhash64(text)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, node (hash of the wording), fp (SimHash of its 5-word shingles), keys (of its bands)."""
+    """doc_id, th (text_key), node (hash of the wording), fp (SimHash of its 5-word shingles), keys (of
+    its bands; none without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = [_words(t) for t in b.column(1).to_pylist()]
-            fp = np.array([simhash.simhash64(t, SHINGLE) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            keys = [band_keys(shingles(w), 0, BANDS) for w in own]
-            cols = [b.column(0), pa.array([_wording(w) for w in own], pa.int64()), pa.array(fp), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "node", "fp", "keys"])
+            for at in range(0, b.num_rows, bands.SLICE):
+                own = b.slice(at, bands.SLICE)
+                words = [_words(t) for t in own.column(2).to_pylist()]
+                sets = [bands.shingles(w) for w in words]
+                full = [s for s in sets if len(s)]
+                keys = iter(bands.band_keys(np.concatenate([*full, np.zeros(0, np.uint64)]), bands.ends(full), BANDS, BAND_ROWS))
+                keys = [next(keys) if len(s) else np.zeros(0, np.int64) for s in sets]
+                fp = np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64)
+                cols = [own.column(0), own.column(1), pa.array([_wording(w) for w in words], pa.int64()), pa.array(fp), bands.lists(keys, pa.array(np.concatenate(keys)))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "th", "node", "fp", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, node long, fp long, keys array<long>")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.select("doc_id", text_key().alias("th"), "text").mapInArrow(run, "doc_id long, th long, node long, fp long, keys array<long>")
 
 
 def wording_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, sh of the wanted nodes. Copies of a wording are combined before the shuffle."""
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node = [_wording(_words(t)) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), b.column(0)], ["node", "text"])
+    """node, sh of the wanted (doc_id, th, node)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sh = [shingles(_words(t)).view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sh, pa.list_(pa.int64()))], ["node", "sh"])
-
-    texts = docs.select(F.col("text").cast("string")).mapInArrow(named, "node long, text string").dropDuplicates(["node"])
-    return texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(hashed, "node long, sh array<long>")
-
+            for at in range(0, b.num_rows, bands.SLICE):
+                own = b.slice(at, bands.SLICE)
+                sh = [np.unique(bands.shingles(_words(t))).view(np.int64) for t in own.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([own.column(0), bands.lists(sh, pa.array(np.concatenate(sh)))], ["node", "sh"])
 
-def _verified(pairs: DataFrame, sh: DataFrame, similarity: float) -> DataFrame:
-    both = pairs.join(sh.select(F.col("node").alias("a"), F.col("sh").alias("x")), "a").join(sh.select(F.col("node").alias("b"), F.col("sh").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = own.withColumn("th", text_key()).alias("d").join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.th = w.th"))
+    return own.select("node", "text").mapInArrow(hashed, "node long, sh array<long>").dropDuplicates(["node"])
 
 
-def linked(met: DataFrame, sh: DataFrame, name: str, similarity: float = SIMILARITY) -> DataFrame:
-    """node, component: components of the pairs that share a key and are alike. met: node, key; sh: node, sh.
+def kept(docs: DataFrame) -> DataFrame:
+    """doc_id, th (text_key), n: the one document of each group of near copies that stays.
 
-    A key's members first meet their smallest. Then, of a key that still holds several components, each
-    member outside the largest meets all members of other components; with that every pair of the key is
-    joined or was compared. Where those members are more than FEW, the key is first split by bands of
-    further values, in which pairs of 0.8 collide with probability 0.9998 again.
+    It is the first in the order of (doc_id, th), null ids last. Rows alike in doc_id and text are one
+    document and n is their number. A null text has no words, like an empty or blank one. No rows, no rows.
     """
-    links = None
-    for level in range(LEVELS + 1):
-        first = met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-        first = table(first, f"{name}-first")
-        new = table(_verified(met.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), sh, similarity), f"{name}-links")
-        links = new if links is None else links.unionByName(new)
-        comp = components(links, f"{name}-met")
-        own = met.join(first.select("key"), "key", "left_semi").join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        own = table(own, f"{name}-own")
-        sizes = own.groupBy("key", "c").agg(F.count("*").alias("n"))
-        open_ = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
-        open_ = table(open_.select("key", F.col("top.c").alias("top"), (F.col("n") - F.col("top.n")).alias("others")), f"{name}-open")
-        few = open_ if level == LEVELS else open_.where(F.col("others") <= FEW)
-        others = table(own.join(few, "key").where("c <> top").select("key", F.col("node").alias("a"), F.col("c").alias("ca")), f"{name}-others")
-        cross = own.join(others, "key").where("c <> ca").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = links.unionByName(table(_verified(cross, sh, similarity), f"{name}-cross"))
-        crowded = open_.where(F.col("others") > FEW)
-        if level == LEVELS or crowded.isEmpty():
-            break
-        at = BANDS * BAND_ROWS + level * FINER_BANDS * BAND_ROWS
-
-        def finer(batches: Iterator[pa.RecordBatch], at: int = at) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                g = [np.array(x, np.int64).view(np.uint64) for x in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([band_keys(x, at, FINER_BANDS) for x in g], pa.list_(pa.int64()))], ["node", "finer"])
-
-        again = own.join(crowded.select("key"), "key", "left_semi").select("key", "node")
-        keys = sh.join(again.select("node").distinct(), "node", "left_semi").select("node", "sh").mapInArrow(finer, "node long, finer array<long>")
-        met = again.join(keys, "node").select("node", F.explode("finer").alias("f"), "key").select("node", F.xxhash64("key", "f").alias("key"))
-        met = table(met, f"{name}-finer")
-    return components(links, name)
-
-
-def groups(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, component_id (the smallest doc_id among its near copies, or null)."""
     rows = table(signatures(docs), "near-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    own = table(rows.groupBy("doc_id", "th", "node").agg(F.count("*").alias("n"), F.min("fp").alias("fp")), "near-documents")
     # equal wordings have equal keys; their copies are combined before the shuffle
-    one = table(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("fp").alias("fp")), "near-wordings")
-    trees = components(simhash.links(one.select("fp").distinct()), "near-trees")
-    close = one.select("node", "fp").join(trees.select(F.col("node").alias("fp"), "component"), "fp", "left").select("node", F.xxhash64(F.lit("fp"), F.coalesce("component", "fp")).alias("key"))
-    bands = rows.select("node", F.explode("keys").alias("key")).distinct()
-    met = close.unionByName(bands)
-    shared = table(met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key"), "near-keys")
-    met = table(met.join(shared, "key", "left_semi").select("node", "key"), "near-met")
-    sh = table(wording_shingles(docs, met.select("node").distinct()), "near-shingles")
-    comp = linked(met, sh, "near")
-    named = one.join(comp, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = table(named.join(least, "component").select("node", "component_id"), "near-named")
-    return rows.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+    one = table(own.groupBy("node").agg(F.min(place).alias("f"), F.min("fp").alias("fp")), "near-wordings")
+    trees = simhash.links(one.select("fp").distinct())
+    ends = trees.select(F.explode(F.array("a", "b")).alias("fp"), F.xxhash64("a", "b").alias("key"))
+    same = one.select("node", F.xxhash64(F.lit("fp"), "fp").alias("key"))
+    met = one.select("node", "fp").join(ends, "fp").select("node", "key").unionByName(same)
+    met = bands.shared(met.unionByName(rows.select("node", F.explode("keys").alias("key")).distinct()), "near")
+    wanted = met.select("node").distinct().join(one, "node").select("f.doc_id", "f.th", "node")
+    sh = table(wording_shingles(docs, wanted), "near-shingles")
+    comp = bands.linked(met, sh, "near")
+    drop(rows)
+    named = one.join(comp, "node", "left").select("f", F.coalesce("component", "node").alias("component"))
+    first = named.groupBy("component").agg(F.min("f").alias("f")).select("f.doc_id", "f.th")
+    # groups of one wording have no other document of its place: the place tells which rows stay
+    return table(own.alias("o").join(first.alias("f"), F.expr("o.doc_id <=> f.doc_id and o.th = f.th"), "left_semi").select("doc_id", "th", "n"), "near-kept")

@@ -29,7 +29,8 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_ROWS = 384
 TOKENIZER = "word_bpe_49k.json"
-_CACHE_WORDS = 1_000_000
+#: Words of a generation of a tokenizer's kept parts: some 30 MB, of parts of 64 code points at most.
+_CACHE_WORDS = 150_000
 _MARK = "\x01"
 _STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[,.]")
 
@@ -49,7 +50,8 @@ class WordTokenizer:
 
     The tokenizer's rules never look across a blank or a line feed, so the parts between those are
     encoded on their own and their ids are kept. Of kept parts there are two generations of at most
-    _CACHE_WORDS each; once the younger is full it becomes the older, and what is met again moves on.
+    _CACHE_WORDS each; once the younger is full it becomes the older, and what is met again moves on. A task
+    forgets them at its end, so a worker that goes on to other work holds none.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,9 +59,12 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+        self.stops = dict(zip(",.", self._ids([",", "."])))
+
+    def forget(self) -> None:
         self.older: dict[str, bytes] = {}
         self.kept: dict[str, bytes] = {"": b""}
-        self.stops = dict(zip(",.", self._ids([",", "."])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         texts = [t.lower() if _latin(t) and "<|" not in t else t for t in texts]
@@ -110,13 +115,13 @@ def word_tokenizer(path: str) -> WordTokenizer:
 def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, tokens (with the end id) and crcs, the CRC-32 of each cut of the ids.
 
-    Cuts are every capacity ids; the last may be shorter. A null text is empty: the end id alone.
+    Cuts are every capacity ids; the last may be shorter. A null text is empty: the end id alone. The
+    tokenizer's default path is looked up where the task runs.
     """
-    path = path or public_tokenizers.path(TOKENIZER)
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path)
+        tokenizer = word_tokenizer(path or public_tokenizers.path(TOKENIZER))
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 own = b.slice(at, 256)
@@ -127,6 +132,8 @@ def tokenized(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
                     view = memoryview(ids)
                     crcs.append([zlib.crc32(view[i : i + 4 * capacity]) for i in range(0, len(ids), 4 * capacity)])
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], ["doc_id", "tokens", "crcs"])
+        tokenizer.forget()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, tokens long, crcs array<long>")
 
@@ -186,8 +193,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every row of docs is packed once, repeated rows and rows with a null or repeated doc_id on their
-    own; only (doc_id, text) matters. The pieces of a sequence lie from 0 without gaps. A table
-    without rows gives none.
+    own; only (doc_id, text) matters. The pieces of a sequence lie from 0 without gaps. A very long text
+    gives full windows and one tail, worked on as one text. A table without rows gives none.
     """
     d = table(tokenized(docs, path, capacity).withColumn("row", F.monotonically_increasing_id()), "packing")
     groups = max(1, round(d.count() / GROUP_ROWS))

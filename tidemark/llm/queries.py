@@ -23,10 +23,10 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per removed span: the document, where the span is (words, or a whole line), a document
-    that keeps an earlier copy, and the cluster of documents that removals connect."""
+    """One row per removed span: the document, where the span is (in words), its kind, a document that
+    keeps an earlier copy, and the cluster of documents that removals connect."""
     found = substring_dedup.removals(_read(spark, sf_dir, "documents"))
-    return substring_dedup.clusters(found).select("doc_id", "start", "stop", "line", "kept_doc_id", "cluster_id")
+    return substring_dedup.clusters(found).select("doc_id", "start", "stop", "kind", "kept_doc_id", "cluster_id")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,14 @@ TREE_ROWS = 2048
 _PAIRS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 
 
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; 0 of none."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(h), 8192):
+        ones += np.unpackbits(h[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
+
+
 def simhash64(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """The unsigned fingerprint of one text; 0 without words.
 
@@ -38,11 +46,7 @@ def simhash64(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int
     if not words:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
-    h = np.array([xxhash.xxh64_intdigest(g, seed) for g in grams], dtype=np.uint64)
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), 8192):
-        ones += np.unpackbits(h[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
+    return majority(np.array([xxhash.xxh64_intdigest(g, seed) for g in grams], dtype=np.uint64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -2,17 +2,22 @@
 
 Two kinds of units collide, and both are checked before anything is removed.
 
-* Paragraphs (lines of MIN_WORDS words or more) have MinHash bands over their 5-word shingles. BANDS
-  bands of BAND_ROWS values let a pair of similarity 0.8 collide with probability 0.998. Colliding
-  wordings are joined to a leader of each band, and pairs whose exact Jaccard index is 0.8 or more are
-  linked. Of each connected component only the first paragraph stays.
-* Passages may begin and end inside a line or run over several. Of every WINDOW runs of GRAM words the
-  one of the smallest hash is an anchor, so two documents that share 50 words or more share anchors at
-  the same distance from each other, at most WINDOW - 1 words from either end. Every occurrence of an
-  anchor meets the first one (never all pairs), anchors of the same pair of documents and the same
-  shift make a run, and hashes of all words up to each anchor prove that what lies between two anchors
-  is the same. Runs of MIN_WORDS words or more are linked: of a shared passage of 50 words at least
-  MIN_WORDS words, and short lines that many documents share (headings, licences) never.
+* Paragraphs are lines of MIN_WORDS words or more; shorter lines that follow one another are put
+  together until they have as many, and what is left over joins the paragraph before it. Only short lines
+  that stand alone between long or blank ones (headings) and shorter texts are no paragraph. Of their
+  5-word shingles BANDS bands of BAND_ROWS minima let a pair of similarity 0.8 collide with probability
+  0.9998. Colliding wordings are joined, pairs whose exact Jaccard index is 0.8 or more are linked
+  (bands.linked: no colliding pair goes unchecked), and of each connected component only the first
+  paragraph stays.
+* Passages may begin and end inside a line or run over several. Of every WINDOW runs of GRAM words the one
+  of the smallest hash is an anchor, so two documents that share GRAM + WINDOW - 1 = 50 words share an
+  anchor. Every occurrence of an anchor meets the first one (never all pairs) and is a repeated passage of
+  GRAM words by itself, whatever other documents hold. Anchors that meet the same document at the same
+  shift make a run; the run must have the same 128-bit digest in both documents and is then extended word
+  by word, at most WINDOW - 1 words to either side, as far as the texts agree. Between two anchors of a
+  passage at most one word is not of either, so with the extension the whole passage goes, but for words at
+  its ends if the end's anchor stands still earlier in a third document that shares no more than it.
+  Passages of fewer than GRAM words that are no paragraph (headings, short licence lines) always stay.
 
 Documents come in the order of (doc_id, hash of the text). A removed span has an earlier copy, exact or,
 for the paragraphs, alike: the first copy of any passage stays.
@@ -28,265 +33,231 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import bands
+from tidemark.llm.bands import SHINGLE, SIMILARITY, grams, powers, prefixes, word_hashes
 from tidemark.llm.common import components, drop, table
 
-SHINGLE = 5
-SIMILARITY = 0.8
 MIN_WORDS = 20
-BANDS, BAND_ROWS = 6, 2
-GRAM, WINDOW = 8, 16
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_RNG = np.random.default_rng(3)
-_ODDS = _RNG.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XORS = _RNG.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
-def prefixes(h: np.ndarray) -> np.ndarray:
-    """p[i] hashes the first i words; p[b] - p[a] * base ** (b - a) hashes words a to b."""
-    n = len(h)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(_INVERSE, n + 1)[1:], dtype=np.uint64)])
-    return sums * _powers(_BASE, n + 1)
-
-
-def grams(p: np.ndarray, k: int) -> np.ndarray:
-    """Mixed hashes of all runs of k words, from their prefixes."""
-    return _mix(p[k:] - p[:-k] * _powers(_BASE, k + 1)[k]) if len(p) > k else np.zeros(0, np.uint64)
+BANDS, BAND_ROWS = 12, 3
+GRAM, WINDOW = 25, 26
+_PLACES = np.uint64((1 << 24) - 1)
+_ID = "doc_id long, th long"
 
 
 def anchors(g: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Places of the smallest hash of each window, of equal ones the rightmost; of fewer hashes, one."""
-    if len(g) <= window:
-        return np.array([len(g) - 1 - int(g[::-1].argmin())]) if len(g) else np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(g, window)
-    return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1))
-
-
-def paragraphs(text: str) -> tuple[list[int], list[bytes]]:
-    """Where each line's words begin, with the number of all words at the end; all words."""
-    starts, words = [0], []
-    for line in text.encode().split(b"\n"):
-        words += line.split()
-        starts.append(len(words))
-    return starts, words
-
-
-def text_hash(text: str) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode())).astype(np.int64))
-
-
-_ID = "doc_id long, th long"
+    """Places of the smallest hash (its upper 40 bits) of each window, of equal ones the rightmost; of
+    fewer hashes, one."""
+    if not len(g):
+        return np.zeros(0, np.int64)
+    low = (g & ~_PLACES) | (_PLACES - (np.arange(len(g), dtype=np.uint64) & _PLACES))
+    wide = min(window, len(g))
+    held = 1
+    while held < wide:  # low[i] is the least of held hashes from i on
+        step = min(held, wide - held)
+        low = np.minimum(low[:-step], low[step:])
+        held += step
+    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    place = (_PLACES - (low[first] & _PLACES)).astype(np.int64)
+    return first + ((place - first) & int(_PLACES))
+
+
+def paragraphs(lengths: list[int]) -> list[tuple[int, int]]:
+    """First word and stop of each paragraph of a text whose lines have so many words."""
+    out: list[tuple[int, int]] = []
+    at = begin = 0
+    joins = False  # whether words left over belong to the paragraph before them
+    for n in lengths:
+        if n >= MIN_WORDS or not n:
+            if joins and begin < at:
+                out[-1] = (out[-1][0], at)
+            if n:
+                out.append((at, at + n))
+            at += n
+            begin, joins = at, False
+        else:
+            at += n
+            if at - begin >= MIN_WORDS:
+                out.append((begin, at))
+                begin, joins = at, True
+    if joins and begin < at:
+        out[-1] = (out[-1][0], at)
+    return out
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    d = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return d.select("doc_id", F.xxhash64("text").alias("th"), "text")
 
 
-def _rows(parts: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    cols = [np.concatenate([x[i] for x in parts]) for i in range(len(names))]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
-
-
-def _map_texts(docs: DataFrame, one, names: list[str], types: list[pa.DataType], schema: str) -> DataFrame:
-    """one(doc_id, th, text) -> arrays of equal length, or None."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts, size = [], 0
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if (x := one(doc_id, text_hash(text), text)) is not None and len(x[0]):
-                    parts.append(x)
-                    size += len(x[0])
-                if size > 50_000:
-                    yield _rows(parts, types, names)
-                    parts, size = [], 0
-            if parts:
-                yield _rows(parts, types, names)
+def units(docs: DataFrame) -> DataFrame:
+    """doc_id, th, anchors (key, at: its first word, ahead: hash of the words before it) and paragraphs
+    (start, stop, h1 and h2: its digest, keys: of its bands) of each text of MIN_WORDS words or more."""
 
-    return docs.mapInArrow(run, schema)
-
-
-def anchor_rows(docs: DataFrame) -> DataFrame:
-    """key (of the anchor), doc_id, th, at (its first word), ahead (hash of all words before it)."""
-
-    def one(doc_id: int, th: int, text: str):
-        words = text.encode().split()
+    def one(text: str):
+        lines = [line.split() for line in text.encode().split(b"\n")]
+        words = [w for line in lines for w in line]
         if len(words) < MIN_WORDS:
             return None
         p = prefixes(word_hashes(words))
         g = grams(p, GRAM)
         at = anchors(g)
-        return g[at].view(np.int64), np.full(len(at), doc_id), np.full(len(at), th), at.astype(np.int64), p[at].view(np.int64)
-
-    return _map_texts(_documents(docs), one, ["key", "doc_id", "th", "at", "ahead"], [pa.int64()] * 5, f"key long, {_ID}, at long, ahead long")
-
+        spans = paragraphs([len(line) for line in lines])
+        digests = np.frombuffer(b"".join(_digest(words[a:b]) for a, b in spans), np.int64).reshape(-1, 2)
+        return g[at].view(np.int64), at, p[at].view(np.int64), np.array(spans, np.int64).reshape(-1, 2), digests, grams(p, SHINGLE)
 
-def paragraph_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, th, line, ph (hash of the paragraph's words) and b0, b1, ..., the keys of its bands."""
-    keys = [f"b{i}" for i in range(BANDS)]
-
-    def one(doc_id: int, th: int, text: str):
-        starts, words = paragraphs(text)
-        starts = np.array(starts)
-        n = np.diff(starts)
-        lines = np.flatnonzero(n >= MIN_WORDS)
-        if not len(lines):
-            return None
-        p = prefixes(word_hashes(words))
-        g = grams(p, SHINGLE)
-        # shingles of line i are g[starts[i]] up to its last whole one; what lies between lines is cut off
-        first, stop = starts[lines], starts[lines + 1] - SHINGLE + 1
-        cuts = np.stack([first, stop], axis=1).ravel()
-        cuts = cuts[:-1] if cuts[-1] >= len(g) else cuts
-        bands = []
-        for band in range(BANDS):
-            key = np.full(len(lines), band + 1, np.uint64)
-            for k in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
-                low = np.minimum.reduceat((g ^ _XORS[k]) * _ODDS[k], cuts)[::2]
-                key = _mix(key * np.uint64(31) + low)
-            bands.append(key.view(np.int64))
-        ph = _mix(p[starts[lines + 1]] - p[starts[lines]] * _powers(_BASE, int(n.max()) + 1)[n[lines]])
-        return np.full(len(lines), doc_id), np.full(len(lines), th), lines.astype(np.int64), ph.view(np.int64), *bands
-
-    names = ["doc_id", "th", "line", "ph", *keys]
-    return _map_texts(_documents(docs), one, names, [pa.int64()] * len(names), f"{_ID}, line long, ph long, " + ", ".join(f"{k} long" for k in keys))
-
-
-def passage_runs(docs: DataFrame) -> DataFrame:
-    """doc_id, th, start, stop (word places), kept_doc_id: runs that an earlier place has, too."""
-    found = table(anchor_rows(docs), "anchors")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, bands.SLICE):
+                own = b.slice(k, bands.SLICE)
+                got = [one(t) for t in own.column(2).to_pylist()]
+                which = [i for i, x in enumerate(got) if x]
+                if not which:
+                    continue
+                key, at, ahead, spans, digests, g = zip(*(got[i] for i in which))
+                base = np.cumsum([0, *map(len, g)])
+                cuts = np.concatenate([s + [0, 1 - SHINGLE] + o for s, o in zip(spans, base)]).ravel()
+                keys = bands.band_keys(np.concatenate(g), cuts, BANDS, BAND_ROWS)
+                cat = lambda parts: pa.array(np.concatenate(parts))
+                a = pa.StructArray.from_arrays([cat(key), cat(at), cat(ahead)], ["key", "at", "ahead"])
+                span, digest = np.concatenate(spans), np.concatenate(digests)
+                p = [pa.array(x) for x in (span[:, 0], span[:, 1], digest[:, 0], digest[:, 1])]
+                p = pa.StructArray.from_arrays([*p, bands.lists(keys, pa.array(keys.ravel()))], ["start", "stop", "h1", "h2", "keys"])
+                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(which)), own.column(1).take(pa.array(which)), bands.lists(key, a), bands.lists(spans, p)], ["doc_id", "th", "anchors", "paragraphs"])
+
+    schema = f"{_ID}, anchors array<struct<key:long,at:long,ahead:long>>, paragraphs array<struct<start:long,stop:long,h1:long,h2:long,keys:array<long>>>"
+    return _documents(docs).mapInArrow(run, schema)
+
+
+def _runs(found: DataFrame) -> DataFrame:
+    """doc_id, th, start, stop, f_doc, f_th, shift: runs of anchors that all meet the same earlier place."""
+    a = found.select("doc_id", "th", F.explode("anchors").alias("a")).select("doc_id", "th", "a.key", "a.at", "a.ahead")
     # which anchors recur is counted before the shuffle; only those are then shuffled with their places
-    again = table(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors-again")
-    twice = table(found.join(again, "key"), "anchors-twice")
-    drop(found)
+    again = table(a.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors-again")
+    twice = table(a.join(again, "key"), "anchors-twice")
     first = table(twice.groupBy("key").agg(F.min(F.struct("doc_id", "th", "at", "ahead")).alias("f")), "anchors-first")
-    met = twice.join(first, "key").select("doc_id", "th", "at", "ahead", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), F.col("f.ahead").alias("f_ahead"))
-    met = met.where("not (doc_id = f_doc and th = f_th and shift = 0)")
-    names = ["doc_id", "th", "f_doc", "f_th", "shift", "at", "ahead", "f_ahead"]
-    met = table(met.select(*names), "passages-met").repartition("doc_id", "th").sortWithinPartitions(*names[:6])
+    met = twice.join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
+    # rows alike in doc_id and text are combined before the shuffle
+    met = table(met.where("not (doc_id = f_doc and th = f_th and shift = 0)").distinct(), "passages-met")
+    drop(again), drop(twice), drop(first)
+    met = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "f_doc", "f_th", "shift", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(x: np.ndarray) -> pa.RecordBatch | None:
+        def out(x: np.ndarray) -> pa.RecordBatch:
             at, ahead, f_ahead = x[:, 5], x[:, 6].view(np.uint64), x[:, 7].view(np.uint64)
-            gap = np.diff(at)
-            power, base, left = np.ones(len(gap), np.uint64), _BASE, np.maximum(gap, 0)
-            while left.any():
-                power = np.where(left & 1, power * base, power)
-                base, left = base * base, left >> 1
             same = (np.diff(x[:, :5], axis=0) == 0).all(axis=1)
-            same &= ahead[1:] - ahead[:-1] * power == f_ahead[1:] - f_ahead[:-1] * power
+            gap = np.where(same, np.diff(at), 0)
+            near = powers(int(gap.max(initial=0)) + 1)[gap] if gap.max(initial=0) < 1 << 20 else np.array([pow(int(bands._BASE), int(n), 1 << 64) for n in gap], np.uint64)
+            same &= ahead[1:] - ahead[:-1] * near == f_ahead[1:] - f_ahead[:-1] * near
             begins = np.flatnonzero(np.concatenate([[True], ~same]))
             ends = np.concatenate([begins[1:], [len(x)]]) - 1
-            start, stop = at[begins], at[ends] + GRAM
-            good = stop - start >= MIN_WORDS
-            b = begins[good]
-            return pa.RecordBatch.from_arrays([pa.array(a) for a in (x[b, 0], x[b, 1], start[good], stop[good], x[b, 2])], ["doc_id", "th", "start", "stop", "kept_doc_id"]) if good.any() else None
+            cols = [x[begins, 0], x[begins, 1], at[begins], at[ends] + GRAM, x[begins, 2], x[begins, 3], x[begins, 4]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "th", "start", "stop", "f_doc", "f_th", "shift"])
 
         rest = np.zeros((0, 8), np.int64)
         for b in batches:
             rest = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)])
             cuts = np.flatnonzero((np.diff(rest[:, :2], axis=0) != 0).any(axis=1)) + 1
             if len(cuts):
-                if (x := out(rest[: cuts[-1]])) is not None:
-                    yield x
+                yield out(rest[: cuts[-1]])
                 rest = rest[cuts[-1] :]
-        if len(rest) and (x := out(rest)) is not None:
-            yield x
+        if len(rest):
+            yield out(rest)
 
-    return met.mapInArrow(run, f"{_ID}, start long, stop long, kept_doc_id long")
+    return table(met.mapInArrow(run, f"{_ID}, start long, stop long, f_doc long, f_th long, shift long"), "passage-runs")
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two sorted arrays of distinct hashes."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted (doc_id, th, start, stop, node) once, with sh, the distinct shingle hashes of the span, if
+    it has a node, and else its digest and hashes of up to WINDOW - 1 words before (nearest first) and behind."""
+    w = wanted.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop", "node")).alias("w"))
+    types = {"doc_id": pa.int64(), "th": pa.int64(), "start": pa.int64(), "stop": pa.int64(), "node": pa.int64(), "sh": pa.list_(pa.int64()), "digest": pa.binary(), "before": pa.list_(pa.int64()), "behind": pa.list_(pa.int64())}
 
-
-def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, th, line, sh (distinct shingle hashes, sorted) of the wanted paragraphs."""
-    lines = wanted.groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines"))
-    own = _documents(docs)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([text_hash(t) for t in b.column(1).to_pylist()], pa.int64())], ["doc_id", "text", "th"])
-
-    joined = own.mapInArrow(hashed, "doc_id long, text string, th long").join(lines, ["doc_id", "th"]).select("doc_id", "th", "text", "lines")
+    def spans(doc_id: int, th: int, text: str, wanted: list[dict]) -> Iterator[tuple]:
+        words = text.encode().split()
+        h = word_hashes(words)
+        g = grams(prefixes(h), SHINGLE)
+        h = h.view(np.int64)
+        for x in wanted:
+            a, z = x["start"], x["stop"]
+            if x["node"] is not None:
+                yield doc_id, th, a, z, x["node"], np.unique(g[a : z - SHINGLE + 1]).view(np.int64), None, None, None
+            else:
+                yield doc_id, th, a, z, None, None, _digest(words[a:z]), h[max(0, a - WINDOW + 1) : a][::-1], h[z : z + WINDOW - 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], list(types))
+
         for b in batches:
             rows = []
-            for doc_id, th, text, lines in zip(*(b.column(i).to_pylist() for i in range(4))):
-                starts, words = paragraphs(text)
-                g = grams(prefixes(word_hashes(words)), SHINGLE)
-                rows += [(doc_id, th, k, np.unique(g[starts[k] : starts[k + 1] - SHINGLE + 1]).view(np.int64)) for k in lines]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 3 + [pa.list_(pa.int64())])], ["doc_id", "th", "line", "sh"])
+            for i in range(b.num_rows):
+                for row in spans(*(b.column(k)[i].as_py() for k in range(4))):
+                    rows.append(row)
+                    if len(rows) >= 4096:
+                        yield out(rows)
+                        rows = []
+            if rows:
+                yield out(rows)
 
-    return joined.mapInArrow(run, f"{_ID}, line long, sh array<long>").dropDuplicates(["doc_id", "th", "line"])
+    # rows alike in doc_id and text are combined before the shuffle of the join
+    d = _documents(docs).dropDuplicates(["doc_id", "th"]).join(w, ["doc_id", "th"]).select("doc_id", "th", "text", "w")
+    return d.mapInArrow(run, f"{_ID}, start long, stop long, node long, sh array<long>, digest binary, before array<long>, behind array<long>")
 
 
-def paragraph_removals(docs: DataFrame) -> DataFrame:
-    """doc_id, th, line, kept_doc_id: copies of an earlier wording, and the near-duplicates of the
-    first paragraph of their component.
+def _agree(x: str, y: str):
+    """How many of the first elements of two arrays are equal."""
+    at = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), False)
+    return F.when(at > 0, at - 1).otherwise(F.size(x))
 
-    The wordings of a band meet its leader: the one of the smallest hash in every other band, of the
-    largest in the rest, so in large groups of edited copies each wording meets several others. Pairs
-    grow with the wordings, never with their square. Copies of a wording take part once, counted before
-    the shuffle.
-    """
-    rows = table(paragraph_rows(docs), "paragraphs")
-    wordings = table(rows.groupBy("ph").agg(F.min(F.struct("doc_id", "th", "line")).alias("f"), F.count("*").alias("n")), "wordings")
-    copies = rows.select("doc_id", "th", "line", "ph").join(table(wordings.where("n > 1"), "wordings-again").select("ph", "f"), "ph")
-    copies = copies.where(F.struct("doc_id", "th", "line") != F.col("f")).select("doc_id", "th", "line", F.col("f.doc_id").alias("kept_doc_id"))
-    copies = table(copies, "paragraph-copies")
-    met = rows.select("ph", F.posexplode(F.array(*(f"b{i}" for i in range(BANDS)))).alias("band", "key"))
-    leaders = met.groupBy("key").agg(F.min("ph").alias("low"), F.max("ph").alias("high"), F.max("band").alias("band")).where("low <> high")
-    leaders = table(leaders.select("key", F.when(F.col("band") % 2 == 0, F.col("low")).otherwise(F.col("high")).alias("leader")), "leaders")
-    close = met.join(leaders, "key").where("ph <> leader").select("ph", "leader").distinct()
-    first = wordings.select("ph", "f")
-    pairs = close.join(first.select(F.col("ph").alias("leader"), F.col("f").alias("a")), "leader").join(first.select("ph", F.col("f").alias("b")), "ph").select("a", "b")
-    pairs = table(pairs, "paragraph-pairs")
-    drop(rows)
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().select("a.*")
-    shingles = table(_shingles(docs, wanted).select(F.struct("doc_id", "th", "line").alias("p"), "sh"), "paragraph-shingles")
-    both = pairs.join(shingles.select(F.col("p").alias("a"), F.col("sh").alias("x")), "a").join(shingles.select(F.col("p").alias("b"), F.col("sh").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    node = lambda c: F.xxhash64(f"{c}.doc_id", f"{c}.th", f"{c}.line")
-    links = both.where(common >= SIMILARITY * (F.size("x") + F.size("y") - common)).select("a", "b", node("a").alias("na"), node("b").alias("nb"))
-    links = table(links, "paragraph-links")
-    comp = components(links.select(F.col("na").alias("a"), F.col("nb").alias("b")), "paragraph-components")
-    members = links.select("na", "a").union(links.select("nb", "b")).distinct().select(F.col("na").alias("node"), F.col("a").alias("p"))
-    members = table(members.join(comp, "node").select("p", "component"), "paragraph-members")
-    first = members.groupBy("component").agg(F.min("p").alias("f"))
-    near = members.join(first, "component").where("p <> f").select("p.doc_id", "p.th", "p.line", F.col("f.doc_id").alias("kept_doc_id"))
-    return copies.unionByName(near)
+
+def _wordings(found: DataFrame) -> DataFrame:
+    """h1, h2, f (first doc_id, th, start, stop, keys) and n of each distinct wording of a paragraph."""
+    p = found.select("doc_id", "th", F.explode("paragraphs").alias("p"))
+    first = F.min(F.struct("doc_id", "th", "p.start", "p.stop", "p.keys"))
+    return table(p.groupBy("p.h1", "p.h2").agg(first.alias("f"), F.count("*").alias("n")).select("h1", "h2", "f.*", "n"), "wordings")
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """Spans to remove: doc_id, th, start, stop (word places; null for a whole line), line, kept_doc_id.
+    """Spans to remove: doc_id, th, start, stop (word places), kind (passage or paragraph), kept_doc_id.
 
     Texts that are null, or documents without an id, are left alone. Rows that repeat a doc_id and its
-    text are one document. kept_doc_id is a document in which an earlier copy begins.
+    text are one document. kept_doc_id is a document in which an earlier copy begins. Empty, blank and
+    short texts have no spans, very long ones are worked on whole; an empty table gives none. Columns
+    but doc_id and text are not read.
     """
-    runs = passage_runs(docs).select("doc_id", "th", "start", "stop", F.lit(None).cast("long").alias("line"), "kept_doc_id")
-    lines = paragraph_removals(docs).select("doc_id", "th", F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("stop"), "line", "kept_doc_id")
-    return table(runs.unionByName(lines).distinct(), "removals")
+    found = table(units(docs), "units")
+    runs = _runs(found)
+    wordings = _wordings(found)
+    # the node of a wording is the first half of its digest
+    met = bands.shared(wordings.select(F.col("h1").alias("node"), F.explode("keys").alias("key")).distinct(), "paragraphs")
+    alone = F.lit(None).cast("long").alias("node")
+    wanted = met.select("node").distinct().join(wordings.withColumnRenamed("h1", "node"), "node").select("doc_id", "th", "start", "stop", "node")
+    wanted = wanted.union(runs.select("doc_id", "th", "start", "stop", alone))
+    wanted = wanted.union(runs.select("f_doc", "f_th", F.col("start") + F.col("shift"), F.col("stop") + F.col("shift"), alone))
+    seen = table(_looked_up(docs, wanted), "looked-up")
+
+    own = seen.where("node is null").select("doc_id", "th", "start", "stop", "digest", "before", "behind")
+    keeper = own.select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), F.col("start").alias("f_start"), F.col("stop").alias("f_stop"), *(F.col(c).alias(f"f_{c}") for c in ("digest", "before", "behind")))
+    both = runs.join(own, ["doc_id", "th", "start", "stop"]).withColumns({"f_start": F.col("start") + F.col("shift"), "f_stop": F.col("stop") + F.col("shift")})
+    both = both.join(keeper, ["f_doc", "f_th", "f_start", "f_stop"]).where("digest = f_digest")
+    start, stop = F.col("start") - _agree("before", "f_before"), F.col("stop") + _agree("behind", "f_behind")
+    passages = both.select("doc_id", "th", start.alias("start"), stop.alias("stop"), F.lit("passage").alias("kind"), F.col("f_doc").alias("kept_doc_id"))
+
+    comp = bands.linked(met, seen.where("node is not null").select("node", "sh"), "paragraphs", SIMILARITY)
+    named = wordings.drop("keys").join(comp.withColumnRenamed("node", "h1"), "h1", "left").where("n > 1 or component is not null")
+    named = table(named.select("h1", "h2", F.coalesce("component", "h1").alias("component"), F.struct("doc_id", "th", "start").alias("f")), "paragraphs-named")
+    first = named.groupBy("component").agg(F.min("f").alias("f"))
+    named = table(named.drop("f").join(first, "component").select("h1", "h2", "f"), "paragraphs-kept")
+    p = found.select("doc_id", "th", F.explode("paragraphs").alias("p")).select("doc_id", "th", "p.start", "p.stop", "p.h1", "p.h2")
+    lines = p.join(named, ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
+    lines = lines.select("doc_id", "th", "start", "stop", F.lit("paragraph").alias("kind"), F.col("f.doc_id").alias("kept_doc_id"))
+    out = table(passages.unionByName(lines).distinct(), "removals")
+    drop(found), drop(seen), drop(runs)
+    return out
 
 
 def clusters(found: DataFrame) -> DataFrame:
@@ -296,19 +267,17 @@ def clusters(found: DataFrame) -> DataFrame:
     return found.join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left").withColumn("cluster_id", F.coalesce("c", "doc_id")).drop("c")
 
 
-def without(text: str, spans: list[tuple[int, int]], lines: list[int]) -> str:
-    """text without the given runs of words and lines; what is left keeps its own spaces."""
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """text without the given runs of words; what is left keeps its own spaces."""
     raw = text.encode()
-    starts, words = paragraphs(text)
+    words = raw.split()
     gone = np.zeros(len(words), bool)
     for a, b in spans:
         gone[a:b] = True
-    for k in lines:
-        gone[starts[k] : starts[k + 1]] = True
     out, at, place = [], 0, 0
-    for word, drop in zip(words, gone.tolist()):
+    for word, drop_ in zip(words, gone.tolist()):
         begin = raw.index(word, at)
-        if not drop:
+        if not drop_:
             out.append(raw[place : begin + len(word)])
         place = at = begin + len(word)
     out.append(raw[place:])
@@ -322,31 +291,23 @@ def dedup(docs: DataFrame) -> DataFrame:
     Documents of which nothing is left go; all others, also those without words from the start, stay
     with all their columns.
     """
-    found = removals(docs).groupBy("doc_id", "th").agg(
-        F.collect_list(F.when(F.col("line").isNull(), F.struct("start", "stop"))).alias("_spans"), F.collect_list("line").alias("_lines")
-    ).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_spans", "_lines")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            th = [None if t is None else text_hash(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(th, pa.int64())], [*b.schema.names, "_h"])
-
+    found = removals(docs).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     types, names = dict(docs.dtypes), docs.columns
-    schema = ", ".join(f"`{c}` {types[c]}" for c in names)
-    d = docs.mapInArrow(hashed, f"{schema}, _h long")
-    d = d.join(found, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_h") == F.col("_th")), "left").drop("_h", "_id", "_th")
+    d = docs.select(F.struct(*names).alias("r"), F.col("doc_id").cast("long").alias("i"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    d = d.join(found, F.expr("i = doc_id and h = th"), "left").select("r.*", F.col("spans").alias("__spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, keep = [], []
-            for text, spans, lines in zip(*(b.column(c).to_pylist() for c in ("text", "_spans", "_lines"))):
-                if spans or lines:
-                    text = without(text, [(s["start"], s["stop"]) for s in spans or []], lines or [])
-                    keep.append(bool(text))
-                else:
-                    keep.append(True)
-                texts.append(text)
-            cols = [pa.array(texts, pa.string()) if c == "text" else pa.array([None if t is None else len(t) for t in texts], b.schema.field(c).type) if c == "n_chars" else b.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
-
-    return d.mapInArrow(run, schema)
+            for k in range(0, b.num_rows, bands.SLICE):
+                own = b.slice(k, bands.SLICE)
+                texts, keep = own.column("text").to_pylist(), []
+                for i, spans in enumerate(own.column("__spans").to_pylist()):
+                    if spans:
+                        texts[i] = without(texts[i], [(s["start"], s["stop"]) for s in spans])
+                    keep.append(bool(texts[i] or not spans))
+                new = {"text": pa.array(texts, pa.string())}
+                if "n_chars" in names:
+                    new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], own.schema.field("n_chars").type)
+                yield pa.RecordBatch.from_arrays([new.get(c, own.column(c)) for c in names], names).filter(pa.array(keep))
+
+    return d.mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in names))
