@@ -118,7 +118,7 @@ def test_near_duplicates_with_shared_and_missing_ids(spark):
     assert got == sorted([(2, b), (5, a), (None, c_), (3, "")], key=str)
 
 
-def test_pairs_of_a_crowded_key_are_all_linked(spark):
+def test_pairs_of_a_crowded_key_are_all_linked(spark, monkeypatch):
     r = random.Random(8)
     rows = []
     for i in range(30):
@@ -129,5 +129,9 @@ def test_pairs_of_a_crowded_key_are_all_linked(spark):
     assert len(rows) > bands.FEW + 2
     sh = spark.createDataFrame(rows, "node long, sh array<long>")
     met = spark.createDataFrame([(n, 1) for n, _ in rows], "node long, key long")
-    got = {x["node"]: x["component"] for x in bands.linked(met, sh, "crowded").collect()}
-    assert got == {n: n - n % 2 for n, _ in rows}
+    for settings in ({}, {"BLOCK": 8}, {"FEW": 80}, {"CROWD": 40}):
+        for k, v in settings.items():
+            monkeypatch.setattr(bands, k, v)
+        got = {x["node"]: x["component"] for x in bands.linked(met, sh, "crowded").collect()}
+        assert got == {n: n - n % 2 for n, _ in rows}
+        monkeypatch.undo()

@@ -14,15 +14,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, table
+from tidemark.llm.common import components, drop, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Rows of a batch that are worked on together.
 SLICE = 128
-#: Members outside the largest component of a key that are compared with all its members.
+#: Members outside the largest component of a key whose pairs are joined; of more, blocks are compared.
 FEW = 32
-#: A key with more is split by FINER_BANDS bands of FINER_ROWS values of its own, up to LEVELS times.
+#: Members and queries of a block, in the mean.
+BLOCK = 1024
+#: A key with more members is split by FINER_BANDS bands of FINER_ROWS values of its own, up to LEVELS times.
+CROWD = 1 << 15
 FINER_BANDS, FINER_ROWS, LEVELS = 16, 4, 4
 #: Values before those of the finer bands: what an operator's own bands may take.
 OWN_VALUES = 64
@@ -101,10 +104,50 @@ def _verified(pairs: DataFrame, sh: DataFrame, similarity: float) -> DataFrame:
     return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _compared(dealt: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) alike in different components. dealt: key, m, q (the block), query, node, c, sh; queries of a
+    block are compared with its members by an inverted index, so only links come out."""
+
+    def run(t: pa.Table) -> pa.Table:
+        query = t.column("query").to_numpy()
+        node, c, sh = t.column("node").to_numpy(), t.column("c").to_numpy(), t.column("sh").combine_chunks()
+        size = np.diff(sh.offsets.to_numpy())
+        token, owner = sh.flatten().to_numpy(), np.repeat(np.arange(len(node)), size)
+        own = ~query[owner]
+        order = np.argsort(token[own], kind="stable")
+        index, holder = token[own][order], owner[own][order]
+        out = []
+        starts = np.cumsum([0, *size])
+        for i in np.flatnonzero(query):
+            x = token[starts[i] : starts[i + 1]]
+            low, high = np.searchsorted(index, x), np.searchsorted(index, x, "right")
+            n = high - low
+            hits = holder[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
+            common = np.bincount(hits, minlength=len(node))
+            alike = np.flatnonzero((common > 0) & (c != c[i]) & (common >= similarity * (size + size[i] - common)))
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in alike]
+        found = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return dealt.groupBy("key", "m", "q").applyInArrow(run, "a long, b long").distinct()
+
+
+def _blocks(own: DataFrame, crowded: DataFrame, sh: DataFrame, similarity: float) -> DataFrame:
+    """Links between the members of crowded keys that are of different components: each member outside the
+    key's largest component is a query against all its members."""
+    d = own.join(crowded, "key").withColumns({"ms": F.ceil(F.col("n") / BLOCK), "qs": F.ceil(F.col("others") / BLOCK)})
+    d = d.withColumns({"m": F.pmod(F.xxhash64("node"), "ms"), "q": F.pmod(F.xxhash64("node"), "qs")})
+    members = d.select("key", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qs") - 1)).alias("q"), F.lit(False).alias("query"), "node", "c")
+    queries = d.where("c <> top").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ms") - 1)).alias("m"), "q", F.lit(True).alias("query"), "node", "c")
+    return _compared(members.unionByName(queries).join(sh, "node").select("key", "m", "q", "query", "node", "c", "sh"), similarity)
+
+
 def shared(met: DataFrame, name: str) -> DataFrame:
     """The rows of met (node, key) whose key has two nodes or more."""
-    keys = met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key")
-    return table(met.join(table(keys, f"{name}-keys"), "key", "left_semi").select("node", "key"), f"{name}-met")
+    keys = table(met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key"), f"{name}-keys")
+    out = table(met.join(keys, "key", "left_semi").select("node", "key"), f"{name}-met")
+    drop(keys)
+    return out
 
 
 def linked(met: DataFrame, sh: DataFrame, name: str, similarity: float = SIMILARITY) -> DataFrame:
@@ -113,29 +156,43 @@ def linked(met: DataFrame, sh: DataFrame, name: str, similarity: float = SIMILAR
 
     A key's members first meet their smallest. Then, of a key that still holds several components, each
     member outside the largest meets all members of other components; with that every pair of the key is
-    joined or was compared. Where those members are more than FEW, the key is first split by bands of
-    further values, in which pairs of 0.8 collide with probability 0.9998 again.
+    joined or was compared. Where those members are more than FEW, they are compared in blocks, from which
+    only links come out. Keys of more than CROWD members are first split by bands of further values, in
+    which pairs of 0.8 collide with probability 0.9998 again.
     """
-    links = None
-    for level in range(LEVELS + 1):
+    links, level, made = [], 0, []
+
+    def kept(df: DataFrame, what: str) -> DataFrame:
+        made.append(table(df, f"{name}-{what}"))
+        return made[-1]
+
+    def all_links() -> DataFrame:
+        out = links[0]
+        for x in links[1:]:
+            out = out.unionByName(x)
+        return out
+
+    while True:
         first = met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-        first = table(first, f"{name}-first")
-        new = table(_verified(met.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), sh, similarity), f"{name}-links")
-        links = new if links is None else links.unionByName(new)
-        comp = components(links, f"{name}-met")
+        first = kept(first, "first")
+        links.append(kept(_verified(met.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), sh, similarity), "links"))
+        comp = components(all_links(), f"{name}-met")
         own = met.join(first.select("key"), "key", "left_semi").join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        own = table(own, f"{name}-own")
+        own = kept(own, "own")
         sizes = own.groupBy("key", "c").agg(F.count("*").alias("n"))
         open_ = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
-        open_ = table(open_.select("key", F.col("top.c").alias("top"), (F.col("n") - F.col("top.n")).alias("others")), f"{name}-open")
-        few = open_ if level == LEVELS else open_.where(F.col("others") <= FEW)
-        others = own.join(few, "key").where("c <> top").select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
+        open_ = kept(open_.select("key", "n", F.col("top.c").alias("top"), (F.col("n") - F.col("top.n")).alias("others")), "open")
+        few, huge = F.col("others") <= FEW, (F.col("others") > FEW) & (F.col("n") > CROWD) & F.lit(level < LEVELS)
+        others = own.join(open_.where(few), "key").where("c <> top").select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
         cross = own.join(others, "key").where("c <> ca").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        cross = table(_verified(cross, sh, similarity), f"{name}-cross")
-        crowded = open_.where(F.col("others") > FEW)
-        if level == LEVELS or crowded.isEmpty():
-            return comp if cross.isEmpty() else components(links.unionByName(cross), name)
-        links = links.unionByName(cross)
+        more = kept(_verified(cross, sh, similarity), "cross")
+        if not open_.where(~few & ~huge).isEmpty():
+            more = more.unionByName(kept(_blocks(own, open_.where(~few & ~huge), sh, similarity), "blocks"))
+        links.append(more)
+        if open_.where(huge).isEmpty():
+            comp = table(comp if more.isEmpty() else components(all_links(), name), f"{name}-components")
+            drop(*made)
+            return comp
         at = OWN_VALUES + level * FINER_BANDS * FINER_ROWS
 
         def finer(batches: Iterator[pa.RecordBatch], at: int = at) -> Iterator[pa.RecordBatch]:
@@ -145,8 +202,7 @@ def linked(met: DataFrame, sh: DataFrame, name: str, similarity: float = SIMILAR
                     keys = band_keys(np.concatenate(sets), ends(sets), FINER_BANDS, FINER_ROWS, at)
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(k, SLICE), lists(keys, pa.array(keys.ravel()))], ["node", "finer"])
 
-        again = own.join(crowded.select("key"), "key", "left_semi").select("key", "node")
+        again = own.join(open_.where(huge).select("key"), "key", "left_semi").select("key", "node")
         keys = sh.join(again.select("node").distinct(), "node", "left_semi").select("node", "sh").mapInArrow(finer, "node long, finer array<long>")
         met = again.join(keys, "node").select("node", F.explode("finer").alias("f"), "key").select("node", F.xxhash64("key", "f").alias("key"))
-        met = table(met, f"{name}-finer")
-    raise AssertionError("the last level returns")
+        met, level = kept(met, "finer"), level + 1

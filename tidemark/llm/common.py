@@ -48,10 +48,12 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(df: DataFrame) -> None:
-    """Deletes a table that table() wrote and nothing reads any more."""
-    files = df.inputFiles()
-    if files:
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that table() wrote and nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if not files:
+            continue
         jvm = df.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -80,6 +82,7 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
         ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
         return df, ends.where("up > 1 or up + down > 1").agg(F.count("*")).first()[0] == 0
 
+    made = []
     pair = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e, stars = settle(edges.where("a <> b").select(pair.alias("p")).select("p.a", "p.b"), 0)
     k = 0
@@ -90,10 +93,12 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 64)
         low = table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-low-{k}")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = table(large, f"{name}-large-{k}")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(
+        made += [e, low, large]
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p")
         )
         e, stars = settle(small.select("p.a", "p.b"), k)
+    drop(*made)
     roots = e.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

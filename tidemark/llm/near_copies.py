@@ -92,8 +92,9 @@ def kept(docs: DataFrame) -> DataFrame:
     wanted = met.select("node").distinct().join(one, "node").select("f.doc_id", "f.th", "node")
     sh = table(wording_shingles(docs, wanted), "near-shingles")
     comp = bands.linked(met, sh, "near")
-    drop(rows)
     named = one.join(comp, "node", "left").select("f", F.coalesce("component", "node").alias("component"))
     first = named.groupBy("component").agg(F.min("f").alias("f")).select("f.doc_id", "f.th")
-    # groups of one wording have no other document of its place: the place tells which rows stay
-    return table(own.alias("o").join(first.alias("f"), F.expr("o.doc_id <=> f.doc_id and o.th = f.th"), "left_semi").select("doc_id", "th", "n"), "near-kept")
+    out = own.alias("o").join(first.alias("f"), F.expr("o.doc_id <=> f.doc_id and o.th = f.th"), "left_semi").select("doc_id", "th", "n")
+    out = table(out, "near-kept")
+    drop(rows, own, one, met, sh, comp)
+    return out

@@ -142,8 +142,8 @@ def _runs(found: DataFrame) -> DataFrame:
     met = twice.join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
     # rows alike in doc_id and text are combined before the shuffle
     met = table(met.where("not (doc_id = f_doc and th = f_th and shift = 0)").distinct(), "passages-met")
-    drop(again), drop(twice), drop(first)
-    met = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "f_doc", "f_th", "shift", "at")
+    drop(again, twice, first)
+    dealt = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "f_doc", "f_th", "shift", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(x: np.ndarray) -> pa.RecordBatch:
@@ -167,7 +167,9 @@ def _runs(found: DataFrame) -> DataFrame:
         if len(rest):
             yield out(rest)
 
-    return table(met.mapInArrow(run, f"{_ID}, start long, stop long, f_doc long, f_th long, shift long"), "passage-runs")
+    out = table(dealt.mapInArrow(run, f"{_ID}, start long, stop long, f_doc long, f_th long, shift long"), "passage-runs")
+    drop(met)
+    return out
 
 
 def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -251,12 +253,12 @@ def removals(docs: DataFrame) -> DataFrame:
     named = wordings.drop("keys").join(comp.withColumnRenamed("node", "h1"), "h1", "left").where("n > 1 or component is not null")
     named = table(named.select("h1", "h2", F.coalesce("component", "h1").alias("component"), F.struct("doc_id", "th", "start").alias("f")), "paragraphs-named")
     first = named.groupBy("component").agg(F.min("f").alias("f"))
-    named = table(named.drop("f").join(first, "component").select("h1", "h2", "f"), "paragraphs-kept")
+    keepers = table(named.drop("f").join(first, "component").select("h1", "h2", "f"), "paragraphs-kept")
     p = found.select("doc_id", "th", F.explode("paragraphs").alias("p")).select("doc_id", "th", "p.start", "p.stop", "p.h1", "p.h2")
-    lines = p.join(named, ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
+    lines = p.join(keepers, ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
     lines = lines.select("doc_id", "th", "start", "stop", F.lit("paragraph").alias("kind"), F.col("f.doc_id").alias("kept_doc_id"))
     out = table(passages.unionByName(lines).distinct(), "removals")
-    drop(found), drop(seen), drop(runs)
+    drop(found, runs, wordings, met, seen, comp, named, keepers)
     return out
 
 
