@@ -84,23 +84,28 @@ def render(role: str, text: str) -> str:
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """conv_id, segment, formatted: the rendered turns of each conversation in order.
+    """conv_id, part, segment, formatted: the rendered turns of each conversation in order.
 
     Turns come in the order of (turn, role, text), nulls first; a null role or text is empty, null
-    conv_ids are one conversation, repeated rows repeated turns. A segment ends after a turn once it
-    has SEGMENT code points, so neither rows nor the task's memory grow with a conversation.
+    conv_ids are one conversation, repeated rows repeated turns. All turns are dealt by ranges of
+    (conv_id, turn, role), so a conversation of very many turns is rendered by many tasks: its segments are
+    ordered by (part, segment). A segment ends after a turn once it has SEGMENT code points, so neither
+    rows nor a task's memory grow with a conversation; a longer text is a turn, and a segment, of its own.
+    An empty table gives no rows; columns but conv_id, turn, role and text are not read.
     """
     d = conversations.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    d = d.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    d = d.repartitionByRange("conv_id", "turn", "role").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text", F.spark_partition_id().alias("part"))
+    names = ["conv_id", "part", "segment", "formatted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, segment, size, turns, rows = None, -1, 0, [], []
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], ["conv_id", "segment", "formatted"])
+        key, part, segment, size, turns, rows = None, 0, -1, 0, [], []
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.string())
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
         for b in batches:
-            for conv, role, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for conv, role, text, part in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if segment < 0 or conv != key or size >= SEGMENT:
                     if turns:
-                        rows.append((key, segment, "".join(turns)))
+                        rows.append((key, part, segment, "".join(turns)))
                     segment = segment + 1 if segment >= 0 and conv == key else 0
                     key, size, turns = conv, 0, []
                 turns.append(render(role, text))
@@ -109,18 +114,41 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
                 yield flush()
                 rows = []
         if turns:
-            rows.append((key, segment, "".join(turns)))
+            rows.append((key, part, segment, "".join(turns)))
             yield flush()
 
-    return d.mapInArrow(run, "conv_id long, segment long, formatted string")
+    return d.mapInArrow(run, "conv_id long, part int, segment long, formatted string")
+
+
+def parsed(formatted: DataFrame) -> DataFrame:
+    """conv_id, part, segment, n_turns, turns and loss (bytes to digest), loss_chars and chars of each segment,
+    as the parser finds them."""
+    names = ["conv_id", "part", "segment", "n_turns", "turns", "loss", "loss_chars", "chars"]
+
+    def one(text: str) -> tuple:
+        found = parse(text)
+        loss = "".join(body for role, body, _, _ in found if role == "assistant")
+        return len(found), "".join(f"{role}\n{body}\n" for role, body, _, _ in found).encode(), loss.encode(), len(loss), len(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                own = b.slice(at, 64)
+                found = [one(t) for t in own.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*own.columns[:3], *(pa.array([x[i] for x in found], t) for i, t in enumerate(types))], names)
+
+    schema = "conv_id long, part int, segment long, n_turns long, turns binary, loss binary, loss_chars long, chars long"
+    return formatted.select("conv_id", "part", "segment", "formatted").mapInArrow(run, schema)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what the parser finds in formatted conversations, one row each.
 
-    The segments of a conversation pass through its digests one after another.
+    Segments are parsed where they lie; only their bytes then pass through a conversation's digests, one
+    segment after another. Null conv_ids are one conversation; no segments, no rows.
     """
-    d = formatted.select("conv_id", "segment", "formatted").repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    d = parsed(formatted).repartition("conv_id").sortWithinPartitions("conv_id", "part", "segment")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,18 +165,16 @@ def read_back(formatted: DataFrame) -> DataFrame:
             return out
 
         for b in batches:
-            for conv, segment, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                if segment == 0:
+            for conv, _, _, n, turns, loss, loss_chars, chars in zip(*(b.column(i).to_pylist() for i in range(8))):
+                if state is None or conv != state[0]:
                     if state:
                         close()
                     state = [conv, 0, hashlib.sha256(), hashlib.sha256(), 0, 0]
-                for role, body, _, _ in parse(text):
-                    state[1] += 1
-                    state[2].update(f"{role}\n{body}\n".encode())
-                    if role == "assistant":
-                        state[3].update(body.encode())
-                        state[4] += len(body)
-                state[5] += len(text)
+                state[1] += n
+                state[2].update(turns)
+                state[3].update(loss)
+                state[4] += loss_chars
+                state[5] += chars
             if done:
                 yield flush()
         if state:
@@ -159,5 +185,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def round_trip(conversations: DataFrame) -> DataFrame:
-    """Formats, writes the output to the shared folder, and reads it back."""
+    """Formats, writes the output to the shared folder, and reads it back; odd inputs as in those two."""
     return read_back(table(format_conversations(conversations), "chat"))
