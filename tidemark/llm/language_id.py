@@ -9,7 +9,6 @@ batch of texts is scored by one product of its presence rows with that matrix.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,18 +17,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import table
+
 DIMENSION = 1 << 15
 LANDMARKS = 256
 RIDGE = 1e-2
 #: Labelled texts of a language that a model is fitted on, in the mean; their presence vectors are collected.
 SAMPLE_PER_LANG = 400
-MAX_LANGS = 200
+#: Labelled texts that a model is fitted on, in the mean; of very many languages each has fewer.
+SAMPLE_ROWS = 50_000
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _ODD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 _SHIFT = np.uint32(32 - 15)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a code point is of Unicode's category L."""
+    return any(map(str.isalpha, text))
+
+
 def presence(text: str | None) -> np.ndarray:
     """Which of the hashed n-grams of the whole text, in lower case, are there."""
     out = np.zeros(DIMENSION, bool)
@@ -56,7 +62,7 @@ class Model:
         out = (x @ self.fold) / size
         e = np.exp(6 * (out - out.max(axis=1, keepdims=True)))
         best = out.argmax(axis=1)
-        known = [t is not None and _LETTER.search(t) is not None for t in texts]
+        known = [t is not None and has_letter(t) for t in texts]
         score = np.where(known, (1 / e.sum(axis=1)), 0.0)
         return [self.langs[k] if ok else UNKNOWN for k, ok in zip(best, known)], score.astype(np.float64)
 
@@ -81,32 +87,41 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
 
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
-    """A model of docs.lang from a sample of its rows: about per_lang of each language, those whose
-    hashed id is small enough. Null languages and texts without letters are left out. Presence
-    vectors, of fixed size whatever the texts, are computed by the executors."""
-    d = docs.where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, per_lang / n)).otherwise(share)
+    """A model of docs.lang from a sample of its rows: about per_lang of each language, and SAMPLE_ROWS at
+    most of all, those whose hashed id is small enough. Null languages and texts without letters are left
+    out. Presence vectors, of fixed size however long a text is, are computed by the executors. There is
+    no limit of languages; each takes DIMENSION numbers of the model.
+
+    Repeated rows count as often as they are there; ties of the hash are ordered by id and vector. An
+    empty table gives a model that predicts UNKNOWN. Columns but doc_id, text and lang are not read.
+    """
+    d = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    counts = table(d.groupBy("lang").count(), "languages")
+    n = max(1, counts.count())
+    per_lang = max(1, min(per_lang, SAMPLE_ROWS // n))
+    d = d.join(counts, "lang")
+    share = F.lit(float(per_lang)) / F.col("count")
     unit = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
     d = d.where(unit < share).select("doc_id", "lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bits = [np.packbits(presence(t)).tobytes() if _LETTER.search(t) else None for t in b.column(2).to_pylist()]
+            bits = [np.packbits(presence(t)).tobytes() if has_letter(t) else None for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["doc_id", "lang", "bits"])
 
-    got = d.mapInArrow(run, "doc_id long, lang string, bits binary").where("bits is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "bits").limit(2 * per_lang * max(1, len(counts))).toArrow()
+    got = d.mapInArrow(run, "doc_id long, lang string, bits binary").where("bits is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "bits").limit(2 * per_lang * n).toArrow()
     bits = got.column("bits").to_pylist()
     x = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1) if bits else np.zeros((0, DIMENSION), np.uint8)
     return train(x, got.column("lang").to_pylist())
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns keep of docs, lang_pred and score; one row for each row of docs."""
+    """The columns keep of docs, lang_pred and score; one row for each row of docs, repeated or not.
+
+    A null text, and one without a letter, is UNKNOWN with score 0; whole texts count, however long; of
+    equal scores the language that sorts first is taken; an empty table gives no rows. keep must not name
+    a column lang_pred or score.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMENSION numbers a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
