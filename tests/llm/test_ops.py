@@ -514,6 +514,17 @@ def test_language_on_held_out(spark, odd):
     assert out[0]["lang_pred"] == out[1]["lang_pred"] == "und" and all(0 <= x["score"] <= 1 for x in out.values())
     assert language_id.predict(odd.limit(0), model, "doc_id").count() == 0
     assert language_id.fit(d.limit(0)).langs == ["und"]
+    signs = spark.createDataFrame([(0, "\u00bd \u00b2 \u2460 12 _"), (1, "12 \u02b0")], "doc_id long, text string")
+    got = {x["doc_id"]: x["lang_pred"] for x in language_id.predict(signs, model, "doc_id").collect()}
+    assert got[0] == "und" and got[1] != "und"
+
+
+def test_very_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 600)
+    r = random.Random(10)
+    docs = [(i, " ".join(chr(0x4E00 + 10 * (i % 300) + r.randrange(10)) for _ in range(30)), f"l{i % 300}", "s", 0) for i in range(900)]
+    model = language_id.fit(spark.createDataFrame(docs, SCHEMA))
+    assert len(model.langs) > 200
 
 
 def test_presence_kernel_equals_sets():
@@ -602,6 +613,22 @@ def test_chat_digests(spark):
     assert chat.round_trip(d.limit(0)).count() == 0
 
 
+def test_a_conversation_is_rendered_by_many_tasks(spark):
+    rows = [(None, i // 2, ("assistant", "user")[i % 2], f"</s> {i}") for i in range(3000)] + [(1, 0, "user", "x" * 300_000)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        formatted = common.table(chat.format_conversations(d), "chat")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert formatted.where("conv_id is null").select("part").distinct().count() > 1
+    got = by_id(chat.read_back(formatted))
+    ((n, sha, chars, _, _),) = got[None]
+    turns = sorted((t, r, x) for c, t, r, x in rows if c is None)
+    assert n == 3000 and sha == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+    assert chars == sum(len(x) for _, r, x in turns if r == "assistant") and got[1][0][4] == 300_000 + 15
+
+
 # --- 10 mixing -----------------------------------------------------------------------------------
 
 
@@ -639,6 +666,31 @@ def test_mix_meets_targets(spark, odd):
     assert mixing.mix(sizes.limit(0)).count() == 0
 
 
+def test_mix_of_rows_alike_and_without_ids(spark, monkeypatch):
+    rows = [(None, 7, ["a"])] * 50 + [(None, 3, ["a"])] * 10 + [(i, 5, ["b"]) for i in range(40)] + [(1, 5, ["b"])] * 9
+    d = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>").withColumn("text_hash", F.col("size"))
+    got = []
+    for n, copies in ((50_000, 1 << 20), (2, 4)):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", n)
+        monkeypatch.setattr(mixing, "COPIES", copies)
+        got.append(sorted(map(str, mixing.mix(d.repartition(3), carry=("text_hash",)).collect())))
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    out = mixing.mix(d, carry=("text_hash",)).collect()
+    assert abs(sum(x["taken"] for x in out) - 1.5 * sum(r[1] for r in rows)) <= 1 and all(x["taken"] <= 2 * x["size"] for x in out)
+    assert sum(0 < x["taken"] % x["size"] for x in out) <= 2
+
+
+def test_route_falls_apart_into_what_hangs_together():
+    r = random.Random(2)
+    patterns = [([2 * k], r.randint(1, 50)) for k in range(20)] + [([2 * k, 2 * k + 1], r.randint(1, 50)) for k in range(20)]
+    quotas = [r.randint(0, 60) for _ in range(40)]
+    parts = mixing.joined(patterns, 40)
+    assert sorted(map(len, (p for p, _ in parts))) == [2] * 20
+    whole, own = mixing._flow(patterns, quotas, 2), mixing.route(patterns, quotas)
+    cost = lambda f: sum(max(0, sum(f.get((p, s), 0) for s in own) - size) for p, (own, size) in enumerate(patterns))
+    assert sum(whole.values()) == sum(own.values()) and cost(whole) == cost(own)
+
+
 def test_mix_of_overlapping_sources(spark):
     d = spark.createDataFrame([(i, ["a"] if i % 3 else ["a", "b"], 10) for i in range(60)], "doc_id long, sources array<string>, size long")
     rows = mixing.mix(d, weights=(1, 1), share=1.0).collect()

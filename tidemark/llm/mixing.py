@@ -5,7 +5,10 @@ patterns to sources routes words to the sources' quotas: each repetition of a pa
 arc of its own whose cost rises with the repetition (a convex cost), so fresh words go first and
 repetition is spread. Seeded selection then turns each pattern's words into documents.
 
-Only the totals by pattern reach the driver, MAX_PATTERNS at most; a table with more is refused.
+Sources that no pattern joins, directly or over others, have flows of their own, so a table of single
+sources costs one small flow each. Only the totals by pattern reach the driver, MAX_PATTERNS at most; a table
+with more is refused. A flow of n patterns over sources that all hang together takes about n * n * 13
+microseconds (2000 patterns: 51 s), so that is the real limit for overlapping sources.
 """
 
 from __future__ import annotations
@@ -23,7 +26,11 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 MAX_PATTERNS = 100_000
-BUCKETS = 1024
+#: Rows of a pattern that are put in order together, in the mean.
+BUCKET_ROWS = 50_000
+#: Rows alike that one task writes.
+COPIES = 1 << 20
+_KEY_BITS = 60
 SEED = "mix"
 
 
@@ -45,12 +52,43 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
     return out
 
 
+def joined(patterns: Sequence[tuple[Sequence[int], int]], sources: int) -> list[tuple[list[int], list[int]]]:
+    """The patterns, and the sources, that hang together."""
+    parent = list(range(sources))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for own, _ in patterns:
+        for s in own:
+            parent[root(s)] = root(own[0])
+    parts: dict[int, tuple[list[int], list[int]]] = {}
+    for s in range(sources):
+        parts.setdefault(root(s), ([], []))[1].append(s)
+    for p, (own, _) in enumerate(patterns):
+        parts[root(own[0])][0].append(p)
+    return list(parts.values())
+
+
 def route(patterns: Sequence[tuple[Sequence[int], int]], quotas: Sequence[int], epochs: int = EPOCHS) -> dict[tuple[int, int], int]:
     """Min-cost flow: words of pattern p that go to source s, as {(p, s): words}.
 
-    patterns: sources and size of each. Repetition k of a pattern costs k a word. Successive
-    shortest paths with potentials; all costs are small whole numbers.
+    patterns: sources and size of each. Repetition k of a pattern costs k a word. What hangs together is
+    routed by itself.
     """
+    out = {}
+    for ps, ss in joined(patterns, len(quotas)):
+        place = {s: i for i, s in enumerate(ss)}
+        flow = _flow([([place[s] for s in patterns[p][0]], patterns[p][1]) for p in ps], [quotas[s] for s in ss], epochs)
+        out |= {(ps[p], ss[s]): words for (p, s), words in flow.items()}
+    return out
+
+
+def _flow(patterns: Sequence[tuple[Sequence[int], int]], quotas: Sequence[int], epochs: int) -> dict[tuple[int, int], int]:
+    """route, by successive shortest paths with potentials; all costs are small whole numbers."""
     n, m = len(patterns), len(quotas)
     sink = n + m + 1
     graph: list[list[list[int]]] = [[] for _ in range(sink + 1)]  # arcs: to, room, cost, place of the reverse arc
@@ -110,15 +148,18 @@ def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float =
     takes of the row, repetitions counted: 0 to epochs times its size. Sources are ranked by code
     point with null last and weigh ``weights`` in turn. Within a pattern whole documents are taken in
     the order of md5(seed:doc_id), each row in its own place, and one document is cut to meet the
-    pattern's words exactly. Rows alike in doc_id are ordered by size; rows alike in both are the
-    same for every result. Empty arrays and nulls count as the null source; size 0 takes 0; no rows,
-    no rows. Reruns agree.
+    pattern's words exactly. Rows alike in doc_id are ordered by size; rows alike in all columns are
+    counted before the shuffle and share a place, one after another. Empty arrays and nulls count as the
+    null source; size 0 takes 0, however long a text is only its size counts; no rows, no rows. Reruns
+    agree.
     """
     named = F.coalesce(*(F.col(c).cast("string") for c in ("doc_id", *carry[:1])), F.lit(""))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), named).cast("binary"))
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), named).cast("binary")), 1, _KEY_BITS // 4), 16, 10).cast("long")
     own = F.when(F.size(F.coalesce("sources", F.array())) > 0, F.array_sort(F.array_distinct("sources"))).otherwise(F.array(F.lit(None).cast("string")))
-    d = table(sizes.select("doc_id", "size", own.alias("sources"), key.alias("key"), *carry), "mix-sizes")
-    rows = d.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
+    d = sizes.select("doc_id", "size", own.alias("sources"), key.alias("key"), *carry)
+    d = table(d.groupBy(*d.columns).agg(F.count("*").alias("copies")), "mix-sizes")
+    all_ = F.col("size") * F.col("copies")
+    rows = d.groupBy("sources").agg(F.sum(all_).alias("size"), F.count("*").alias("n"), F.max("copies").alias("most")).limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
     rows = sorted(rows, key=lambda r: [(s is None, s or "") for s in r["sources"]])
@@ -137,17 +178,22 @@ def mix(sizes: DataFrame, *, weights: Sequence[float] = WEIGHTS, share: float =
         "sources array<string>, pattern_size long, source_size long, target double, rounds long, rest long",
     )
     plan = table(plan.withColumn("pattern", F.xxhash64(F.to_json("sources"))), "mix-plan")
-    d = d.withColumn("pattern", F.xxhash64(F.to_json("sources"))).withColumn("bucket", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % BUCKETS)
+    bits = min(_KEY_BITS, (max((r["n"] for r in rows), default=0) // BUCKET_ROWS).bit_length())
+    d = d.withColumns({"pattern": F.xxhash64(F.to_json("sources")), "bucket": F.shiftright("key", _KEY_BITS - bits)})
     # the words before a bucket come from totals by bucket; only rows of one bucket of one pattern are put in order
-    total = d.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
+    total = d.groupBy("pattern", "bucket").agg(F.sum(all_).alias("n"))
     before = total.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plan = before.join(plan, "pattern").select("pattern", "bucket", "before", "source_size", "target", "rounds", "rest")
     order = Window.partitionBy("pattern", "bucket").orderBy("key", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    extra = F.least(F.greatest(F.col("rest") - ahead, F.lit(0)), F.col("size"))
-    return d.join(plan, ["pattern", "bucket"]).select(
-        "doc_id", "sources", "size", "source_size", "target", (F.col("rounds") * F.col("size") + extra).alias("taken"), *carry
-    )
+    d = d.withColumn("ahead", F.coalesce(F.sum(all_).over(order), F.lit(0))).join(plan, ["pattern", "bucket"])
+    d = d.withColumn("left", F.greatest(F.col("rest") - F.col("before") - F.col("ahead"), F.lit(0)))
+    if max((r["most"] for r in rows), default=0) > COPIES:
+        d = d.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES)))).repartition("key", "from")
+    else:
+        d = d.withColumn("from", F.lit(0).cast("long"))
+    d = d.withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + COPIES, "copies") - 1)))
+    extra = F.least(F.greatest(F.col("left") - F.col("copy") * F.col("size"), F.lit(0)), F.col("size"))
+    return d.select("doc_id", "sources", "size", "source_size", "target", (F.col("rounds") * F.col("size") + extra).alias("taken"), *carry)
 
 
 def single_source(col: str | Column = "source") -> Column:

@@ -65,8 +65,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = mixing.sized(_read(spark, sf_dir, "documents")).select("doc_id", "size", mixing.single_source().alias("sources"))
-    return mixing.mix(d).select("doc_id", "size", "source_size", "target", "taken")
+    d = mixing.sized(_read(spark, sf_dir, "documents")).withColumn("text_hash", F.xxhash64("text"))
+    d = d.select("doc_id", "size", mixing.single_source().alias("sources"), "text_hash")
+    return mixing.mix(d, carry=("text_hash",)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
