@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, drop, table
+from tidemark.llm.common import components, drop, table, within
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -145,7 +145,7 @@ def _blocks(own: DataFrame, crowded: DataFrame, sh: DataFrame, similarity: float
 def shared(met: DataFrame, name: str) -> DataFrame:
     """The rows of met (node, key) whose key has two nodes or more."""
     keys = table(met.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key"), f"{name}-keys")
-    out = table(met.join(keys, "key", "left_semi").select("node", "key"), f"{name}-met")
+    out = table(within(met, keys, "key").select("node", "key"), f"{name}-met")
     drop(keys)
     return out
 

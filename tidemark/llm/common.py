@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+#: Rows of keys that are broadcast at most.
+BROADCAST_ROWS = 1 << 20
 
 
 def text_of(col: str | Column = "text") -> Column:
@@ -66,6 +68,15 @@ def clear_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def within(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of df whose long column ``on`` is one of keys, a written table of that column.
+
+    Its size is checked: up to BROADCAST_ROWS rows, 8 MB, are broadcast and df stays where it is; beyond
+    that both are shuffled, and a skewed key is split.
+    """
+    return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 64) -> DataFrame:
     """Connected components of (a, b) long pairs: columns node, component (its smallest node).
 

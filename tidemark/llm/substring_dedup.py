@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bands
 from tidemark.llm.bands import SHINGLE, SIMILARITY, grams, powers, prefixes, word_hashes
-from tidemark.llm.common import components, drop, table
+from tidemark.llm.common import components, drop, table, within
 
 MIN_WORDS = 20
 BANDS, BAND_ROWS = 12, 3
@@ -137,7 +137,7 @@ def _runs(found: DataFrame) -> DataFrame:
     a = found.select("doc_id", "th", F.explode("anchors").alias("a")).select("doc_id", "th", "a.key", "a.at", "a.ahead")
     # which anchors recur is counted before the shuffle; only those are then shuffled with their places
     again = table(a.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors-again")
-    twice = table(a.join(again, "key"), "anchors-twice")
+    twice = table(within(a, again, "key"), "anchors-twice")
     first = table(twice.groupBy("key").agg(F.min(F.struct("doc_id", "th", "at", "ahead")).alias("f")), "anchors-first")
     met = twice.join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
     # rows alike in doc_id and text are combined before the shuffle
@@ -235,7 +235,7 @@ def removals(docs: DataFrame) -> DataFrame:
     runs = _runs(found)
     wordings = _wordings(found)
     # the node of a wording is the first half of its digest
-    met = bands.shared(wordings.select(F.col("h1").alias("node"), F.explode("keys").alias("key")).distinct(), "paragraphs")
+    met = bands.shared(wordings.select(F.col("h1").alias("node"), F.explode("keys").alias("key")), "paragraphs")
     alone = F.lit(None).cast("long").alias("node")
     wanted = met.select("node").distinct().join(wordings.withColumnRenamed("h1", "node"), "node").select("doc_id", "th", "start", "stop", "node")
     wanted = wanted.union(runs.select("doc_id", "th", "start", "stop", alone))
