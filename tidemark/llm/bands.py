@@ -106,7 +106,8 @@ def _verified(pairs: DataFrame, sh: DataFrame, similarity: float) -> DataFrame:
 
 def _compared(dealt: DataFrame, similarity: float) -> DataFrame:
     """(a, b) alike in different components. dealt: key, m, q (the block), query, node, c, sh; queries of a
-    block are compared with its members by an inverted index, so only links come out."""
+    block are compared with its members by an inverted index, and only links that join components that the
+    block has not joined yet come out: fewer than its members."""
 
     def run(t: pa.Table) -> pa.Table:
         query = t.column("query").to_numpy()
@@ -116,16 +117,28 @@ def _compared(dealt: DataFrame, similarity: float) -> DataFrame:
         own = ~query[owner]
         order = np.argsort(token[own], kind="stable")
         index, holder = token[own][order], owner[own][order]
-        out = []
+        out, of = [], np.unique(c, return_inverse=True)[1]
+        parent = np.arange(len(node))
+
+        def root(k: int) -> int:
+            while parent[k] != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
         starts = np.cumsum([0, *size])
         for i in np.flatnonzero(query):
-            x = token[starts[i] : starts[i + 1]]
-            low, high = np.searchsorted(index, x), np.searchsorted(index, x, "right")
+            mine = token[starts[i] : starts[i + 1]]
+            low, high = np.searchsorted(index, mine), np.searchsorted(index, mine, "right")
             n = high - low
             hits = holder[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
             common = np.bincount(hits, minlength=len(node))
             alike = np.flatnonzero((common > 0) & (c != c[i]) & (common >= similarity * (size + size[i] - common)))
-            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in alike]
+            for j in alike[np.unique(of[alike], return_index=True)[1]].tolist():
+                x, y = root(of[i]), root(of[j])
+                if x != y:
+                    parent[x] = y
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
         found = np.array(out, np.int64).reshape(-1, 2)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 

@@ -12,8 +12,8 @@ Two kinds of units collide, and both are checked before anything is removed.
 * Passages may begin and end inside a line or run over several. Of every WINDOW runs of GRAM words the one
   of the smallest hash is an anchor, so two documents that share GRAM + WINDOW - 1 = 50 words share an
   anchor. Every occurrence of an anchor meets the first one (never all pairs) and is a repeated passage of
-  GRAM words by itself, whatever other documents hold. Anchors that meet the same document at the same
-  shift make a run; the run must have the same 128-bit digest in both documents and is then extended word
+  GRAM words by itself, whatever other documents hold. (Where a document itself repeats an anchor, the later
+  ones meet the one before them.) Anchors that meet the same document at the same shift make a run; the run must have the same 128-bit digest in both documents and is then extended word
   by word, at most WINDOW - 1 words to either side, as far as the texts agree. Between two anchors of a
   passage at most one word is not of either, so with the extension the whole passage goes, but for words at
   its ends if the end's anchor stands still earlier in a third document that shares no more than it.
@@ -143,10 +143,20 @@ def _runs(found: DataFrame) -> DataFrame:
     # rows alike in doc_id and text are combined before the shuffle
     met = table(met.where("not (doc_id = f_doc and th = f_th and shift = 0)").distinct(), "passages-met")
     drop(again, twice, first)
-    dealt = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "f_doc", "f_th", "shift", "at")
+    dealt = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def nearest(x: np.ndarray) -> np.ndarray:
+            """Of a document's anchors that meet the same place, all but the first meet the one before them
+            instead: what a document repeats in itself is a run of one shift then."""
+            x = x[np.lexsort((x[:, 5], x[:, 5] + x[:, 4], x[:, 3], x[:, 2], x[:, 1], x[:, 0]))]
+            again = np.flatnonzero((np.diff(x[:, :4], axis=0) == 0).all(axis=1) & (np.diff(x[:, 5] + x[:, 4]) == 0)) + 1
+            shift, ahead = x[again - 1, 5] - x[again, 5], x[again - 1, 6]
+            x[again, 2], x[again, 3], x[again, 4], x[again, 7] = x[again, 0], x[again, 1], shift, ahead
+            return x[np.lexsort([x[:, k] for k in range(5, -1, -1)])]
+
         def out(x: np.ndarray) -> pa.RecordBatch:
+            x = nearest(x)
             at, ahead, f_ahead = x[:, 5], x[:, 6].view(np.uint64), x[:, 7].view(np.uint64)
             same = (np.diff(x[:, :5], axis=0) == 0).all(axis=1)
             gap = np.where(same, np.diff(at), 0)
