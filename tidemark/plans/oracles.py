@@ -284,3 +284,23 @@ SELECT doc_id, CASE WHEN g & 4 = 0 THEN '' WHEN k = 0 THEN source || ',audit' WH
 _AFTER = "(last_modified > TIMESTAMP '2000-01-01' OR (last_modified = TIMESTAMP '2000-01-01' AND engagement_id > 10))"
 SQL["soft_delete_scan"] = f"{_with('engagements')} SELECT engagement_id, last_modified FROM engagements WHERE NOT is_deleted AND {_AFTER}"
 SQL["soft_delete_changes"] = f"{_with('engagements')} SELECT engagement_id, last_modified, is_deleted AS is_delete FROM engagements WHERE {_AFTER}"
+
+_TABLES = """SELECT DISTINCT 'db' || doc_id % 7 AS database, lang || doc_id % 40 AS "table" FROM documents"""
+_GRANTED = """list_sort(list_filter([CASE WHEN database = 'db1' THEN 'analysts' END, CASE WHEN "table" LIKE 'en%' THEN 'english' END, CASE WHEN database = 'db4' AND "table" LIKE 'es%' THEN 'spain' END,
+  CASE WHEN database = 'db5' THEN 'readers' END, CASE WHEN database = 'db6' AND "table" LIKE 'fr%' THEN 'fr' END, CASE WHEN database = 'db0' AND "table" NOT LIKE 'en%' THEN 'rest' END], lambda x: x IS NOT NULL))"""
+_ROUTED = """SELECT database, "table", CASE WHEN reason IS NULL THEN 'index' ELSE 'live query' END AS verdict, reason, CASE WHEN reason IS NULL THEN array_to_string(groups, ',') ELSE '' END AS groups FROM r"""
+SQL["route_tables"] = f"""WITH t AS ({_TABLES}), g AS (SELECT *, {_GRANTED} AS groups FROM t),
+r AS (SELECT *, CASE WHEN database = 'db2' AND "table" = 'fr1' THEN 'row filter' WHEN database = 'db3' AND "table" LIKE 'de2%' THEN 'mask' WHEN database = 'db4' AND "table" LIKE 'es%' THEN 'deny'
+  WHEN database = 'db5' THEN 'column grant' WHEN len(groups) = 0 THEN 'no group' END AS reason FROM g) {_ROUTED}"""
+SQL["route_catalogue"] = f"""WITH t AS ({_TABLES}), g AS (SELECT *, {_GRANTED} AS groups FROM t),
+r AS (SELECT *, CASE WHEN database = 'db4' AND "table" LIKE 'es%' THEN 'deny' WHEN len(groups) = 0 THEN 'no group' END AS reason FROM g) {_ROUTED}"""
+SQL["route_databases"] = """WITH t AS (SELECT DISTINCT 'db' || doc_id % 7 AS database FROM documents)
+SELECT database, CASE database WHEN 'db4' THEN 'live query' ELSE 'index' END AS verdict, CASE database WHEN 'db4' THEN 'deny' END AS reason,
+ CASE database WHEN 'db0' THEN 'english,rest' WHEN 'db1' THEN 'analysts,english' WHEN 'db4' THEN '' WHEN 'db5' THEN 'english,readers' WHEN 'db6' THEN 'fr' ELSE 'english' END AS groups FROM t"""
+SQL["route_paths"] = """SELECT '/data/' || source || '/' || lang || '/f' || doc_id AS path, CASE WHEN lang = 'fr' THEN 'live query' ELSE 'index' END AS verdict, CASE WHEN lang = 'fr' THEN 'deny' END AS reason,
+ CASE WHEN lang = 'fr' THEN '' WHEN lang = 'en' AND doc_id < 10 THEN 'short,staff' ELSE 'staff' END AS groups FROM documents"""
+SQL["describable_columns"] = f"""WITH t AS ({_TABLES}) SELECT database, "table", CASE WHEN database = 'db5' THEN 'id,name' END AS columns FROM t"""
+SQL["unreadable_policies"] = """SELECT n_nationkey::BIGINT AS id, n_name AS name, CASE WHEN n_nationkey % 5 = 0 OR n_nationkey % 7 = 2 THEN 'refuse' ELSE 'warn' END AS effect FROM nation
+WHERE n_nationkey % 6 <> 3 AND (n_nationkey % 5 = 0 OR n_nationkey % 7 = 2 OR n_nationkey % 4 = 1)"""
+SQL["traverse_gates"] = """SELECT CASE WHEN doc_id % 2 = 1 THEN '/data/' || source || '/f' || doc_id ELSE '/open/f' || doc_id END AS path,
+ CASE WHEN doc_id % 2 = 0 THEN NULL WHEN source LIKE '%1' THEN 'ops' ELSE 'ops,staff' END AS gate, doc_id % 2 = 0 AS everyone FROM documents"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -512,6 +513,95 @@ def posix_read_groups(spark, d):
     return docs.select("doc_id", F.array_join(entitlement.read_groups(mode, acl, F.col("source")), ",").alias("readers"), F.array_join(entitlement.traverse_groups(mode, acl, F.col("source")), ",").alias("traversers"), entitlement.permission_bit(mode, 2, 4).alias("world"))
 
 
+def _grant(*groups, kind="select"):
+    return [{"groups": list(groups), "accesses": [{"type": kind, "isAllowed": True}]}]
+
+
+def _on(database, table, **more):
+    return {"database": {"values": [database]}, "table": {"values": [table]} | more}
+
+
+_POLICIES = [
+    {"id": 1, "resources": _on("db1", "*"), "policyItems": _grant("Analysts")},
+    {"id": 2, "resources": _on("db?", "EN*"), "policyItems": _grant("English", kind="read")},
+    {"id": 3, "resources": _on("db2", "fr1"), "policyType": entitlement.ROW_FILTER},
+    {"id": 4, "resources": _on("db3", "de2*"), "policyType": entitlement.MASKING},
+    {"id": 5, "resources": _on("db4", "es*"), "policyItems": _grant("spain"), "denyPolicyItems": _grant("temps")},
+    {"id": 6, "resources": _on("db5", "*") | {"column": {"values": ["Name", "id"]}}, "policyItems": _grant("readers")},
+    {"id": 7, "resources": _on("db6", "fr*"), "policyItems": _grant("fr", "ops"), "allowExceptions": _grant("OPS")},
+    {"id": 8, "resources": _on("db6", "fr3*"), "policyItems": _grant("fr"), "isDenyAllElse": True},
+    {"id": 9, "resources": _on("*", "*"), "policyItems": _grant("nobody"), "isEnabled": False},
+    {"id": 10, "resources": _on("db0", "en*", isExcludes=True), "policyItems": _grant("rest")},
+    {"id": 11, "resources": _on("db1", "de*"), "policyItems": _grant("writers", kind="update")},
+]
+_PATH_POLICIES = [
+    {"id": 20, "resources": {"path": {"values": ["/data/"], "isRecursive": True}}, "policyItems": _grant("staff", kind="read")},
+    {"id": 21, "resources": {"path": {"values": ["/data/*/fr"]}}, "denyPolicyItems": _grant("temps")},
+    {"id": 22, "resources": {"path": {"values": ["/data/*/en/f?"]}}, "policyItems": _grant("short", kind="read")},
+]
+
+
+def _policies(spark, policies):
+    return entitlement.parse_policies(spark.createDataFrame([(json.dumps(p),) for p in policies], "value string"))
+
+
+def _tables(spark, d):
+    docs = _read(spark, d, "documents")
+    return docs.select(F.concat(F.lit("db"), F.col("doc_id") % 7).alias("database"), F.concat("lang", F.col("doc_id") % 40).alias("table")).distinct()
+
+
+def _joined(routed):
+    return routed.withColumn("groups", F.array_join("groups", ","))
+
+
+@query
+def route_tables(spark, d):
+    return _joined(entitlement.route_tables(_tables(spark, d), _policies(spark, _POLICIES)))
+
+
+@query
+def route_catalogue(spark, d):
+    return _joined(entitlement.route_catalogue(_tables(spark, d), _policies(spark, _POLICIES)))
+
+
+@query
+def route_databases(spark, d):
+    return _joined(entitlement.route_databases(_tables(spark, d).select("database").distinct(), _policies(spark, _POLICIES)))
+
+
+@query
+def route_paths(spark, d):
+    paths = _read(spark, d, "documents").select(F.concat(F.lit("/data/"), "source", F.lit("/"), "lang", F.lit("/f"), "doc_id").alias("path"))
+    return _joined(entitlement.route_paths(paths, _policies(spark, _PATH_POLICIES)))
+
+
+@query
+def describable_columns(spark, d):
+    return entitlement.describable_columns(_tables(spark, d), _policies(spark, _POLICIES)).withColumn("columns", F.array_join(F.array_sort("columns"), ","))
+
+
+@query
+def unreadable_policies(spark, d):
+    """A policy for each row of nation, some of a zone, with users or with a schedule."""
+    n = F.col("n_nationkey")
+    item = F.concat(F.lit('[{"groups":["g"],"users":'), F.when(n % 4 == 1, F.lit('["u"]')).otherwise(F.lit("[]")), F.lit("}]"))
+    text_ = F.concat(F.lit('{"id":'), n, F.lit(',"name":"'), F.col("n_name"), F.lit('","zoneName":"'), F.when(n % 5 == 0, "z").otherwise(""), F.lit('","policyItems":'), item,
+                     F.when(n % 7 == 2, F.lit(',"validitySchedules":["s"]')).otherwise(""), F.when(n % 6 == 3, F.lit(',"isEnabled":false')).otherwise(""), F.lit("}"))
+    return entitlement.unreadable_policies(entitlement.parse_policies(_read(spark, d, "nation").select(text_.alias("value"))))
+
+
+@query
+def traverse_gates(spark, d):
+    """Files below a directory that groups may pass and ones that only operators may, or below an open one."""
+    docs = _read(spark, d, "documents")
+    odd = F.col("doc_id") % 2 == 1
+    files = docs.select(F.when(odd, F.concat(F.lit("/data/"), "source", F.lit("/f"), "doc_id")).otherwise(F.concat(F.lit("/open/f"), "doc_id")).alias("path"))
+    shut = F.col("source").endswith("1")
+    dirs = docs.select("source").distinct().select(F.concat(F.lit("/data/"), "source").alias("path"), F.when(shut, "710").otherwise("755").alias("permission"), F.array().cast("array<string>").alias("acl"), F.lit("Ops").alias("group"))
+    top = spark.createDataFrame([("/", "755", None, "root"), ("/open", "751", None, "root"), ("/data", "750", ["group::r-x", "group:ops:--x", "group:audit:r--"], "staff")], "path string, permission string, acl array<string>, group string")
+    return entitlement.traverse_gates(files, top.unionByName(dirs)).select("path", F.array_join(F.array_sort("gate"), ",").alias("gate"), "everyone")
+
+
 @query
 def soft_delete_scan(spark, d):
     return scans.full_scan(fixture(spark, d, "engagements"), "last_modified", "engagement_id", "is_deleted", marker_time="2000-01-01", marker_key=10).select("engagement_id", "last_modified")
