@@ -304,3 +304,19 @@ SQL["unreadable_policies"] = """SELECT n_nationkey::BIGINT AS id, n_name AS name
 WHERE n_nationkey % 6 <> 3 AND (n_nationkey % 5 = 0 OR n_nationkey % 7 = 2 OR n_nationkey % 4 = 1)"""
 SQL["traverse_gates"] = """SELECT CASE WHEN doc_id % 2 = 1 THEN '/data/' || source || '/f' || doc_id ELSE '/open/f' || doc_id END AS path,
  CASE WHEN doc_id % 2 = 0 THEN NULL WHEN source LIKE '%1' THEN 'ops' ELSE 'ops,staff' END AS gate, doc_id % 2 = 0 AS everyone FROM documents"""
+
+SQL["file_grants"] = """WITH m AS (SELECT doc_id AS i, source, doc_id % 8 & 4 <> 0 AS g, doc_id // 8 % 8 & 4 <> 0 AND doc_id % 5 <> 0 AS everyone FROM documents)
+SELECT '/f' || i AS path, array_to_string(list_sort(list_filter([CASE WHEN g AND (i % 4 <> 0 OR source = 'src0') AND source NOT LIKE '%3' THEN 'o-' || source END, CASE WHEN g AND i % 3 = 0 THEN 'o-audit' END,
+ CASE WHEN i % 7 = 0 THEN 'o-extra' END, CASE WHEN everyone THEN 'o-all' END], lambda x: x IS NOT NULL)), ',') AS acl FROM m"""
+SQL["lineage_visible"] = """WITH down AS (SELECT n_nationkey AS a, (7 * n_nationkey + 3) % 25 AS b FROM nation UNION SELECT n_nationkey, (7 * ((n_nationkey + 1) % 25) + 3) % 25 FROM nation WHERE n_nationkey % 3 = 0),
+links AS (SELECT a, 'downstream' AS direction, b FROM down WHERE a <> b UNION SELECT b, 'upstream', a FROM down WHERE a <> b)
+SELECT 'd' || a AS guid, direction, string_agg(n_name, ',' ORDER BY n_name) AS names FROM links JOIN nation ON n_nationkey = b WHERE b % 5 = 0 OR (a % 5 <> 0 AND a % 2 = b % 2) GROUP BY a, direction"""
+SQL["item_state"] = f"{_with('item')} SELECT connection_id, item_id, content_hash, acl_hash FROM item WHERE state = 1 AND cast(substr(item_id, 4) AS bigint) % 3 = 0"
+SQL["register_connections"] = f"""{_with('connection')} SELECT connection_id, CASE WHEN is_enabled THEN lower(display_name) ELSE display_name END AS display_name, is_enabled FROM connection
+UNION ALL SELECT 'conn99', display_name, is_enabled FROM connection WHERE connection_id = 'conn3'"""
+SQL["finish_run"] = f"""{_with('run')} SELECT run_id, CASE run_id WHEN 970 THEN 5 ELSE status END AS status, CASE run_id WHEN 970 THEN TIMESTAMP '2001-08-03 00:00:00' ELSE completed_utc END AS completed_utc,
+ CASE run_id WHEN 970 THEN 7 ELSE items_written END AS items_written, CASE run_id WHEN 970 THEN 2 ELSE items_failed END AS items_failed FROM run"""
+SQL["replace_run_rows"] = f"""{_with('throttle_event')}, again AS (SELECT run_id, throttle_event_id FROM throttle_event WHERE run_id < 5 AND throttle_event_id % 2 = 0)
+SELECT run_id, throttle_event_id, status_code FROM throttle_event WHERE run_id NOT IN (SELECT run_id FROM again) UNION ALL SELECT run_id, throttle_event_id, 0 FROM again"""
+SQL["purged_items"] = f"{_with('item')} SELECT connection_id, item_id, state FROM item WHERE NOT (state = 3 AND deleted_utc < TIMESTAMP '2001-07-04 00:00:00')"
+SQL["recent_activity"] = f"{_with('run', 'connection')}, {_DAILY} SELECT * FROM daily WHERE activity_date >= DATE '2001-07-04'"

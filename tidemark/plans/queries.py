@@ -610,3 +610,67 @@ def soft_delete_scan(spark, d):
 @query
 def soft_delete_changes(spark, d):
     return scans.incremental_scan(fixture(spark, d, "engagements"), "last_modified", "engagement_id", "is_deleted", marker_time="2000-01-01", marker_key=10).select("engagement_id", "last_modified", "is_delete")
+
+
+@query
+def file_grants(spark, d):
+    i = F.col("doc_id")
+    files = _read(spark, d, "documents").select(
+        F.concat(F.lit("/f"), i).alias("path"), F.concat(F.lit("6"), i % 8, F.floor(i / 8) % 8).alias("permission"), F.when(i % 3 == 0, F.array(F.lit("group::r--"), F.lit("group:audit:r--"))).alias("acl"),
+        F.col("source").alias("group"), F.when(i % 4 == 0, F.array(F.lit("SRC0"), F.lit("Audit"))).alias("gate"), (i % 5 != 0).alias("everyone"), F.when(i % 7 == 0, F.array(F.lit("Extra"))).alias("policy_groups"),
+    )
+    known = _read(spark, d, "documents").select("source").distinct().select(F.upper("source").alias("group"), F.when(~F.col("source").endswith("3"), F.concat(F.lit("o-"), "source")).alias("object_id"))
+    known = known.unionByName(spark.createDataFrame([("audit", "o-audit"), ("EXTRA", "o-extra")], "group string, object_id string"))
+    return entitlement.file_grants(files, known, "o-all").select("path", F.array_join("acl", ",").alias("acl"))
+
+
+@query
+def lineage_visible(spark, d):
+    """Nations as data, each with a process that leads to another nation or, for every third, to the next process."""
+    n = F.col("n_nationkey")
+    nations = _read(spark, d, "nation")
+    data = nations.select(F.concat(F.lit("d"), n).alias("guid"), F.lit(False).alias("is_process"), F.col("n_name").alias("qualified_name"))
+    entities = data.unionByName(nations.select(F.concat(F.lit("p"), n).alias("guid"), F.lit(True).alias("is_process"), F.lit("process").alias("qualified_name")))
+    edge = lambda a, b: nations.select(a.alias("from_id"), b.alias("to_id"))
+    edges = edge(F.concat(F.lit("d"), n), F.concat(F.lit("p"), n)).unionByName(edge(F.concat(F.lit("p"), n), F.concat(F.lit("d"), (n * 7 + 3) % 25)))
+    edges = edges.unionByName(edge(F.concat(F.lit("p"), n), F.concat(F.lit("p"), (n + 1) % 25)).where(F.expr("substr(from_id, 2) % 3 = 0")))
+    grants = nations.select(F.concat(F.lit("d"), n).alias("guid"), F.when(n % 5 == 0, F.array(F.lit("G0"), F.lit("g1"))).otherwise(F.array(F.concat(F.lit("g"), n % 2))).alias("groups"))
+    seen = entitlement.visible_neighbours(entitlement.lineage_neighbours(entities, edges, steps=3), grants)
+    return seen.select("guid", "direction", F.array_join("names", ",").alias("names"))
+
+
+@query
+def item_state(spark, d):
+    item = fixture(spark, d, "item")
+    return inventory.item_state(item, item.where("cast(substr(item_id, 4) AS bigint) % 3 = 0"))
+
+
+@query
+def register_connections(spark, d):
+    c = fixture(spark, d, "connection")
+    new = c.where("is_enabled").withColumn("display_name", F.lower("display_name"))
+    new = new.unionByName(c.where("connection_id = 'conn3'").withColumn("connection_id", F.lit("conn99")))
+    return inventory.register_connections(c, new).select("connection_id", "display_name", "is_enabled")
+
+
+@query
+def finish_run(spark, d):
+    done = inventory.finish_run(fixture(spark, d, "run"), 970, AS_OF, {"items_written": 7, "items_failed": 2})
+    return done.select("run_id", "status", "completed_utc", "items_written", "items_failed")
+
+
+@query
+def replace_run_rows(spark, d):
+    rows = fixture(spark, d, "throttle_event").select("run_id", "throttle_event_id", "status_code")
+    return inventory.replace_run_rows(rows, rows.where("run_id < 5 AND throttle_event_id % 2 = 0").withColumn("status_code", F.lit(0)))
+
+
+@query
+def purged_items(spark, d):
+    t = {k: fixture(spark, d, k) for k in ("run", "item", "checkpoint")}
+    return inventory.purge(t, AS_OF)["item"].select("connection_id", "item_id", "state")
+
+
+@query
+def recent_activity(spark, d):
+    return reporting.recent_activity(daily_activity(spark, d), AS_OF)
