@@ -46,10 +46,10 @@ SQL["flatten_level3"] = f"{_with(*_H)}{_LIVE} {_L3}"
 SQL["flatten_all"] = f"""{_with(*_H)}{_LIVE}, l1 AS ({_L1}), l2 AS ({_L2}), l3 AS ({_L3})
 SELECT 'Customer' AS item_type, count(*) AS items, count(DISTINCT item_id) AS ids, cast(sum(child_count) AS bigint) AS children FROM l1
 UNION ALL SELECT 'Engagement', count(*), count(DISTINCT item_id), cast(sum(child_count) AS bigint) FROM l2 UNION ALL SELECT 'TimeEntry', count(*), count(DISTINCT item_id), 0 FROM l3"""
-SQL["flatten_missing_ancestors"] = f"""{_with(*_H)} SELECT 'cust' || customer_id AS item_id, 'Customer' AS item_type, customer_id FROM customers WHERE false"""
+SQL["flatten_missing_ancestors"] = f"""{_with(*_H)}{_LIVE}, l2 AS ({_L2}) SELECT item_id, 'Engagement' AS item_type, customer_id FROM l2 WHERE customer_id % 5 = 0"""
 SQL["customer_hours"] = f"""{_with(*_H)}{_LIVE} SELECT c.customer_id, count(DISTINCT engagement_id) AS engagements, count(*) AS entries, sum(hours) AS hours,
  sum(CASE WHEN billable THEN hours ELSE 0 END) AS billable_hours, customer_name FROM t JOIN e USING (engagement_id) JOIN c ON c.customer_id = e.customer_id GROUP BY c.customer_id, customer_name"""
-SQL["childless_customers"] = f"{_with(*_H)}{_LIVE} SELECT customer_id, customer_name FROM c WHERE customer_id NOT IN (SELECT customer_id FROM e)"
+SQL["childless_customers"] = f"{_with(*_H)}{_LIVE} SELECT customer_id, customer_name FROM c WHERE customer_id NOT IN (SELECT customer_id FROM e WHERE customer_id % 4 <> 1)"
 SQL["replicated_counts"] = f"""{_with(*_H)}{_LIVE}, l1 AS ({_L1}), l2 AS ({_L2}), l3 AS ({_L3})
 SELECT 'Customer' AS item_type, 3 * count(*) AS items, 3 * count(DISTINCT item_id) AS ids FROM l1 UNION ALL SELECT 'Engagement', 3 * count(*), 3 * count(DISTINCT item_id) FROM l2
 UNION ALL SELECT 'TimeEntry', 3 * count(*), 3 * count(DISTINCT item_id) FROM l3"""

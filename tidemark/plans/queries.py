@@ -55,7 +55,10 @@ def flatten_all(spark, d):
 
 @query
 def flatten_missing_ancestors(spark, d):
-    return flatten.missing_ancestors(flatten.all_items(*_hierarchy(spark, d)))
+    """Of items as they are none; here every fifth customer's engagements lost their content."""
+    lost = (F.col("item_type") == "Engagement") & (F.col("customer_id") % 5 == 0)
+    items = flatten.all_items(*_hierarchy(spark, d))
+    return flatten.missing_ancestors(items.withColumn("content", F.when(lost, "lost").otherwise(F.col("content"))))
 
 
 @query
@@ -66,7 +69,7 @@ def customer_hours(spark, d):
 @query
 def childless_customers(spark, d):
     c, e, _ = _hierarchy(spark, d)
-    return flatten.childless(c, e, "customer_id").select("customer_id", "customer_name")
+    return flatten.childless(c, e.where("customer_id % 4 <> 1"), "customer_id").select("customer_id", "customer_name")
 
 
 @query
