@@ -193,6 +193,28 @@ def test_passages_are_found_wherever_they_stand(spark):
             assert len(t.split()) - 57 <= len(left[i]["text"].split()) <= len(t.split()) - 55
 
 
+def test_inner_anchors_change_no_run(spark, monkeypatch):
+    """With the anchors that always stand together met by their ends only, fewer meet and the same spans go."""
+    r = random.Random(5)
+    long, short = prose(400, r).split(), prose(60, r).split()
+    texts = [[*prose(r.randint(0, 30), r).split(), *long[: r.choice((400, 250))], *short, *prose(9, r).split()] for _ in range(25)]
+    texts += [[*short, *prose(20, r).split(), *long], [*long, *short, *long], prose(12, r).split(), long[:24]]
+    texts[7][140] = texts[9][200] = "changed"
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    ends, met = substring_dedup._ends, []
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+
+    def counted(twice):
+        met.append((ends(twice).count(), twice.select("key").distinct().count()))
+        return ends(twice)
+
+    monkeypatch.setattr(substring_dedup, "_ends", counted)
+    got = key(substring_dedup.removals(d))
+    assert met[0][0] < 0.8 * met[0][1]
+    monkeypatch.setattr(substring_dedup, "_ends", lambda twice: twice.groupBy("key").agg(F.min(F.struct("doc_id", "th", "at", "ahead")).alias("f")))
+    assert got == key(substring_dedup.removals(d))
+
+
 def word_grams(w, n=5):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 

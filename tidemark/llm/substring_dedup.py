@@ -13,8 +13,9 @@ Two kinds of units collide, and both are checked before anything is removed.
   of the smallest hash is an anchor, so two documents that share GRAM + WINDOW - 1 = 50 words share an
   anchor. Every occurrence of an anchor meets the first one (never all pairs) and is a repeated passage of
   GRAM words by itself, whatever other documents hold. (Where a document itself repeats an anchor, the later
-  ones meet the one before them.) Anchors that meet the same document at the same shift make a run; the run must have the same 128-bit digest in both documents and is then extended word
-  by word, at most WINDOW - 1 words to either side, as far as the texts agree. Between two anchors of a
+  ones meet the one before them.) Anchors that always stand together, with the same words between them, meet
+  it by their outermost two only. Anchors that meet the same document at the same shift make a run; the run
+  must have the same 128-bit digest in both documents and is then extended word by word, at most WINDOW - 1 words to either side, as far as the texts agree. Between two anchors of a
   passage at most one word is not of either, so with the extension the whole passage goes, but for words at
   its ends if the end's anchor stands still earlier in a third document that shares no more than it.
   Passages of fewer than GRAM words that are no paragraph (headings, short licence lines) always stay.
@@ -84,6 +85,15 @@ def paragraphs(lengths: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def links(p: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the words from each anchor's first to the next anchor's last; p: prefix hashes."""
+    if len(at) < 2:
+        return np.zeros(0, np.uint64)
+    stop = at[1:] + GRAM
+    wide = stop - at[:-1]
+    return bands.mixed(p[stop] - p[at[:-1]] * powers(int(wide.max()) + 1)[wide])
+
+
 def _digest(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
@@ -94,8 +104,8 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """doc_id, th, anchors (key, at: its first word, ahead: hash of the words before it) and paragraphs
-    (start, stop, h1 and h2: its digest, keys: of its bands) of each text of MIN_WORDS words or more."""
+    """doc_id, th, anchors (key, at: its first word, ahead: hash of the words before it, before and
+    behind: links to the anchors beside it, 0 for none) and paragraphs (start, stop, h1 and h2: its digest, keys: of its bands) of each text of MIN_WORDS words or more."""
 
     def one(text: str):
         lines = [line.split() for line in text.encode().split(b"\n")]
@@ -107,7 +117,8 @@ def units(docs: DataFrame) -> DataFrame:
         at = anchors(g)
         spans = paragraphs([len(line) for line in lines])
         digests = np.frombuffer(b"".join(_digest(words[a:b]) for a, b in spans), np.int64).reshape(-1, 2)
-        return g[at].view(np.int64), at, p[at].view(np.int64), np.array(spans, np.int64).reshape(-1, 2), digests, grams(p, SHINGLE)
+        link = np.concatenate([[0], links(p, at).view(np.int64), [0]])
+        return g[at].view(np.int64), at, p[at].view(np.int64), link[: len(at)], link[1 : len(at) + 1], np.array(spans, np.int64).reshape(-1, 2), digests, grams(p, SHINGLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,28 +128,44 @@ def units(docs: DataFrame) -> DataFrame:
                 which = [i for i, x in enumerate(got) if x]
                 if not which:
                     continue
-                key, at, ahead, spans, digests, g = zip(*(got[i] for i in which))
+                key, at, ahead, before, behind, spans, digests, g = zip(*(got[i] for i in which))
                 base = np.cumsum([0, *map(len, g)])
                 cuts = np.concatenate([s + [0, 1 - SHINGLE] + o for s, o in zip(spans, base)]).ravel()
                 keys = bands.band_keys(np.concatenate(g), cuts, BANDS, BAND_ROWS)
                 cat = lambda parts: pa.array(np.concatenate(parts))
-                a = pa.StructArray.from_arrays([cat(key), cat(at), cat(ahead)], ["key", "at", "ahead"])
+                a = pa.StructArray.from_arrays([cat(x) for x in (key, at, ahead, before, behind)], ["key", "at", "ahead", "before", "behind"])
                 span, digest = np.concatenate(spans), np.concatenate(digests)
                 p = [pa.array(x) for x in (span[:, 0], span[:, 1], digest[:, 0], digest[:, 1])]
                 p = pa.StructArray.from_arrays([*p, bands.lists(keys, pa.array(keys.ravel()))], ["start", "stop", "h1", "h2", "keys"])
                 yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(which)), own.column(1).take(pa.array(which)), bands.lists(key, a), bands.lists(spans, p)], ["doc_id", "th", "anchors", "paragraphs"])
 
-    schema = f"{_ID}, anchors array<struct<key:long,at:long,ahead:long>>, paragraphs array<struct<start:long,stop:long,h1:long,h2:long,keys:array<long>>>"
+    schema = f"{_ID}, anchors array<struct<key:long,at:long,ahead:long,before:long,behind:long>>, paragraphs array<struct<start:long,stop:long,h1:long,h2:long,keys:array<long>>>"
     return _documents(docs).mapInArrow(run, schema)
 
 
+def _ends(twice: DataFrame) -> DataFrame:
+    """key and f (its first doc_id, th, at, ahead) of the anchors that have to meet their first occurrence.
+
+    Where all occurrences of an anchor have the same link behind them, and all of the next anchor the same
+    one before them, the two stand together everywhere, and their first occurrences do too. An anchor with
+    such links on both sides is left out: its neighbours make the same run without it.
+    """
+    one = lambda c: F.when((F.min(c) == F.max(c)) & (F.min(c) != 0), F.min(c))
+    keys = table(twice.groupBy("key").agg(F.min(F.struct("doc_id", "th", "at", "ahead")).alias("f"), one("before").alias("before"), one("behind").alias("behind")), "anchors-keys")
+    solid = table(keys.select(F.col("behind").alias("link")).join(keys.select(F.col("before").alias("link")), "link"), "anchors-links")
+    inner = keys.select("key", "before", "behind").join(solid.withColumnRenamed("link", "before"), "before", "left_semi").join(solid.withColumnRenamed("link", "behind"), "behind", "left_semi")
+    out = table(keys.select("key", "f").join(inner.select("key"), "key", "left_anti"), "anchors-first")
+    drop(keys, solid)
+    return out
+
+
 def _runs(found: DataFrame) -> DataFrame:
     """doc_id, th, start, stop, f_doc, f_th, shift: runs of anchors that all meet the same earlier place."""
-    a = found.select("doc_id", "th", F.explode("anchors").alias("a")).select("doc_id", "th", "a.key", "a.at", "a.ahead")
+    a = found.select("doc_id", "th", F.explode("anchors").alias("a")).select("doc_id", "th", "a.*")
     # which anchors recur is counted before the shuffle; only those are then shuffled with their places
     again = table(a.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors-again")
     twice = table(within(a, again, "key"), "anchors-twice")
-    first = table(twice.groupBy("key").agg(F.min(F.struct("doc_id", "th", "at", "ahead")).alias("f")), "anchors-first")
+    first = _ends(twice)
     met = twice.join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
     # rows alike in doc_id and text are combined before the shuffle
     met = table(met.where("not (doc_id = f_doc and th = f_th and shift = 0)").distinct(), "passages-met")
