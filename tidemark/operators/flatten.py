@@ -27,9 +27,10 @@ COLUMNS = {
 
 
 def _item(df: DataFrame, **given: Column) -> DataFrame:
-    """All columns in order: given ones, else those of df, else nulls."""
+    """All columns in order: given ones, else those of df, else nulls. effective_modified comes along if df has it."""
     own = set(df.columns)
-    return df.select(*((given[n] if n in given else F.col(n) if n in own else F.lit(None)).cast(t).alias(n) for n, t in COLUMNS.items()))
+    more = [c for c in ("effective_modified",) if c in own]
+    return df.select(*((given[n] if n in given else F.col(n) if n in own else F.lit(None)).cast(t).alias(n) for n, t in COLUMNS.items()), *more)
 
 
 def live(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.hashing import HASH_VERSION
 from tidemark.functions.times import instant
 
 LIVE, PENDING, DELETED = 1, 2, 3
@@ -152,6 +153,64 @@ def open_runs(runs: DataFrame, as_of, lease_seconds: int, abandon_hours: int) ->
     return runs.where(F.col("status") == RUNNING).withColumn("fate", F.when(F.coalesce(fresh, F.lit(False)) & young, "held").otherwise("abandoned"))
 
 
+def hash_version_due(connections: DataFrame, version: int = HASH_VERSION) -> DataFrame:
+    """connection_id, previous and current hash_version, changed: hashes of another version force a full
+    run. A connection without a stamp has written nothing yet, so nothing changed."""
+    known = F.coalesce("hash_version", F.lit(version))
+    return connections.select("connection_id", known.alias("previous_version"), F.lit(version).alias("current_version"), (known != version).alias("changed"))
+
+
+def begin_run(runs: DataFrame, checkpoints: DataFrame, connections: DataFrame, connection_id: str, run_id: int, as_of, *, mode: int = INCREMENTAL, is_dry_run: bool = False, lease_seconds: int = 300, abandon_hours: int = 24, full_every_hours: int = 168) -> DataFrame:
+    """runs with a new open run of the connection; refused (50043) while another holds the lease.
+
+    Its other open runs are abandoned. The new one is full if a full one is due or, where connections have
+    a hash_version, if that has changed.
+    """
+    mine, now = F.col("connection_id") == connection_id, instant(as_of)
+    if not open_runs(runs.where(mine), as_of, lease_seconds, abandon_hours).where("fate = 'held'").isEmpty():
+        raise Refused(50043, "another run of the connection holds the lease")
+    own = connections.where(mine)
+    due = full_due(runs.where(mine), checkpoints, own, as_of, full_every_hours).where("full_due")
+    if "hash_version" in connections.columns:
+        due = due.select("connection_id").union(hash_version_due(own).where("changed").select("connection_id"))
+    mode = mode if due.isEmpty() else FULL
+    stale = mine & (F.col("status") == RUNNING)
+    old = runs.withColumns({"status": F.when(stale, ABANDONED).otherwise(F.col("status")), "completed_utc": F.when(stale, now).otherwise(F.col("completed_utc"))})
+    new = runs.sparkSession.createDataFrame([(run_id, connection_id, mode, RUNNING, is_dry_run)], "run_id long, connection_id string, mode int, status int, is_dry_run boolean")
+    counters = {c: F.lit(0).cast("long") for c in runs.columns if c.startswith("items_")}
+    return old.unionByName(new.withColumns({"started_utc": now, "heartbeat_utc": now} | counters), allowMissingColumns=True)
+
+
+def heartbeat(runs: DataFrame, run_id: int, as_of) -> DataFrame:
+    """The open run's lease renewed, never backwards; a run that has ended keeps its last."""
+    own = (F.col("run_id") == run_id) & (F.col("status") == RUNNING)
+    return runs.withColumn("heartbeat_utc", F.when(own, F.greatest("heartbeat_utc", instant(as_of))).otherwise(F.col("heartbeat_utc")))
+
+
+def full_run(inventory: DataFrame, runs: DataFrame, candidates: DataFrame, connection_id: str, run_id: int, as_of, *, most_percent: float = 10.0, override: bool = False) -> tuple[DataFrame, DataFrame]:
+    """inventory and runs after an open run has compared, recorded, swept and ended.
+
+    candidates: connection_id, item_id, item_type, content_hash, acl_hash, content_bytes of what the source
+    has, each once. Only a full run sweeps, under the guard of sweep, and what it sweeps counts as
+    deleted. A dry run ends with its counters and changes no item. Counts alone reach the driver.
+    """
+    own = runs.where(F.col("run_id") == run_id).select("mode", "is_dry_run").first()
+    if own is None:
+        raise Refused(50004, "unknown run")
+    seen = compare_and_see(inventory, candidates)
+    n = {r["action"]: r["count"] for r in seen.groupBy("action").count().collect()}
+    counters = {"items_written": n.get("write", 0), "items_unchanged": n.get("unchanged", 0), "items_deleted": 0}
+    if own["is_dry_run"]:
+        return inventory, finish_run(runs, run_id, as_of, counters)
+    out = record_written(inventory, seen.where("action = 'write'"), run_id, as_of)
+    out = record_unchanged(out, seen.where("action = 'unchanged'"), run_id)
+    if own["mode"] == FULL:
+        out, pending = sweep(out, runs, connection_id, run_id, as_of, most_percent, override)
+        counters["items_deleted"] = pending.count()
+        out = confirm_deletes(out, pending.withColumn("connection_id", F.lit(connection_id)), as_of)
+    return out, finish_run(runs, run_id, as_of, counters)
+
+
 def finish_run(runs: DataFrame, run_id: int, as_of, counters: dict[str, int], failed: bool = False) -> DataFrame:
     """runs after one is completed (partial if items failed) or failed; its counters are kept either way."""
     if not runs.where((F.col("run_id") == run_id) & (F.col("status") == RUNNING)).limit(1).count():

@@ -30,11 +30,16 @@ def source_index(source: DataFrame, index: DataFrame, inventory: DataFrame | Non
     return out.unionByName(only.select("item_id", F.lit("INVENTORY-ONLY").alias("verdict")))
 
 
-def inventory_index(inventory: DataFrame, index: DataFrame) -> DataFrame:
-    """item_id and verdict: LOST is live and not indexed, ORPHAN is not live and still indexed."""
+def inventory_index(inventory: DataFrame, index: DataFrame, unanswered: DataFrame | None = None) -> DataFrame:
+    """item_id and verdict: LOST is live and not indexed, ORPHAN is not live and still indexed, ERROR is one
+    of the unanswered (item_id), for which the index gave neither yes nor no."""
     d = inventory.select("item_id", "state").join(index.select("item_id", F.lit(True).alias("indexed")), "item_id", "left")
     there, live = F.coalesce("indexed", F.lit(False)), F.col("state") == LIVE
-    return d.select("item_id", F.when(live & ~there, "LOST").when(~live & there, "ORPHAN").otherwise("OK").alias("verdict"))
+    verdict = F.when(live & ~there, "LOST").when(~live & there, "ORPHAN").otherwise("OK")
+    if unanswered is not None:
+        d = d.join(unanswered.select("item_id", F.lit(True).alias("unanswered")).distinct(), "item_id", "left")
+        verdict = F.when(F.col("unanswered"), "ERROR").otherwise(verdict)
+    return d.select("item_id", verdict.alias("verdict"))
 
 
 def source_inventory(source: DataFrame, inventory: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ All take as_of instead of reading a clock. Rankings are window functions over on
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -299,6 +301,17 @@ def sweep_forensics(items: DataFrame, run_id: int) -> DataFrame:
     return d.groupBy("connection_id", "item_type").agg(F.count("*").alias("missing"), F.min("item_id").alias("first_id"))
 
 
+def missing_items_sample(items: DataFrame, run_id: int, n: int = 20) -> DataFrame:
+    """The first n live items, in order of connection and id, that a run has not seen."""
+    d = items.where((F.col("state") == LIVE) & (F.col("last_seen_run") < run_id))
+    return d.select("connection_id", "item_type", "item_id", "last_seen_run").orderBy("connection_id", "item_id").limit(n)
+
+
+def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name and row_count of each table, also of empty ones."""
+    return reduce(DataFrame.unionByName, (df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")) for name, df in tables.items()))
+
+
 def principal_policy(connections: DataFrame, cache: DataFrame, as_of) -> DataFrame:
     """Cached answers and absences of every connection, also of those that have none."""
     d = connections.join(cache, "connection_id", "left")

@@ -319,4 +319,22 @@ SQL["finish_run"] = f"""{_with('run')} SELECT run_id, CASE run_id WHEN 970 THEN
 SQL["replace_run_rows"] = f"""{_with('throttle_event')}, again AS (SELECT run_id, throttle_event_id FROM throttle_event WHERE run_id < 5 AND throttle_event_id % 2 = 0)
 SELECT run_id, throttle_event_id, status_code FROM throttle_event WHERE run_id NOT IN (SELECT run_id FROM again) UNION ALL SELECT run_id, throttle_event_id, 0 FROM again"""
 SQL["purged_items"] = f"{_with('item')} SELECT connection_id, item_id, state FROM item WHERE NOT (state = 3 AND deleted_utc < TIMESTAMP '2001-07-04 00:00:00')"
+SQL["incremental_items"] = f"""{_with(*_H)}{_LIVE}{_ELM}, i AS (SELECT 'cust' || customer_id AS item_id, 'Customer' AS item_type, em FROM ce WHERE NOT is_deleted
+UNION ALL SELECT 'eng' || ee.engagement_id, 'Engagement', ee.em FROM ee JOIN c ON c.customer_id = ee.customer_id WHERE NOT ee.is_deleted
+UNION ALL SELECT 'time' || te.entry_id, 'TimeEntry', te.em FROM te JOIN e ON e.engagement_id = te.engagement_id JOIN c ON c.customer_id = e.customer_id WHERE NOT te.is_deleted)
+SELECT item_id, item_type, em AS effective_modified FROM i WHERE em > TIMESTAMP '2000-06-01' OR (em = TIMESTAMP '2000-06-01' AND item_id > 'eng')"""
+SQL["hash_version_due"] = f"""{_with('connection')} SELECT connection_id, CASE WHEN negative_ttl_minutes = 30 OR length(display_name) % 2 = 1 THEN 1 ELSE 0 END AS previous_version, 1 AS current_version,
+ negative_ttl_minutes <> 30 AND length(display_name) % 2 = 0 AS changed FROM connection"""
+SQL["begin_run"] = f"""{_with('run', 'checkpoint')} SELECT run_id, mode, CASE status WHEN 1 THEN 4 ELSE status END AS status, CASE status WHEN 1 THEN {NOW} ELSE completed_utc END AS completed_utc, items_written FROM run WHERE connection_id = 'conn4'
+UNION ALL SELECT 1000000000, CASE WHEN EXISTS (SELECT 1 FROM run WHERE connection_id = 'conn4' AND status = 2 AND mode = 1 AND NOT is_dry_run AND completed_utc >= {NOW} - INTERVAL 7 DAY)
+ AND EXISTS (SELECT 1 FROM checkpoint WHERE connection_id = 'conn4') THEN 2 ELSE 1 END, 1, NULL, 0"""
+SQL["heartbeat"] = f"{_with('run')} SELECT run_id, CASE WHEN run_id = 97 THEN greatest(heartbeat_utc, {NOW}) ELSE heartbeat_utc END AS heartbeat_utc FROM run"
+SQL["full_run"] = f"""{_with('item')}, i AS (SELECT *, content_bytes % 9 <> 0 AS here, state = 1 AND (content_bytes % 7 <> 0 OR upper(content_hash) = content_hash) AS same FROM item WHERE connection_id = 'conn3')
+SELECT item_id, CASE WHEN here THEN 1 ELSE 3 END AS state, first_seen_run, CASE WHEN here THEN 1000000000 ELSE last_seen_run END AS last_seen_run,
+ CASE WHEN here AND same THEN unchanged_streak + 1 WHEN here THEN 0 ELSE unchanged_streak END AS unchanged_streak, cast(NULL AS timestamp) AS pending_since_utc,
+ CASE WHEN here THEN NULL WHEN state = 3 THEN deleted_utc ELSE {NOW} END AS deleted_utc FROM i"""
+SQL["inventory_index_errors"] = f"""{_with("item")}{_IDX} SELECT i.item_id, CASE WHEN content_bytes % 10 = 3 THEN 'ERROR' WHEN state = 1 AND x.item_id IS NULL THEN 'LOST' WHEN state <> 1 AND x.item_id IS NOT NULL THEN 'ORPHAN' ELSE 'OK' END AS verdict
+ FROM item i LEFT JOIN ix x ON x.item_id = i.item_id"""
+SQL["missing_items_sample"] = f"{_with('item')} SELECT connection_id, item_type, item_id, last_seen_run FROM item WHERE state = 1 AND last_seen_run < 100 ORDER BY connection_id, item_id LIMIT 10"
+SQL["table_counts"] = "SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem"
 SQL["recent_activity"] = f"{_with('run', 'connection')}, {_DAILY} SELECT * FROM daily WHERE activity_date >= DATE '2001-07-04'"

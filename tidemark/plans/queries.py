@@ -674,6 +674,62 @@ def purged_items(spark, d):
     return inventory.purge(t, AS_OF)["item"].select("connection_id", "item_id", "state")
 
 
+@query
+def incremental_items(spark, d):
+    """Items of all levels that changed, themselves or by an ancestor, after a marker."""
+    items = flatten.all_items(*_effective(spark, d))
+    return changes.incremental(items, "effective_modified", "item_id", marker_time="2000-06-01", marker_key="eng").select("item_id", "item_type", "effective_modified")
+
+
+@query
+def hash_version_due(spark, d):
+    c = fixture(spark, d, "connection").withColumn("hash_version", F.when(F.col("negative_ttl_minutes") == 30, None).otherwise(F.length("display_name") % 2))
+    return inventory.hash_version_due(c, 1)
+
+
+def _begun(spark, d, connection_id, run_id, **how):
+    return inventory.begin_run(fixture(spark, d, "run"), fixture(spark, d, "checkpoint"), fixture(spark, d, "connection"), connection_id, run_id, AS_OF, **how)
+
+
+@query
+def begin_run(spark, d):
+    return _begun(spark, d, "conn4", 10**9, lease_seconds=1).where("connection_id = 'conn4'").select("run_id", "mode", "status", "completed_utc", "items_written")
+
+
+@query
+def heartbeat(spark, d):
+    """The pulse of an open run, and of one that has ended."""
+    beaten = inventory.heartbeat(inventory.heartbeat(fixture(spark, d, "run"), 97, AS_OF), 98, AS_OF)
+    return beaten.select("run_id", "heartbeat_utc")
+
+
+@query
+def full_run(spark, d):
+    """A full run of one connection whose source has lost every ninth item and changed every seventh."""
+    item = fixture(spark, d, "item")
+    hash_ = F.when(F.col("content_bytes") % 7 == 0, F.upper("content_hash")).otherwise(F.col("content_hash"))
+    source = item.where("connection_id = 'conn3' AND content_bytes % 9 <> 0").select("connection_id", "item_id", "item_type", hash_.alias("content_hash"), "acl_hash", "content_bytes")
+    runs = _begun(spark, d, "conn3", 10**9, mode=inventory.FULL, lease_seconds=1)
+    done, _ = inventory.full_run(item, runs, source, "conn3", 10**9, AS_OF, most_percent=100)
+    return done.where("connection_id = 'conn3'").select("item_id", "state", "first_seen_run", "last_seen_run", "unchanged_streak", "pending_since_utc", "deleted_utc")
+
+
+@query
+def inventory_index_errors(spark, d):
+    unanswered = fixture(spark, d, "item").where("content_bytes % 10 = 3").select("item_id")
+    return reconcile.inventory_index(fixture(spark, d, "item"), _index(spark, d), unanswered)
+
+
+@query
+def missing_items_sample(spark, d):
+    return reporting.missing_items_sample(fixture(spark, d, "item"), 100, 10)
+
+
+@query
+def table_counts(spark, d):
+    return reporting.table_counts({n: _read(spark, d, n) for n in ("customer", "orders", "lineitem")})
+
+
 @query
 def recent_activity(spark, d):
     return reporting.recent_activity(daily_activity(spark, d), AS_OF)
