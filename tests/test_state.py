@@ -198,3 +198,54 @@ def test_stream_applies_each_file_once(spark, tmp_path):
     go()
     got = {r["item_id"]: (r["unchanged_streak"], r["content_hash"], r["first_seen_run"]) for r in spark.read.parquet(f"{tmp_path}/state/v=1").collect()}
     assert got == {"a": (1, "h1", 0), "b": (0, "h2", 0)}
+
+
+RUN = "run_id long, connection_id string, mode int, status int, is_dry_run boolean, started_utc timestamp, completed_utc timestamp, heartbeat_utc timestamp, items_written long, items_unchanged long, items_deleted long, items_failed long"
+
+
+def _begin(spark, runs, **how):
+    checkpoints = spark.createDataFrame([("a", None)], "connection_id string, marker_time timestamp")
+    connections = spark.createDataFrame([("a", how.pop("stamp", None))], "connection_id string, hash_version int")
+    return inventory.begin_run(spark.createDataFrame(runs, RUN), checkpoints, connections, "a", 9, "2024-01-02", **how)
+
+
+def test_begin_run_refuses_abandons_and_escalates(spark):
+    held = (1, "a", 2, 1, False, datetime(2024, 1, 1, 23), None, datetime(2024, 1, 1, 23, 59), 0, 0, 0, 0)
+    with pytest.raises(inventory.Refused, match="50043"):
+        _begin(spark, [held])
+    got = {r["run_id"]: r for r in _begin(spark, [held, (2, "b", *held[2:])], lease_seconds=10).collect()}
+    assert (got[1]["status"], got[2]["status"], got[9]["status"]) == (inventory.ABANDONED, inventory.RUNNING, inventory.RUNNING)
+    assert got[9]["mode"] == inventory.FULL  # no full run yet
+    assert _begin(spark, []).count() == 1
+
+
+def test_hash_version_decides_on_a_full_run(spark):
+    c = spark.createDataFrame([("new", None), ("same", 1), ("old", 0)], "connection_id string, hash_version int")
+    assert {r["connection_id"]: r["changed"] for r in inventory.hash_version_due(c, 1).collect()} == {"new": False, "same": False, "old": True}
+
+
+def test_heartbeat_never_goes_back(spark):
+    at = datetime(2024, 1, 2)
+    runs = spark.createDataFrame([(k, "a", 2, s, False, at, None, at, 0, 0, 0, 0) for k, s in ((1, 1), (2, 2))], RUN)
+    pulse = lambda df: {r["run_id"]: r["heartbeat_utc"] for r in df.collect()}
+    assert pulse(inventory.heartbeat(runs, 1, "2024-01-03")) == {1: datetime(2024, 1, 3), 2: at}
+    assert pulse(inventory.heartbeat(runs, 2, "2024-01-03")) == pulse(inventory.heartbeat(runs, 1, "2024-01-01")) == {1: at, 2: at}
+
+
+@pytest.mark.parametrize("mode, dry, swept", [(1, False, 1), (2, False, 0), (1, True, 0)])
+def test_a_run_records_sweeps_and_ends(spark, mode, dry, swept):
+    at = datetime(2024, 1, 1)
+    item = ITEM
+    inv = spark.createDataFrame([("a", k, "t", "h", "g", 1, 1, 1, 1, at, 1, None, None, 3) for k in ("same", "changed", "gone")] + [("b", "other", "t", "h", "g", 1, 1, 1, 1, at, 1, None, None, 3)], item)
+    runs = spark.createDataFrame([(9, "a", mode, 1, dry, at, None, at, 0, 0, 0, 0)], RUN)
+    source = spark.createDataFrame([("a", "same", "t", "h", "g", 1), ("a", "changed", "t", "x", "g", 1), ("a", "new", "t", "h", "g", 1)], "connection_id string, item_id string, item_type string, content_hash string, acl_hash string, content_bytes long")
+    out, ended = inventory.full_run(inv, runs, source, "a", 9, "2024-01-02", override=True)
+    got = {r["item_id"]: (r["state"], r["last_seen_run"], r["unchanged_streak"]) for r in out.collect()}
+    end = ended.first()
+    assert (end["status"], end["items_written"], end["items_unchanged"], end["items_deleted"]) == (inventory.SUCCEEDED, 2, 1, swept)
+    if dry:
+        assert got == {k: (1, 1, 3) for k in ("same", "changed", "gone", "other")}
+    else:
+        assert got == {"same": (1, 9, 4), "changed": (1, 9, 0), "new": (1, 9, 0), "gone": (3 if swept else 1, 1, 3), "other": (1, 1, 3)}
+    with pytest.raises(inventory.Refused, match="50004"):
+        inventory.full_run(inv, runs, source, "a", 8, "2024-01-02")
