@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, near_copies, packing, quality_model, substring_dedup
-from tidemark.llm.common import WORD, table
+from tidemark.llm.common import WORD, checked, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,12 +30,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents are told apart by doc_id and text, so rows that share an id, or have none, are judged by
     themselves. Rows alike in both are one document, of which the smallest row stays. Null, empty and
-    blank texts are alike. Only ids and hashes are shuffled to find it; the texts meet them in one join.
+    blank texts are alike. Only ids and hashes are shuffled to find it; the texts meet them in one join,
+    for which they are shuffled only if the documents that stay are too many to be broadcast.
     """
     stays = near_copies.kept(docs)
     d = docs.select(*COLUMNS).withColumn("_th", near_copies.text_key(F.col("text").cast("string"))).alias("d")
     same = F.expr("d.doc_id <=> k.doc_id and d._th = k.th")
-    out = d.join(stays.alias("k"), same).select("d.*", "n")
+    out = d.join(checked(stays).alias("k"), same).select("d.*", "n")
     if stays.where("n > 1").isEmpty():
         return out.select(*COLUMNS)
     single = out.where("n = 1").select(*COLUMNS)

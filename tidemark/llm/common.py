@@ -68,13 +68,17 @@ def clear_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def within(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """The rows of df whose long column ``on`` is one of keys, a written table of that column.
+def checked(df: DataFrame) -> DataFrame:
+    """A written table of a few longs a row, to be joined: its size is checked. Up to BROADCAST_ROWS rows
+    are broadcast and the other side stays where it is; beyond that both are shuffled, and a skewed key is
+    split."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
-    Its size is checked: up to BROADCAST_ROWS rows, 8 MB, are broadcast and df stays where it is; beyond
-    that both are shuffled, and a skewed key is split.
-    """
-    return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_semi")
+
+def within(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+    """The rows of df whose long columns ``on`` are among keys, a written table of those columns; see
+    checked."""
+    return df.join(checked(keys), on, "left_semi")
 
 
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 64) -> DataFrame:

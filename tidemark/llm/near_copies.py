@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bands, simhash
-from tidemark.llm.common import drop, table
+from tidemark.llm.common import checked, drop, table
 
 BANDS, BAND_ROWS = 16, 4
 
@@ -59,7 +59,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def wording_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, sh of the wanted (doc_id, th, node)."""
+    """node, sh of the wanted (doc_id, th, node), a written table."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -69,7 +69,7 @@ def wording_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([own.column(0), bands.lists(sh, pa.array(np.concatenate(sh)))], ["node", "sh"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    own = own.withColumn("th", text_key()).alias("d").join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.th = w.th"))
+    own = own.withColumn("th", text_key()).alias("d").join(checked(wanted).alias("w"), F.expr("d.doc_id <=> w.doc_id and d.th = w.th"))
     return own.select("node", "text").mapInArrow(hashed, "node long, sh array<long>").dropDuplicates(["node"])
 
 
@@ -89,12 +89,12 @@ def kept(docs: DataFrame) -> DataFrame:
     same = one.select("node", F.xxhash64(F.lit("fp"), "fp").alias("key"))
     met = one.select("node", "fp").join(ends, "fp").select("node", "key").unionByName(same)
     met = bands.shared(met.unionByName(rows.select("node", F.explode("keys").alias("key")).distinct()), "near")
-    wanted = met.select("node").distinct().join(one, "node").select("f.doc_id", "f.th", "node")
+    wanted = table(met.select("node").distinct().join(one, "node").select("f.doc_id", "f.th", "node"), "near-wanted")
     sh = table(wording_shingles(docs, wanted), "near-shingles")
     comp = bands.linked(met, sh, "near")
     named = one.join(comp, "node", "left").select("f", F.coalesce("component", "node").alias("component"))
     first = named.groupBy("component").agg(F.min("f").alias("f")).select("f.doc_id", "f.th")
     out = own.alias("o").join(first.alias("f"), F.expr("o.doc_id <=> f.doc_id and o.th = f.th"), "left_semi").select("doc_id", "th", "n")
     out = table(out, "near-kept")
-    drop(rows, own, one, met, sh, comp)
+    drop(rows, own, one, met, wanted, sh, comp)
     return out

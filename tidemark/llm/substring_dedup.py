@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bands
 from tidemark.llm.bands import SHINGLE, SIMILARITY, grams, powers, prefixes, word_hashes
-from tidemark.llm.common import components, drop, table, within
+from tidemark.llm.common import BROADCAST_ROWS, checked, components, drop, table, within
 
 MIN_WORDS = 20
 BANDS, BAND_ROWS = 12, 3
@@ -242,8 +242,9 @@ def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             if rows:
                 yield out(rows)
 
-    # rows alike in doc_id and text are combined before the shuffle of the join
-    d = _documents(docs).dropDuplicates(["doc_id", "th"]).join(w, ["doc_id", "th"]).select("doc_id", "th", "text", "w")
+    # of the texts, only those with a wanted span are shuffled, and rows alike in doc_id and text before that combined
+    which = table(wanted.select("doc_id", "th").distinct(), "looked-in")
+    d = within(_documents(docs), which, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).join(w, ["doc_id", "th"]).select("doc_id", "th", "text", "w")
     return d.mapInArrow(run, f"{_ID}, start long, stop long, node long, sh array<long>, digest binary, before array<long>, behind array<long>")
 
 
@@ -274,9 +275,11 @@ def removals(docs: DataFrame) -> DataFrame:
     # the node of a wording is the first half of its digest
     met = bands.shared(wordings.select(F.col("h1").alias("node"), F.explode("keys").alias("key")), "paragraphs")
     alone = F.lit(None).cast("long").alias("node")
-    wanted = met.select("node").distinct().join(wordings.withColumnRenamed("h1", "node"), "node").select("doc_id", "th", "start", "stop", "node")
+    nodes = table(met.select("node").distinct(), "paragraphs-nodes")
+    wanted = within(wordings.withColumnRenamed("h1", "node"), nodes, "node").select("doc_id", "th", "start", "stop", "node")
     wanted = wanted.union(runs.select("doc_id", "th", "start", "stop", alone))
     wanted = wanted.union(runs.select("f_doc", "f_th", F.col("start") + F.col("shift"), F.col("stop") + F.col("shift"), alone))
+    wanted = table(wanted, "wanted")
     seen = table(_looked_up(docs, wanted), "looked-up")
 
     own = seen.where("node is null").select("doc_id", "th", "start", "stop", "digest", "before", "behind")
@@ -287,15 +290,15 @@ def removals(docs: DataFrame) -> DataFrame:
     passages = both.select("doc_id", "th", start.alias("start"), stop.alias("stop"), F.lit("passage").alias("kind"), F.col("f_doc").alias("kept_doc_id"))
 
     comp = bands.linked(met, seen.where("node is not null").select("node", "sh"), "paragraphs", SIMILARITY)
-    named = wordings.drop("keys").join(comp.withColumnRenamed("node", "h1"), "h1", "left").where("n > 1 or component is not null")
+    named = wordings.drop("keys").join(checked(comp.withColumnRenamed("node", "h1")), "h1", "left").where("n > 1 or component is not null")
     named = table(named.select("h1", "h2", F.coalesce("component", "h1").alias("component"), F.struct("doc_id", "th", "start").alias("f")), "paragraphs-named")
     first = named.groupBy("component").agg(F.min("f").alias("f"))
     keepers = table(named.drop("f").join(first, "component").select("h1", "h2", "f"), "paragraphs-kept")
     p = found.select("doc_id", "th", F.explode("paragraphs").alias("p")).select("doc_id", "th", "p.start", "p.stop", "p.h1", "p.h2")
-    lines = p.join(keepers, ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
+    lines = p.join(checked(keepers), ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
     lines = lines.select("doc_id", "th", "start", "stop", F.lit("paragraph").alias("kind"), F.col("f.doc_id").alias("kept_doc_id"))
     out = table(passages.unionByName(lines).distinct(), "removals")
-    drop(found, runs, wordings, met, seen, comp, named, keepers)
+    drop(found, runs, wordings, met, nodes, wanted, seen, comp, named, keepers)
     return out
 
 
@@ -330,7 +333,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     Documents of which nothing is left go; all others, also those without words from the start, stay
     with all their columns.
     """
-    found = removals(docs).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    found = removals(docs)
+    few = found.count() <= BROADCAST_ROWS
+    found = found.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    found = F.broadcast(found) if few else found  # the number of spans is checked, so that texts need no shuffle
     types, names = dict(docs.dtypes), docs.columns
     d = docs.select(F.struct(*names).alias("r"), F.col("doc_id").cast("long").alias("i"), F.xxhash64(F.col("text").cast("string")).alias("h"))
     d = d.join(found, F.expr("i = doc_id and h = th"), "left").select("r.*", F.col("spans").alias("__spans"))
