@@ -112,30 +112,74 @@ def test_parts_give_the_tokenizers_ids(texts):
 
 
 def brute_winnow(hashes, w=winnowing.WINDOW):
-    if len(hashes) < w:
-        return [min(hashes)] if hashes else []
-    return list(dict.fromkeys(min(hashes[i : i + w]) for i in range(len(hashes) - w + 1)))
+    """(hash, place) of the rightmost smallest of every window."""
+    out = []
+    for i in range(max(1, len(hashes) - w + 1) if hashes else 0):
+        own = hashes[i : i + w]
+        out.append((min(own), i + max(k for k, h in enumerate(own) if h == min(own))))
+    return list(dict.fromkeys(out))
 
 
 def test_winnowing_against_brute_force(spark, odd):
     d = odd.select("doc_id", "text").withColumn("_w", common.word_array(common.text_of()))
-    d = d.withColumn("g", winnowing.gram_hashes(F.col("_w"))).select("doc_id", "g", winnowing.winnow(F.col("g")).alias("p"), winnowing.places(winnowing.winnow(F.col("g"))).alias("at"))
+    d = d.withColumn("g", winnowing.gram_hashes(F.col("_w"))).withColumn("p", winnowing.winnow(F.col("g")))
+    of_gram = {}
     for r in d.collect():
-        assert r["p"] == brute_winnow(r["g"])
-        assert r["at"] == sorted(r["at"])
+        assert [tuple(x) for x in r["p"]] == brute_winnow(r["g"])
+        w = words(r["text"])
+        grams = [tuple(w[i : i + winnowing.K]) for i in range(len(w) - winnowing.K + 1)] or ([tuple(w)] if w else [])
+        assert len(grams) == len(r["g"])
+        for gram, h in zip(grams, r["g"]):
+            assert of_gram.setdefault(gram, h) == h
+    assert len(set(of_gram.values())) == len(of_gram)
 
 
-def test_winnowing_rightmost_tie(spark):
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 40])
+def test_winnowing_takes_the_rightmost_tie(spark, size):
+    g = [R.randint(0, 2) for _ in range(size)]
+    got = spark.createDataFrame([(g,)], "g array<long>").select(winnowing.winnow(F.col("g")).alias("p")).first()["p"]
+    assert [tuple(x) for x in got] == brute_winnow(g)
+
+
+def test_winnowing_covers_every_window(spark):
     d = spark.createDataFrame([(1, "a b c d e a b c d e a b c d e")], "doc_id long, text string")
     got = winnowing.fingerprints(d).select(winnowing.places(F.col("prints")).alias("p")).first()["p"]
-    t = words("a b c d e a b c d e a b c d e")
-    grams = [" ".join(t[i : i + 5]) for i in range(len(t) - 4)]
-    for a in range(len(grams) - winnowing.WINDOW + 1):
-        chosen = [p for p in got if a <= p < a + winnowing.WINDOW]
-        assert chosen  # every window has a fingerprint
+    assert all(any(a <= p < a + winnowing.WINDOW for p in got) for a in range(11 - winnowing.WINDOW + 1))
     assert len(set(got)) == len(got)
 
 
+def test_winnowing_by_code_points(spark):
+    long_ = "".join(R.choice("的一是不了人我在有他这为之大来以个中上们") for _ in range(600))
+    d = spark.createDataFrame([(2, long_), (1, "a few short words only"), (0, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in winnowing.edited_pairs(d).collect()}
+    assert got[2]["near_edited"] > 0.4 and got[1]["near_edited"] > 0.4
+    assert got[0]["fingerprint"] == "" and got[0]["near_edited"] == 1
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_edited_pairs_of_hot_ids(spark, hot):
+    """All rows without an id, or half of all rows of one id, a third of them alike."""
+    r = random.Random(3)
+    rows = [(hot, prose(r.randint(1, 40), r)) for _ in range(60)] + [(hot, "the same text in all of these rows, ten words")] * 40
+    rows += [(i if hot else None, prose(r.randint(1, 40), r)) for i in range(-40, 60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    old, winnowing.SLICE_ROWS = winnowing.SLICE_ROWS, 6
+    try:
+        sliced, firsts, n = winnowing._sliced(d)
+        assert n >= 20 and firsts.count() == n
+        assert max(x["count"] for x in sliced.groupBy("slice").count().collect()) < 40
+        got = winnowing.edited_pairs(d).collect()
+    finally:
+        winnowing.SLICE_ROWS = old
+    th = {x["text"]: x["h"] for x in d.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, th[x[1]]), reverse=True)
+    want = []
+    for (i, own), (_, after) in zip(order, order[1:] + order[:1]):
+        want.append((i, hashlib.sha256((own[: len(own) - len(own) // 3] + after[: len(own) // 3]).encode()).hexdigest()))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((x["doc_id"], x["edited_sha256"]) for x in got), key=key) == sorted(want, key=key)
+
+
 def test_edited_pairs(spark):
     texts = {i: prose(R.randint(1, 300)) for i in range(40)} | {7: "", 8: "x", 9: None, 10: "ä" * 50}
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
