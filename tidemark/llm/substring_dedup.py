@@ -94,6 +94,16 @@ def links(p: np.ndarray, at: np.ndarray) -> np.ndarray:
     return bands.mixed(p[stop] - p[at[:-1]] * powers(int(wide.max()) + 1)[wide])
 
 
+def repeats(key: np.ndarray, at: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """last and last_ahead: place of each anchor's occurrence before it in the same text (-1: none), and
+    the hash of the words before that."""
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    last, last_ahead = np.full(len(at), -1, np.int64), np.zeros(len(at), np.int64)
+    last[order[same + 1]], last_ahead[order[same + 1]] = at[order[same]], ahead[order[same]]
+    return last, last_ahead
+
+
 def _digest(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
@@ -105,7 +115,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def units(docs: DataFrame) -> DataFrame:
     """doc_id, th, anchors (key, at: its first word, ahead: hash of the words before it, before and
-    behind: links to the anchors beside it, 0 for none) and paragraphs (start, stop, h1 and h2: its digest, keys: of its bands) of each text of MIN_WORDS words or more."""
+    behind: links to the anchors beside it, 0 for none, last and last_ahead: see repeats) and paragraphs (start, stop, h1 and h2: its digest, keys: of its bands) of each text of MIN_WORDS words or more."""
 
     def one(text: str):
         lines = [line.split() for line in text.encode().split(b"\n")]
@@ -118,7 +128,8 @@ def units(docs: DataFrame) -> DataFrame:
         spans = paragraphs([len(line) for line in lines])
         digests = np.frombuffer(b"".join(_digest(words[a:b]) for a, b in spans), np.int64).reshape(-1, 2)
         link = np.concatenate([[0], links(p, at).view(np.int64), [0]])
-        return g[at].view(np.int64), at, p[at].view(np.int64), link[: len(at)], link[1 : len(at) + 1], np.array(spans, np.int64).reshape(-1, 2), digests, grams(p, SHINGLE)
+        key, ahead = g[at].view(np.int64), p[at].view(np.int64)
+        return key, at, ahead, link[: len(at)], link[1 : len(at) + 1], *repeats(key, at, ahead), np.array(spans, np.int64).reshape(-1, 2), digests, grams(p, SHINGLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -128,18 +139,18 @@ def units(docs: DataFrame) -> DataFrame:
                 which = [i for i, x in enumerate(got) if x]
                 if not which:
                     continue
-                key, at, ahead, before, behind, spans, digests, g = zip(*(got[i] for i in which))
+                key, at, ahead, before, behind, last, last_ahead, spans, digests, g = zip(*(got[i] for i in which))
                 base = np.cumsum([0, *map(len, g)])
                 cuts = np.concatenate([s + [0, 1 - SHINGLE] + o for s, o in zip(spans, base)]).ravel()
                 keys = bands.band_keys(np.concatenate(g), cuts, BANDS, BAND_ROWS)
                 cat = lambda parts: pa.array(np.concatenate(parts))
-                a = pa.StructArray.from_arrays([cat(x) for x in (key, at, ahead, before, behind)], ["key", "at", "ahead", "before", "behind"])
+                a = pa.StructArray.from_arrays([cat(x) for x in (key, at, ahead, before, behind, last, last_ahead)], ["key", "at", "ahead", "before", "behind", "last", "last_ahead"])
                 span, digest = np.concatenate(spans), np.concatenate(digests)
                 p = [pa.array(x) for x in (span[:, 0], span[:, 1], digest[:, 0], digest[:, 1])]
                 p = pa.StructArray.from_arrays([*p, bands.lists(keys, pa.array(keys.ravel()))], ["start", "stop", "h1", "h2", "keys"])
                 yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(which)), own.column(1).take(pa.array(which)), bands.lists(key, a), bands.lists(spans, p)], ["doc_id", "th", "anchors", "paragraphs"])
 
-    schema = f"{_ID}, anchors array<struct<key:long,at:long,ahead:long,before:long,behind:long>>, paragraphs array<struct<start:long,stop:long,h1:long,h2:long,keys:array<long>>>"
+    schema = f"{_ID}, anchors array<struct<key:long,at:long,ahead:long,before:long,behind:long,last:long,last_ahead:long>>, paragraphs array<struct<start:long,stop:long,h1:long,h2:long,keys:array<long>>>"
     return _documents(docs).mapInArrow(run, schema)
 
 
@@ -166,24 +177,18 @@ def _runs(found: DataFrame) -> DataFrame:
     again = table(a.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "anchors-again")
     twice = table(within(a, again, "key"), "anchors-twice")
     first = _ends(twice)
-    met = twice.join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
+    # a text's first occurrence of an anchor meets the first of all texts; its later ones need no join
+    fresh = twice.where("last < 0").join(first, "key").select("doc_id", "th", F.col("f.doc_id").alias("f_doc"), F.col("f.th").alias("f_th"), (F.col("f.at") - F.col("at")).alias("shift"), "at", "ahead", F.col("f.ahead").alias("f_ahead"))
+    own = twice.where("last >= 0").select("doc_id", "th", F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), (F.col("last") - F.col("at")).alias("shift"), "at", "ahead", F.col("last_ahead").alias("f_ahead"))
+    met = fresh.where("not (doc_id = f_doc and th = f_th and shift = 0)").unionByName(own)
     # rows alike in doc_id and text are combined before the shuffle
-    met = table(met.where("not (doc_id = f_doc and th = f_th and shift = 0)").distinct(), "passages-met")
+    met = table(met.distinct(), "passages-met")
     drop(again, twice, first)
     dealt = met.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def nearest(x: np.ndarray) -> np.ndarray:
-            """Of a document's anchors that meet the same place, all but the first meet the one before them
-            instead: what a document repeats in itself is a run of one shift then."""
-            x = x[np.lexsort((x[:, 5], x[:, 5] + x[:, 4], x[:, 3], x[:, 2], x[:, 1], x[:, 0]))]
-            again = np.flatnonzero((np.diff(x[:, :4], axis=0) == 0).all(axis=1) & (np.diff(x[:, 5] + x[:, 4]) == 0)) + 1
-            shift, ahead = x[again - 1, 5] - x[again, 5], x[again - 1, 6]
-            x[again, 2], x[again, 3], x[again, 4], x[again, 7] = x[again, 0], x[again, 1], shift, ahead
-            return x[np.lexsort([x[:, k] for k in range(5, -1, -1)])]
-
         def out(x: np.ndarray) -> pa.RecordBatch:
-            x = nearest(x)
+            x = x[np.lexsort([x[:, k] for k in range(5, -1, -1)])]
             at, ahead, f_ahead = x[:, 5], x[:, 6].view(np.uint64), x[:, 7].view(np.uint64)
             same = (np.diff(x[:, :5], axis=0) == 0).all(axis=1)
             gap = np.where(same, np.diff(at), 0)
