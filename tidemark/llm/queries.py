@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, thin over the operators themselves."""
+"""The registered queries of the operators, thin over the operators themselves."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, language_id, mixing, oracles, packing, quality_model, quality_rules, simhash, substring_dedup, warc, winnowing
+from tidemark.llm import chat, importance, language_id, mixing, oracles, packing, quality_model, quality_rules, simhash, substring_dedup, warc, whitening, winnowing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(d, carry=("text_hash",)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_winnowing": op2_winnowing,
@@ -81,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
+    "op11_importance": op11_importance,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = oracles.SQL
