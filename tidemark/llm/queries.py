@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, importance, language_id, mixing, oracles, packing, quality_model, quality_rules, simhash, substring_dedup, warc, whitening, winnowing
+from tidemark.llm import chat, importance, language_id, mixing, oracles, packing, quality_model, quality_rules, simhash, substring_dedup, suffix_dedup, warc, whitening, winnowing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,12 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.dedup(_read(spark, sf_dir, "documents"))
+    lost = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return d.select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_read(spark, sf_dir, "embeddings"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op11_importance": op11_importance,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_whitening": op13_whitening,
 }
 
