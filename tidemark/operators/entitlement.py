@@ -1,8 +1,7 @@
 """Who may see an item: policy routing, POSIX masks, directory gates, sensitivity labels, lineage.
 
-Policies are few and resources many: policies are broadcast only below a checked count, and otherwise
-joined without a broadcast. Group names compare without case. All set algebra is on arrays, inside the
-JVM.
+Resources meet policies through an index of their patterns, by equality; policies are broadcast only below
+a checked count. Group names compare without case. All set algebra is on arrays, inside the JVM.
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.shared import written
+
 ACCESS, MASKING, ROW_FILTER = 0, 1, 2
 MAX_BROADCAST_POLICIES = 50_000
 
@@ -81,7 +82,8 @@ def _patterns() -> list[Column]:
     paths = lambda recursive: F.transform(_values("path"), lambda v: path_pattern(v, recursive))
     names = [_any_of("(?is)", F.transform(_values(n), name_pattern)).alias(f"{n}_like") for n in ("database", "table")]
     places = [_any_of("", paths(r)).alias(n) for n, r in (("path_like", _flag("path", "isRecursive")), ("path_wide", F.lit(True)), ("path_narrow", F.lit(False)))]
-    return [*names, *places, *(_flag(n, "isExcludes").alias(f"{n}_excludes") for n in ("database", "table", "path"))]
+    lists = [F.transform(_values(n), _plain).alias(f"{n}_values") for n in ("database", "table")] + [_values("path").alias("path_values")]
+    return [*names, *places, *lists, *(_flag(n, "isExcludes").alias(f"{n}_excludes") for n in ("database", "table", "path"))]
 
 
 def _hits(pattern: str, candidate: Column) -> Column:
@@ -135,9 +137,81 @@ def _prepared(policies: DataFrame) -> DataFrame:
     )
 
 
-def _small(policies: DataFrame) -> DataFrame:
-    """Broadcast up to a checked number of policies only."""
-    return F.broadcast(policies) if policies.limit(MAX_BROADCAST_POLICIES + 1).count() <= MAX_BROADCAST_POLICIES else policies
+def _small(d: DataFrame) -> DataFrame:
+    """Broadcast up to a checked number of rows; beyond it both sides of an equi-join are shuffled."""
+    return F.broadcast(d) if d.limit(MAX_BROADCAST_POLICIES + 1).count() <= MAX_BROADCAST_POLICIES else d
+
+
+# --- the index of patterns -----------------------------------------------------------------------
+
+
+def _plain(c: Column) -> Column:
+    """A-Z in lower case, no other letter: the case that the expressions ignore."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _key(how: str | Column, value: Column) -> Column:
+    return F.struct((F.lit(how) if isinstance(how, str) else how).alias("how"), value.alias("value"))
+
+
+def _place(value: Column) -> Column:
+    """Where a pattern stands in the index: a literal whole; one with wildcards under its literal head, else
+    under its literal tail; one without either under nothing, where all names meet it."""
+    head, tail = F.regexp_extract(value, r"^([^*?]*)", 1), F.regexp_extract(value, r"([^*?]*)$", 1)
+    return F.when(head == value, _key("is", value)).when(head != "", _key("head", head)).when(tail != "", _key("tail", tail)).otherwise(_key("any", F.lit("")))
+
+
+def _entries_of(policies: DataFrame, *names: str) -> DataFrame:
+    """id, name, how, value: of every policy the patterns of one resource, the first of the names of which
+    none stands under nothing, or else the first."""
+    places = lambda n: F.when(F.col(f"{n}_excludes"), F.array(_key("any", F.lit("")))).otherwise(F.transform(F.col(f"{n}_values"), _place))
+    d = policies.select("id", *(places(n).alias(n) for n in names))
+    whole = [F.size(n) == 0 for n in names]  # no values meet nothing
+    close = [~F.exists(n, lambda p: p["how"] == "any") for n in names]
+    pick = F.lit(names[0])
+    for n, w, c in reversed(list(zip(names, whole, close))):
+        pick = F.when(c & ~w, F.lit(n)).otherwise(pick)
+    met = ~whole[0]
+    for w in whole[1:]:
+        met = met & ~w
+    chosen = F.coalesce(*(F.when(pick == n, F.col(n)) for n in names))
+    return d.where(met).select("id", pick.alias("name"), F.explode(chosen).alias("p")).select("id", "name", "p.how", "p.value").distinct()
+
+
+def _probes(entries: DataFrame, name: str, candidate: Column) -> Column:
+    """What a name asks the index for: itself, its heads and tails of the lengths that patterns have, and
+    nothing. Only those lengths reach the driver."""
+    rows = entries.where(F.col("name") == name).groupBy("how").agg(F.sort_array(F.collect_set(F.char_length("value"))).alias("lengths")).collect()
+    asked = []
+    for how, lengths in sorted((r["how"], r["lengths"]) for r in rows):
+        if how in ("is", "any"):
+            asked.append(F.array(_key(how, candidate if how == "is" else F.lit(""))))
+            continue
+        fits = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length(candidate))
+        if how == "head":
+            asked.append(F.transform(fits, lambda n: _key("head", F.substring(candidate, F.lit(1), n))))
+        else:
+            asked.append(F.transform(fits, lambda n: _key("tail", F.substring(candidate, F.char_length(candidate) - n + 1, n))))
+    return F.concat(*asked) if asked else F.array().cast("array<struct<how: string, value: string>>")
+
+
+def _met(resources: DataFrame, policies: DataFrame, condition: Column, names: dict[str, Column]) -> DataFrame:
+    """Every resource, once without a policy and once beside each that the condition says it meets.
+
+    names: the columns of a resource's names as patterns see them. Distinct resources meet the index by
+    equality, are then joined with the policies found by id, and only those pairs are held against the
+    expressions.
+    """
+    ready = _prepared(policies)
+    keys, distinct = resources.columns, resources.distinct()
+    entries = _entries_of(ready, *names)
+    asked = [distinct.select(*keys, F.lit(n).alias("name"), F.explode(_probes(entries, n, c)).alias("p")) for n, c in names.items()]
+    d = asked[0]
+    for x in asked[1:]:
+        d = d.unionByName(x)
+    d = d.select(*keys, "name", "p.how", "p.value").join(_small(entries), ["name", "how", "value"]).select(*keys, "id").distinct()
+    found = d.join(_small(ready), "id").where(condition)
+    return resources.unionByName(found, allowMissingColumns=True)
 
 
 def _decided(met: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,37 +230,70 @@ def _decided(met: DataFrame, keys: list[str]) -> DataFrame:
     return d.withColumn("groups", left)
 
 
-def _met(resources: DataFrame, policies: DataFrame, condition: Column) -> DataFrame:
-    return resources.join(_small(_prepared(policies)), condition, "left")
+def _tables_met(tables: DataFrame, policies: DataFrame) -> DataFrame:
+    names = {n: _plain(F.col(n)) for n in ("table", "database")}
+    return _met(tables.select("database", "table"), policies, covers("database", F.col("database")) & covers("table", F.col("table")), names)
 
 
 def route_tables(tables: DataFrame, policies: DataFrame) -> DataFrame:
     """database, table, verdict (index or live query), reason, groups. The first reason that holds
     decides: a row filter, a mask, a deny, a grant of some columns, no group at all."""
-    d = _decided(_met(tables.select("database", "table"), policies, covers("database", F.col("database")) & covers("table", F.col("table"))), ["database", "table"])
+    d = _decided(_tables_met(tables, policies), ["database", "table"])
     reason = F.when(F.col("filtered"), "row filter").when(F.col("masked"), "mask").when(F.col("denied"), "deny").when(F.col("scoped"), "column grant").when(F.size("groups") == 0, "no group")
     return _routed(d.withColumn("reason", reason), ["database", "table"])
 
 
 def route_catalogue(tables: DataFrame, policies: DataFrame) -> DataFrame:
     """The same for catalogue entries of tables: a filter or mask of the rows doesn't hide the entry."""
-    d = _decided(_met(tables.select("database", "table"), policies, covers("database", F.col("database")) & covers("table", F.col("table"))), ["database", "table"])
+    d = _decided(_tables_met(tables, policies), ["database", "table"])
     return _routed(d.withColumn("reason", F.when(F.col("denied"), "deny").when(F.size("groups") == 0, "no group")), ["database", "table"])
 
 
 def route_databases(databases: DataFrame, policies: DataFrame) -> DataFrame:
-    d = _decided(_met(databases.select("database"), policies, covers("database", F.col("database"))), ["database"])
+    d = _decided(_met(databases.select("database"), policies, covers("database", F.col("database")), {"database": _plain(F.col("database"))}), ["database"])
     return _routed(d.withColumn("reason", F.when(F.col("denied"), "deny").when(F.size("groups") == 0, "no group")), ["database"])
 
 
 def route_paths(paths: DataFrame, policies: DataFrame) -> DataFrame:
     """Paths: a deny anywhere above refuses; without any matching grant the file's own mask decides."""
     p = paths.select("path")
-    denied = _met(p, policies, F.col("denies") & covers_path_for_deny(F.col("path"))).groupBy("path").agg(F.bool_or(F.coalesce("denies", F.lit(False))).alias("_deny"))
-    d = _decided(_met(p, policies, covers_path(F.col("path"))), ["path"]).join(denied, "path")
+    found = _paths_met(p, policies)
+    deny = F.coalesce(F.bool_or(F.when(F.col("_denies"), F.col("denies"))), F.lit(False))
+    flags = found.groupBy("path").agg(deny.alias("_deny"))
+    granted = F.col("_grants") | F.col("id").isNull()  # a path without policies stays, too
+    d = _decided(found.where(granted), ["path"]).join(flags, "path")
     return _routed(d.withColumn("reason", F.when(F.col("_deny"), "deny")), ["path"])
 
 
+def _paths_met(paths: DataFrame, policies: DataFrame) -> DataFrame:
+    """As _met, with _grants and _denies: whether the policy takes the path, and whether it would as a deny.
+
+    A path without wildcards stands in the index whole. Every path asks for itself and all directories
+    above it, so what a recursive policy or a deny reaches is found by equality as well.
+    """
+    at, grants, denies = _trimmed(F.col("path")), covers_path(F.col("path")), covers_path_for_deny(F.col("path"))
+    ready = _prepared(policies)
+    whole = F.transform("path_values", lambda v: F.when(v.rlike("[*?]"), _place(v)).otherwise(_key("under", _trimmed(v))))
+    places = F.when(F.col("path_excludes") & (F.size("path_values") > 0), F.array(_key("any", F.lit("")))).otherwise(whole)
+    entries = ready.select("id", F.explode(places).alias("p")).select("id", F.lit("path").alias("name"), "p.how", "p.value").distinct()
+    distinct = paths.distinct()
+    asked = F.concat(_probes(entries.where("how <> 'under'"), "path", at), F.transform(_with_above(at), lambda x: _key("under", x)))
+    d = distinct.select("path", F.lit("path").alias("name"), F.explode(asked).alias("p")).select("path", "name", "p.how", "p.value")
+    d = d.join(_small(entries), ["name", "how", "value"]).select("path", "id").distinct().join(_small(ready), "id")
+    d = d.withColumns({"_grants": grants, "_denies": denies}).where("_grants or _denies")
+    return paths.withColumns({"_grants": F.lit(True), "_denies": F.lit(False)}).unionByName(d, allowMissingColumns=True)
+
+
+def _above(path: Column) -> Column:
+    """The directories above a path, from the top down."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.when(n == 1, F.lit("/")).otherwise(F.array_join(F.slice(parts, 1, n), "/")))
+
+
+def _with_above(path: Column) -> Column:
+    return F.array_distinct(F.concat(_above(path), F.array(path)))
+
+
 def _routed(d: DataFrame, keys: list[str]) -> DataFrame:
     out = F.col("reason").isNotNull()
     return d.select(*keys, F.when(out, "live query").otherwise("index").alias("verdict"), "reason", F.when(out, F.array().cast("array<string>")).otherwise(F.col("groups")).alias("groups"))
@@ -196,7 +303,7 @@ def describable_columns(tables: DataFrame, policies: DataFrame) -> DataFrame:
     """database, table, columns: those that every granting policy which names columns names; null: all."""
     v = F.array_distinct(F.transform(_values("column"), lambda x: F.lower(x)))
     named = F.when((F.size(v) > 0) & ~F.array_contains(v, "*") & F.col("grants_read") & (F.col("kind") == ACCESS), v)
-    d = _met(tables.select("database", "table"), policies, covers("database", F.col("database")) & covers("table", F.col("table")))
+    d = _tables_met(tables, policies)
     d = d.groupBy("database", "table").agg(F.collect_list(named).alias("_lists"))
     both = F.aggregate("_lists", F.get("_lists", F.lit(0)), lambda a, b: F.array_intersect(a, b))
     return d.select("database", "table", F.when(F.size("_lists") > 0, F.array_sort(both)).alias("columns"))
@@ -244,23 +351,45 @@ def traverse_groups(permission: Column, acl: Column, group: Column) -> Column:
     return _with_bit(permission, acl, group, 1, "x")
 
 
-def traverse_gates(files: DataFrame, directories: DataFrame) -> DataFrame:
-    """files with gate (groups that may pass every directory above; null: all) and everyone (whether
-    others may). A directory that others may pass doesn't narrow the gate.
+def folder_gates(folders: DataFrame, directories: DataFrame) -> DataFrame:
+    """path, gate and everyone of each of the folders (path) and all above them, the folder itself included:
+    groups that may pass all of them (null: all) and whether others may. A directory that others may pass,
+    or that is unknown, doesn't narrow the gate.
 
-    Each file meets its ancestors by path: one equi-join on (file, ancestor), one aggregation.
+    The fold goes down the tree level by level over distinct directories: each meets its parent by one
+    equi-join, so no directory meets more rows than it has children. There are as many joins as levels;
+    every level but the last is written, which keeps the plan of each to one join.
     """
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.when(n == 1, F.lit("/")).otherwise(F.array_join(F.slice(parts, 1, n), "/")))
-    d = directories.select(
-        F.col("path").alias("_dir"), permission_bit(F.col("permission"), 2, 1).alias("_world"),
+    known = directories.select(
+        "path", permission_bit(F.col("permission"), 2, 1).alias("_world"),
         F.transform(traverse_groups(F.col("permission"), F.col("acl"), F.col("group")), lambda g: F.lower(g)).alias("_groups"),
     )
-    met = files.select("path", F.explode(above).alias("_dir")).join(d, "_dir")
-    folded = met.groupBy("path").agg(F.bool_and("_world").alias("_e"), F.collect_list(F.when(~F.col("_world"), F.col("_groups"))).alias("_lists"))
-    gate = F.aggregate("_lists", F.get("_lists", F.lit(0)), lambda a, b: F.array_intersect(a, b))
-    folded = folded.select("path", F.when(F.size("_lists") > 0, gate).alias("gate"), F.col("_e").alias("everyone"))
-    return files.join(folded, "path", "left").withColumn("everyone", F.coalesce("everyone", F.lit(True)))
+    tree = folders.select(F.explode(_with_above(F.col("path"))).alias("path")).distinct().join(known, "path", "left")
+    depth = F.when(F.col("path") == "/", 0).otherwise(F.size(F.split("path", "/")) - 1)
+    tree = written(tree.withColumn("_depth", depth), "folders")
+    deepest = tree.agg(F.max("_depth")).first()[0]
+    own = F.when(~F.coalesce("_world", F.lit(True)), F.col("_groups"))
+    every, up = None, None
+    for k in range((deepest if deepest is not None else -1) + 1):
+        d = tree.where(F.col("_depth") == k).select("path", own.alias("_own"))
+        if up is None:
+            d = d.select("path", F.col("_own").alias("gate"), F.col("_own").isNull().alias("everyone"))
+        else:
+            above = F.element_at(_above(F.col("path")), -1)
+            d = d.withColumn("_up", above).join(up.select(F.col("path").alias("_up"), "gate", "everyone"), "_up")
+            gate = F.when(F.col("gate").isNull(), F.col("_own")).when(F.col("_own").isNull(), F.col("gate")).otherwise(F.array_intersect("gate", "_own"))
+            d = d.select("path", gate.alias("gate"), (F.col("everyone") & F.col("_own").isNull()).alias("everyone"))
+        up = d if k == deepest else written(d, "gates")
+        every = up if every is None else every.unionByName(up)
+    return tree.limit(0).select("path", F.array().cast("array<string>").alias("gate"), F.lit(True).alias("everyone")) if every is None else every
+
+
+def traverse_gates(files: DataFrame, directories: DataFrame) -> DataFrame:
+    """files with gate (groups that may pass every directory above; null: all) and everyone (whether
+    others may). Folds over distinct folders (folder_gates), then one equi-join on the file's folder."""
+    d = files.withColumn("_folder", F.element_at(_above(F.col("path")), -1))
+    gates = folder_gates(d.select(F.col("_folder").alias("path")).distinct(), directories).withColumnRenamed("path", "_folder")
+    return d.join(gates, "_folder", "left").drop("_folder").withColumn("everyone", F.coalesce("everyone", F.lit(True)))
 
 
 def file_grants(files: DataFrame, principals: DataFrame, other_group: str | None = None) -> DataFrame:
