@@ -6,7 +6,7 @@ import html
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,20 +27,22 @@ def joined(*parts: Column | str) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts))
 
 
-def truncate_utf8(text: Column, cap: int) -> Column:
+def truncate_utf8(text: Column, cap: int | Column) -> Column:
     """struct(content, original_bytes, final_bytes, truncated) of a text of at most cap UTF-8 bytes.
 
     A longer text is cut at a code-point boundary and ends with a mark that says so; both fit the cap
     unless the mark alone is longer. Null counts as empty.
     """
-    if cap <= 0:
-        raise ValueError("the cap must be positive")
+    if isinstance(cap, int):
+        if cap <= 0:
+            raise ValueError("the cap must be positive")
+        cap = F.lit(cap)
     t = F.coalesce(text, F.lit(""))
     raw = t.cast("binary")
     size = F.octet_length(t)
-    before, after = TRUNCATION_MARK.format(cap=cap, size="\x00").split("\x00")
-    mark = F.concat(F.lit(before), size.cast("string"), F.lit(after))
-    room = F.greatest(F.lit(cap) - F.octet_length(mark), F.lit(0))
+    first, middle, last = TRUNCATION_MARK.format(cap="\x00", size="\x00").split("\x00")
+    mark = F.concat(F.lit(first), cap.cast("string"), F.lit(middle), size.cast("string"), F.lit(last))
+    room = F.greatest(cap - F.octet_length(mark), F.lit(0))
     # a cut before a continuation byte (10xxxxxx) would split a code point: go back three bytes at most
     inner = lambda at: F.conv(F.hex(F.substring(raw, at + 1, F.lit(1))), 16, 10).cast("int").bitwiseAND(F.lit(0xC0)) == 0x80
     cut = F.when((room == 0) | ~inner(room), room).when(~inner(room - 1), room - 1).when(~inner(room - 2), room - 2).otherwise(room - 3)
@@ -49,6 +51,29 @@ def truncate_utf8(text: Column, cap: int) -> Column:
     return F.struct(out.alias("content"), size.alias("original_bytes"), F.octet_length(out).alias("final_bytes"), (size > cap).alias("truncated"))
 
 
+def fitted(df: DataFrame, content: str, content_cap: int, item_cap: int, margin: int) -> DataFrame:
+    """Items of which none is larger, as JSON, than item_cap bytes: df with content cut, and original_bytes,
+    final_bytes, truncated, item_bytes and skipped (why an item can't be sent, else null).
+
+    The content is first cut to content_cap. If the whole item is then larger than item_cap less the margin,
+    the content is cut once more by what is measured to be too much; an item that has no room for content,
+    or is still too large, is skipped.
+    """
+    others = [c for c in df.columns if c != content]
+    size = lambda c: F.octet_length(F.to_json(F.struct(*others, c.alias(content))))
+    d = df.withColumn("_a", truncate_utf8(F.col(content), content_cap)).withColumn("_size", size(F.col("_a.content")))
+    over = F.col("_size") > item_cap - margin
+    budget = F.col("_a.final_bytes") - (F.col("_size") - (item_cap - margin))
+    d = d.withColumns({"_over": over, "_budget": budget})
+    d = d.withColumn("_b", F.when(F.col("_over") & (F.col("_budget") > 0), truncate_utf8(F.col("_a.content"), F.col("_budget"))))
+    last = F.when(F.col("_over"), F.col("_b.content")).otherwise(F.col("_a.content"))
+    d = d.withColumn("_last", last).withColumn("item_bytes", F.when(F.col("_last").isNotNull(), size(F.col("_last"))))
+    why = F.when(F.col("_last").isNull(), "no room for content").when(F.col("item_bytes") > item_cap, "too large")
+    d = d.withColumn("skipped", why)
+    shown = F.when(F.col("skipped").isNull(), F.col("_last"))
+    return d.select(*others, shown.alias(content), F.col("_a.original_bytes").alias("original_bytes"), F.octet_length(shown).alias("final_bytes"), (F.col("_a.truncated") | F.col("_over")).alias("truncated"), "item_bytes", "skipped")
+
+
 @F.pandas_udf(T.StringType())
 def decode_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """HTML character references to characters; Spark has no built-in for the named ones."""

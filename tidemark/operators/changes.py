@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import instant
+from tidemark.operators.flatten import customer_items, engagement_items, entry_items
 
 
 def effective_modified(customers: DataFrame, engagements: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -56,6 +57,36 @@ def incremental(df: DataFrame, time: str, key: str, *, marker_time=None, marker_
     return d if most is None else d.limit(most)
 
 
+def after_item(time: str, key: str, level: int, marker: tuple | None) -> Column:
+    """Strictly after a marker (time, level, key) among the rows of one level, as a plain comparison of columns
+    that a scan can take."""
+    if marker is None:
+        return F.lit(True)
+    t, (at, marked, last) = F.col(time), marker
+    if level == marked:
+        return after(time, key, at, last)
+    return t >= instant(at) if level > marked else t > instant(at)
+
+
+def resume_items(customers: DataFrame, engagements: DataFrame, entries: DataFrame, *, marker: tuple | None = None, ceiling=None, most: int | None = None) -> DataFrame:
+    """Items of all levels after a marker (time, level 1 to 3, source id), in that order, with level and marker
+    columns. The tables hold effective_modified.
+
+    Each level's changed rows are found by its own scan (the comparison is on its columns) before anything is
+    joined. A row at or past the ceiling is read, but its marker is null, so a checkpoint doesn't move there.
+    """
+    tables = {"customers": customers, "engagements": engagements, "entries": entries}
+    levels = (("customers", "customer_id", customer_items), ("engagements", "engagement_id", engagement_items), ("entries", "entry_id", entry_items))
+    out = None
+    for level, (name, key, items) in enumerate(levels, 1):
+        changed = tables[name].where(F.col("effective_modified").isNotNull() & after_item("effective_modified", key, level, marker))
+        d = items(**(tables | {name: changed})).withColumn("level", F.lit(level))
+        out = d if out is None else out.unionByName(d)
+    out = out.orderBy("effective_modified", "level", "source_id")
+    out = out if most is None else out.limit(most)
+    return out.withColumn("marker", F.col("effective_modified")) if ceiling is None else with_marker(out, "effective_modified", ceiling)
+
+
 def with_marker(df: DataFrame, time: str, ceiling) -> DataFrame:
     """Adds marker: the row's time if it is below the ceiling. A row at or past it is read, but the
     checkpoint must not move there."""

@@ -10,12 +10,13 @@ from __future__ import annotations
 import math
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.hashing import HASH_VERSION
 from tidemark.functions.times import instant
+from tidemark.shared import written
 
 LIVE, PENDING, DELETED = 1, 2, 3
 RUNNING, SUCCEEDED, FAILED, ABANDONED, PARTIAL = 1, 2, 3, 4, 5
@@ -188,29 +189,74 @@ def heartbeat(runs: DataFrame, run_id: int, as_of) -> DataFrame:
 
 
 def full_run(inventory: DataFrame, runs: DataFrame, candidates: DataFrame, connection_id: str, run_id: int, as_of, *, most_percent: float = 10.0, override: bool = False) -> tuple[DataFrame, DataFrame]:
-    """inventory and runs after an open run has compared, recorded, swept and ended.
+    """inventory and runs after an open run of the connection has compared, recorded, swept and ended.
 
     candidates: connection_id, item_id, item_type, content_hash, acl_hash, content_bytes of what the source
     has, each once. Only a full run sweeps, under the guard of sweep, and what it sweeps counts as
-    deleted. A dry run ends with its counters and changes no item. Counts alone reach the driver.
+    deleted. A dry run ends with its counters and changes no item. Refused for an unknown run (50004),
+    another connection's run or candidates (50005), and by the guard (50007).
+
+    One full outer join of the connection's items with the candidates decides what becomes of each, and its
+    result is written once: the source is read once, and the counters, observed by that write, are of the
+    rows that were written. Nothing else reaches the driver.
     """
-    own = runs.where(F.col("run_id") == run_id).select("mode", "is_dry_run").first()
+    own = runs.where(F.col("run_id") == run_id).select("connection_id", "mode", "is_dry_run").first()
     if own is None:
         raise Refused(50004, "unknown run")
-    seen = compare_and_see(inventory, candidates)
-    n = {r["action"]: r["count"] for r in seen.groupBy("action").count().collect()}
-    counters = {"items_written": n.get("write", 0), "items_unchanged": n.get("unchanged", 0), "items_deleted": 0}
+    if own["connection_id"] != connection_id:
+        raise Refused(50005, "the run is another connection's")
+    mine = F.col("connection_id") == connection_id
+    sweeps = F.lit(own["mode"] == FULL)
+    given = ["item_type", "content_hash", "acl_hash", "content_bytes"]
+    new = candidates.select(*KEY, F.struct(*given).alias("_new"))
+    d = inventory.where(mine).withColumn("_old", F.lit(True)).join(new, KEY, "full_outer")
+    found, live = F.col("_new").isNotNull(), F.col("_old").isNotNull() & (F.col("state") == LIVE)
+    same = live & F.coalesce((F.col("_new.content_hash") == F.col("content_hash")) & (F.col("_new.acl_hash") == F.col("acl_hash")), F.lit(False))
+    fate = (
+        F.when(found & ~mine, "foreign").when(found & same, "unchanged").when(found, "write")
+        .when(sweeps & live & (F.col("last_seen_run") < run_id), "missing").when(sweeps & (F.col("state") == PENDING), "pending").otherwise("kept")
+    )
+    d = d.withColumn("_fate", fate)
+    n = Observation()
+    is_ = lambda *f: F.count_if(F.col("_fate").isin(*f))
+    still = F.count_if((F.col("_fate") == "kept") & (F.col("state") == LIVE))
+    d = d.observe(n, is_("write").alias("items_written"), is_("unchanged").alias("items_unchanged"), is_("missing").alias("missing"), is_("missing", "pending").alias("items_deleted"), is_("foreign").alias("foreign"), still.alias("still"))
+    if own["is_dry_run"]:
+        d.write.format("noop").mode("overwrite").save()
+        out = inventory
+    else:
+        out = inventory.where(~mine).unionByName(written(_settled(d, inventory.columns, run_id, as_of), "inventory"))
+    got = n.get
+    if got["foreign"]:
+        raise Refused(50005, f"{got['foreign']} candidates are another connection's")
+    counters = {c: got[c] for c in ("items_written", "items_unchanged", "items_deleted")}
     if own["is_dry_run"]:
-        return inventory, finish_run(runs, run_id, as_of, counters)
-    out = record_written(inventory, seen.where("action = 'write'"), run_id, as_of)
-    out = record_unchanged(out, seen.where("action = 'unchanged'"), run_id)
-    if own["mode"] == FULL:
-        out, pending = sweep(out, runs, connection_id, run_id, as_of, most_percent, override)
-        counters["items_deleted"] = pending.count()
-        out = confirm_deletes(out, pending.withColumn("connection_id", F.lit(connection_id)), as_of)
+        return out, finish_run(runs, run_id, as_of, counters | {"items_deleted": 0})
+    all_live = got["items_written"] + got["items_unchanged"] + got["missing"] + got["still"]
+    if not override and got["missing"] * 100 > guard_percent(most_percent) * all_live:
+        raise Refused(50007, f"{got['missing']} of {all_live} live items are missing")
     return out, finish_run(runs, run_id, as_of, counters)
 
 
+def _settled(judged: DataFrame, columns: list[str], run_id: int, as_of) -> DataFrame:
+    """The judged items (see full_run) as they are after the run."""
+    now, run = instant(as_of), F.lit(run_id).cast("long")
+    fate = F.col("_fate")
+    write, seen, gone = fate == "write", fate == "unchanged", fate.isin("missing", "pending")
+    new = lambda c: F.when(write, F.col(f"_new.{c}")).otherwise(F.col(c))
+    after = {c: new(c) for c in ("item_type", "content_hash", "acl_hash", "content_bytes")} | {
+        "first_seen_run": F.coalesce("first_seen_run", run),
+        "last_seen_run": F.when(write | seen, run).otherwise(F.col("last_seen_run")),
+        "last_written_run": F.when(write, run).otherwise(F.col("last_written_run")),
+        "last_written_utc": F.when(write, now).otherwise(F.col("last_written_utc")),
+        "state": F.when(write, LIVE).when(gone, DELETED).otherwise(F.col("state")),
+        "pending_since_utc": F.when(~write & ~gone, F.col("pending_since_utc")),
+        "deleted_utc": F.when(gone, now).when(~write, F.col("deleted_utc")),
+        "unchanged_streak": F.when(write, 0).when(seen, F.col("unchanged_streak") + 1).otherwise(F.col("unchanged_streak")),
+    }
+    return judged.select(*(after.get(c, F.col(c)).cast(judged.schema[c].dataType).alias(c) for c in columns))
+
+
 def finish_run(runs: DataFrame, run_id: int, as_of, counters: dict[str, int], failed: bool = False) -> DataFrame:
     """runs after one is completed (partial if items failed) or failed; its counters are kept either way."""
     if not runs.where((F.col("run_id") == run_id) & (F.col("status") == RUNNING)).limit(1).count():

@@ -5,6 +5,11 @@ All take as_of instead of reading a clock. Rankings are window functions over on
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import hmac
+import json
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -183,6 +188,50 @@ def paged(df: DataFrame, order: list[Column | str], page: int = 1, size: int | N
     return df.orderBy(*order).offset((page - 1) * size).limit(size).crossJoin(F.broadcast(total))
 
 
+def _following(order: list[tuple[str, bool]], last: list[Column]) -> Column:
+    """Whether a row comes after the one with the last values; nulls are first ascending and last descending."""
+    out, equal = F.lit(False), F.lit(True)
+    for (name, falls), v in zip(order, last):
+        c = F.col(name)
+        later = (c < v) | (c.isNull() & v.isNotNull()) if falls else (c > v) | (c.isNotNull() & v.isNull())
+        out = out | (equal & F.coalesce(later, F.lit(False)))
+        equal = equal & c.eqNullSafe(v)
+    return out
+
+
+def _signature(secret: bytes, scope: str, payload: bytes) -> str:
+    return hmac.new(secret, scope.encode() + b"\n" + payload, hashlib.sha256).hexdigest()
+
+
+def seek_page(df: DataFrame, order: list[tuple[str, bool]], *, size: int | None = None, cursor: str | None = None, secret: bytes = b"", scope: str = "", default: int = 50, most: int = 500) -> DataFrame:
+    """The page of rows after a cursor, in order: columns, each with whether it falls; together they must tell
+    all rows apart. Size is clamped.
+
+    Only rows after the cursor are looked at, and only the first of them are kept by every task, so a deep page
+    costs what the first one does. A cursor is refused if it wasn't signed with the secret for this
+    scope (the caller's list and filters) and order.
+    """
+    size = default if size is None or size < 1 else min(size, most)
+    if cursor is not None:
+        body, _, signed = cursor.partition(".")
+        payload = base64.urlsafe_b64decode(body.encode())
+        if not hmac.compare_digest(signed, _signature(secret, f"{scope}{order}", payload)):
+            raise ValueError("the cursor is not of this list")
+        last = [F.lit(v).cast(df.schema[name].dataType) for (name, _), v in zip(order, json.loads(payload))]
+        df = df.where(_following(order, last))
+    return df.orderBy(*(F.col(c).desc() if falls else F.col(c).asc() for c, falls in order)).limit(size)
+
+
+def next_cursor(page: DataFrame, order: list[tuple[str, bool]], *, secret: bytes = b"", scope: str = "") -> str | None:
+    """The cursor after a page's last row, signed on the driver; None after an empty page. Of the page only the
+    columns of the order are collected."""
+    rows = page.select(*(F.col(c).cast("string") for c, _ in order)).collect()
+    if not rows:
+        return None
+    payload = json.dumps(list(rows[-1])).encode()
+    return f"{base64.urlsafe_b64encode(payload).decode()}.{_signature(secret, f'{scope}{order}', payload)}"
+
+
 def _optional(df: DataFrame, **equal) -> DataFrame:
     for k, v in equal.items():
         if v is not None:

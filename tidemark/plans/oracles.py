@@ -338,3 +338,52 @@ SQL["inventory_index_errors"] = f"""{_with("item")}{_IDX} SELECT i.item_id, CASE
 SQL["missing_items_sample"] = f"{_with('item')} SELECT connection_id, item_type, item_id, last_seen_run FROM item WHERE state = 1 AND last_seen_run < 100 ORDER BY connection_id, item_id LIMIT 10"
 SQL["table_counts"] = "SELECT 'customer' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem"
 SQL["recent_activity"] = f"{_with('run', 'connection')}, {_DAILY} SELECT * FROM daily WHERE activity_date >= DATE '2001-07-04'"
+SQL["route_many_tables"] = f"""WITH t AS ({_TABLES}), p AS (SELECT p_partkey AS id, p_partkey % 6 AS k, p_partkey // 6 % 5 AS j FROM part WHERE p_partkey % 17 <> 4),
+v AS (SELECT id, k, j, CASE k WHEN 0 THEN 'db' || id % 7 WHEN 1 THEN 'db%' WHEN 2 THEN '%' || id % 7 WHEN 3 THEN 'd_' || id % 7 WHEN 4 THEN 'db' || id % 7 ELSE '%' END AS base,
+ CASE j WHEN 0 THEN 'en' || id % 40 WHEN 1 THEN 'fr' || id % 4 || '%' WHEN 2 THEN '%' || id % 10 WHEN 3 THEN '%e%1%' ELSE '%' END AS name, CASE WHEN k = 0 AND j = 0 THEN id % 3 ELSE 0 END AS kind FROM p),
+m AS (SELECT database, "table", v.* FROM t JOIN v ON (lower(database) LIKE base) <> (k = 4) AND lower("table") LIKE name),
+back AS (SELECT DISTINCT database, "table", 'g' || id % 50 AS g FROM m WHERE id % 31 = 3 AND kind = 0),
+given AS (SELECT DISTINCT database, "table", unnest(['g' || id % 50, 'h' || id % 3]) AS g FROM m WHERE kind = 0),
+sole AS (SELECT database, "table", id, unnest(['g' || id % 50, 'h' || id % 3]) AS g FROM m WHERE kind = 0 AND id % 211 = 5 AND k = 0),
+kept AS (SELECT * FROM given WHERE NOT EXISTS (SELECT 1 FROM back b WHERE b.database = given.database AND b."table" = given."table" AND b.g = given.g)
+ AND (SELECT count(DISTINCT id) FROM sole s WHERE s.database = given.database AND s."table" = given."table")
+   = (SELECT count(DISTINCT id) FROM sole s WHERE s.database = given.database AND s."table" = given."table" AND s.g = given.g AND (s.g NOT LIKE 'g%' OR s.id % 31 <> 3))),
+f AS (SELECT database, "table", bool_or(kind = 2) AS filtered, bool_or(kind = 1) AS masked, bool_or(k = 0 AND id % 4 = 1) AS denied FROM m GROUP BY ALL),
+l AS (SELECT database, "table", string_agg(g, ',' ORDER BY g) AS groups FROM kept GROUP BY ALL),
+r AS (SELECT t.*, CASE WHEN filtered THEN 'row filter' WHEN masked THEN 'mask' WHEN denied THEN 'deny' WHEN groups IS NULL THEN 'no group' END AS reason, groups FROM t LEFT JOIN f USING (database, "table") LEFT JOIN l USING (database, "table"))
+SELECT database, "table", CASE WHEN reason IS NULL THEN 'index' ELSE 'live query' END AS verdict, reason, CASE WHEN reason IS NULL THEN groups ELSE '' END AS groups FROM r"""
+SQL["route_many_paths"] = """WITH t AS (SELECT '/data/' || source || '/' || lang || '/f' || doc_id AS path FROM documents), p AS (SELECT s_suppkey AS s, s_suppkey % 5 AS k, ['en', 'fr', 'de', 'es'][s_suppkey % 4 + 1] AS lang FROM supplier),
+v AS (SELECT s, k, CASE k WHEN 1 THEN '/data/[^/]*/' || lang WHEN 2 THEN '/data/src' || s % 20 || '/en/f[^/]' WHEN 3 THEN '/data/src[^/]/' || lang || '/f1[^/]*' ELSE '/data/src' || s % 20 END AS body, k = 4 AND s % 7 < 2 AS but, s % 13 = 0 AND k IN (1, 2) AS deny FROM p),
+m AS (SELECT path, s, deny, regexp_full_match(path, body || CASE WHEN k IN (0, 4) THEN '(/.*)?' ELSE '' END) <> but AS grants, deny AND regexp_full_match(path, body || '(/.*)?') AS denies FROM t, v),
+a AS (SELECT path, bool_or(denies) AS denied, string_agg(DISTINCT 'g' || s % 30, ',' ORDER BY 'g' || s % 30) FILTER (grants) AS groups FROM m GROUP BY path)
+SELECT path, CASE WHEN denied THEN 'live query' ELSE 'index' END AS verdict, CASE WHEN denied THEN 'deny' END AS reason, CASE WHEN denied THEN '' ELSE coalesce(groups, '') END AS groups FROM a"""
+SQL["full_run_guarded"] = f"""{_with("item")}, lost AS (SELECT * FROM (VALUES ('conn3', 3), ('conn4', 60), ('conn6', 8)) v(connection_id, k)),
+i AS (SELECT item.*, content_bytes % k <> 0 AS here, state = 1 AND (content_bytes % 7 <> 0 OR upper(content_hash) = content_hash) AS same FROM item JOIN lost USING (connection_id)),
+n AS (SELECT connection_id, count(*) FILTER (here AND NOT same) AS items_written, count(*) FILTER (here AND same) AS items_unchanged, count(*) FILTER (NOT here AND state IN (1, 2)) AS items_deleted,
+ count(*) FILTER (NOT here AND state = 1) * 100 > 10 * count(*) FILTER (here OR state = 1) AS refused FROM i GROUP BY connection_id)
+SELECT connection_id, item_id, CASE WHEN refused THEN state WHEN here THEN 1 ELSE 3 END AS state, CASE WHEN here AND NOT refused THEN 1000000000 ELSE last_seen_run END AS last_seen_run,
+ CASE WHEN refused THEN unchanged_streak WHEN here AND same THEN unchanged_streak + 1 WHEN here THEN 0 ELSE unchanged_streak END AS unchanged_streak,
+ CASE WHEN NOT refused THEN items_written END AS items_written, CASE WHEN NOT refused THEN items_unchanged END AS items_unchanged, CASE WHEN NOT refused THEN items_deleted END AS items_deleted FROM i JOIN n USING (connection_id)"""
+SQL["seek_runs"] = f"""{_with('run', 'connection')}, {_HISTORY} SELECT run_id, started_utc, completed_utc, cast((row_number() OVER (ORDER BY completed_utc DESC NULLS LAST, run_id) - 1) // 400 + 1 AS int) AS page
+ FROM history WHERE connection_id IN ('conn3', 'conn8')"""
+SQL["resume_items"] = f"""{_with(*_H)}{_LIVE}{_ELM}, i AS (SELECT 'cust' || ce.customer_id AS item_id, 'Customer' AS item_type, 1 AS level, em, ce.customer_id AS id, coalesce(n, 0) AS child_count FROM ce LEFT JOIN per_customer p ON p.customer_id = ce.customer_id WHERE NOT is_deleted
+UNION ALL SELECT 'eng' || ee.engagement_id, 'Engagement', 2, ee.em, ee.engagement_id, coalesce(n, 0) FROM ee JOIN c ON c.customer_id = ee.customer_id LEFT JOIN per_engagement p ON p.engagement_id = ee.engagement_id WHERE NOT ee.is_deleted
+UNION ALL SELECT 'time' || te.entry_id, 'TimeEntry', 3, te.em, te.entry_id, 0 FROM te JOIN e ON e.engagement_id = te.engagement_id JOIN c ON c.customer_id = e.customer_id WHERE NOT te.is_deleted)
+SELECT item_id, item_type, level, em AS effective_modified, CASE WHEN em < TIMESTAMP '2000-09-01' THEN em END AS marker, cast(child_count AS int) AS child_count FROM i
+WHERE (em, level, id) > (TIMESTAMP '2000-06-01', 2, 3000)"""
+
+
+def _cut_at(text: str, cap: str) -> str:
+    """A text cut to a cap of bytes, with its mark, as a scalar expression over columns."""
+    before, middle, after = TRUNCATION_MARK.format(cap="\x00", size="\x00").split("\x00")
+    q = lambda s: "'" + s.replace("\n", "' || chr(10) || '") + "'"
+    mark = f"({q(before)} || {cap} || {q(middle)} || strlen({text}) || {q(after)})"
+    room = f"greatest({cap} - strlen({mark}), 0)"
+    return f"CASE WHEN strlen({text}) <= {cap} THEN {text} ELSE substr({text}, 1, (SELECT max(i) FROM range(greatest({room} // 4, 0), {room} + 1) r(i) WHERE strlen(substr({text}, 1, i)) <= {room})) || {mark} END"
+
+
+SQL["fitted_items"] = f"""WITH d AS (SELECT 'doc' || doc_id AS item_id, repeat(source, CASE WHEN doc_id % 5 = 0 THEN doc_id % 400 ELSE 1 END) AS owner, text AS content FROM documents),
+a AS (SELECT *, {_cut_at("content", "1200")} AS c1 FROM d), b AS (SELECT *, strlen(to_json({{'item_id': item_id, 'owner': owner, 'content': c1}})::varchar) AS s1 FROM a),
+g AS (SELECT *, s1 > 1440 AS over, strlen(c1) - (s1 - 1440) AS budget FROM b), h AS (SELECT *, CASE WHEN NOT over THEN c1 WHEN budget > 0 THEN {_cut_at("c1", "budget")} END AS c2 FROM g),
+z AS (SELECT *, strlen(to_json({{'item_id': item_id, 'owner': owner, 'content': c2}})::varchar) AS s2 FROM h), w AS (SELECT *, CASE WHEN c2 IS NULL THEN 'no room for content' WHEN s2 > 1500 THEN 'too large' END AS skipped FROM z)
+SELECT item_id, CASE WHEN skipped IS NULL THEN c2 END AS content, strlen(content) AS original_bytes, CASE WHEN skipped IS NULL THEN strlen(c2) END AS final_bytes, strlen(content) > 1200 OR over AS truncated, CASE WHEN c2 IS NOT NULL THEN s2 END AS item_bytes, skipped FROM w"""

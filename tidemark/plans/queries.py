@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import hashing, text
 from tidemark.operators import changes, entitlement, flatten, inventory, reconcile, reporting, timing
 from tidemark.plans.fixtures import AS_OF, fixture
+from tidemark.shared import written
 from tidemark.sources import tables as scans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -578,6 +579,45 @@ def route_paths(spark, d):
     return _joined(entitlement.route_paths(paths, _policies(spark, _PATH_POLICIES)))
 
 
+def _policy_text(*fields: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+
+
+@query
+def route_many_tables(spark, d):
+    """A policy for each part: literals, heads, tails, inner wildcards, everything and everything but, for two
+    groups, of which some are taken back, denied or kept to themselves."""
+    p = F.col("p_partkey").cast("long")
+    k, j = p % 6, F.floor(p / 6) % 5
+    text_ = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    base = F.when(k == 0, text_("DB", p % 7)).when(k == 1, "db*").when(k == 2, text_("*", p % 7)).when(k == 3, text_("d?", p % 7)).when(k == 4, text_("db", p % 7)).otherwise("*")
+    name = F.when(j == 0, text_("En", p % 40)).when(j == 1, text_("fr", p % 4, "*")).when(j == 2, text_("*", p % 10)).when(j == 3, "*e*1*").otherwise("*")
+    resources = text_('"resources":{"database":{"values":["', base, '"],"isExcludes":', k == 4, '},"table":{"values":["', name, '"]}}')
+    grant = lambda field, *groups: text_(f'"{field}":[{{"accesses":[{{"type":"select"}}],"groups":["', F.concat_ws('","', *groups), '"]}]')
+    g, h = text_("G", p % 50), text_("h", p % 3)
+    body = _policy_text(
+        text_('"id":', p), resources, grant("policyItems", g, h), F.when(p % 31 == 3, grant("allowExceptions", F.upper(g))), F.when((k == 0) & (p % 4 == 1), grant("denyPolicyItems", g)),
+        text_('"isDenyAllElse":', (p % 211 == 5) & (k == 0)), text_('"policyType":', F.when((k == 0) & (j == 0), p % 3).otherwise(0)), text_('"isEnabled":', p % 17 != 4),
+    )
+    policies = entitlement.parse_policies(_read(spark, d, "part").select(body.alias("value")))
+    return _joined(entitlement.route_tables(_tables(spark, d), policies))
+
+
+@query
+def route_many_paths(spark, d):
+    """A policy for each supplier: recursive folders, wildcards within a segment, and all but a folder."""
+    s = F.col("s_suppkey").cast("long")
+    k = s % 5
+    text_ = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    lang = F.element_at(F.array(*map(F.lit, ("en", "fr", "de", "es"))), (s % 4 + 1).cast("int"))
+    path = F.when(k == 0, text_("/data/src", s % 20, "/")).when(k == 1, text_("/data/*/", lang)).when(k == 2, text_("/data/src", s % 20, "/en/f?")).when(k == 3, text_("/data/src?/", lang, "/f1*")).otherwise(text_("/data/src", s % 20))
+    grant = lambda field: text_(f'"{field}":[{{"accesses":[{{"type":"read"}}],"groups":["g', s % 30, '"]}]')
+    body = _policy_text(text_('"id":', s), text_('"resources":{"path":{"values":["', path, '"],"isRecursive":', k.isin(0, 4), ',"isExcludes":', (k == 4) & (s % 7 < 2), "}}"), grant("policyItems"), F.when((s % 13 == 0) & k.isin(1, 2), grant("denyPolicyItems")))
+    policies = entitlement.parse_policies(_read(spark, d, "supplier").select(body.alias("value")))
+    paths = _read(spark, d, "documents").select(F.concat(F.lit("/data/"), "source", F.lit("/"), "lang", F.lit("/f"), "doc_id").alias("path"))
+    return _joined(entitlement.route_paths(paths, policies))
+
+
 @query
 def describable_columns(spark, d):
     return entitlement.describable_columns(_tables(spark, d), _policies(spark, _POLICIES)).withColumn("columns", F.array_join(F.array_sort("columns"), ","))
@@ -733,3 +773,58 @@ def table_counts(spark, d):
 @query
 def recent_activity(spark, d):
     return reporting.recent_activity(daily_activity(spark, d), AS_OF)
+
+
+@query
+def full_run_guarded(spark, d):
+    """Full runs of three connections whose sources have lost differing shares; the guard refuses those that
+    lost more than a tenth, whose items stay as they are."""
+    item = fixture(spark, d, "item")
+    hash_ = F.when(F.col("content_bytes") % 7 == 0, F.upper("content_hash")).otherwise(F.col("content_hash"))
+    out = None
+    for name, lost in (("conn3", 3), ("conn4", 60), ("conn6", 8)):
+        mine = item.where(F.col("connection_id") == name)
+        source = mine.where(F.col("content_bytes") % lost != 0).select("connection_id", "item_id", "item_type", hash_.alias("content_hash"), "acl_hash", "content_bytes")
+        runs = _begun(spark, d, name, 10**9, mode=inventory.FULL, lease_seconds=1)
+        try:
+            done, ended = inventory.full_run(item, runs, source, name, 10**9, AS_OF)
+            done = done.where(F.col("connection_id") == name).join(F.broadcast(ended.where(F.col("run_id") == 10**9).select("items_written", "items_unchanged", "items_deleted")))
+        except inventory.Refused as refused:
+            none = F.lit(None).cast("long")
+            done = mine.withColumns({"items_written": none, "items_unchanged": none, "items_deleted": none if refused.code == 50007 else F.lit(-1)})
+        done = done.select("connection_id", "item_id", "state", "last_seen_run", "unchanged_streak", "items_written", "items_unchanged", "items_deleted")
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
+@query
+def seek_runs(spark, d):
+    """All runs of two connections, newest first, read page by page, each from the cursor after the one before."""
+    runs = _history(spark, d).where("connection_id IN ('conn3', 'conn8')").select("run_id", "started_utc", "completed_utc")
+    order, how = [("completed_utc", True), ("run_id", False)], {"secret": b"of the test", "scope": "conn3,conn8"}
+    out, cursor, number = None, None, 0
+    while True:
+        page = reporting.seek_page(runs, order, size=400, cursor=cursor, **how)
+        cursor = reporting.next_cursor(page, order, **how)
+        if cursor is None:
+            return page.withColumn("page", F.lit(0)) if out is None else out
+        number += 1
+        page = page.withColumn("page", F.lit(number))
+        out = page if out is None else out.unionByName(page)
+
+
+@query
+def resume_items(spark, d):
+    """Items after a marker in the middle of level 2, from tables that hold their effective times."""
+    c, e, t = (written(x, "effective") for x in _effective(spark, d))
+    items = changes.resume_items(c, e, t, marker=("2000-06-01", 2, 3000), ceiling="2000-09-01")
+    return items.select("item_id", "item_type", "level", "effective_modified", "marker", "child_count")
+
+
+@query
+def fitted_items(spark, d):
+    """Documents as items of at most 1500 bytes; every fifth carries a wide property, some too wide."""
+    n = F.col("doc_id")
+    wide = F.repeat("source", F.when(n % 5 == 0, n % 400).otherwise(1).cast("int"))
+    docs = _read(spark, d, "documents").select(F.concat(F.lit("doc"), n).alias("item_id"), wide.alias("owner"), F.col("text").alias("content"))
+    return text.fitted(docs, "content", 1200, 1500, 60).drop("owner")
