@@ -14,9 +14,11 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 
-BLOCK = 1 << 18
+BLOCK = 1 << 17
 _NONE = np.uint8(255)
 
 
@@ -35,11 +37,12 @@ class _Scan:
         size = len(bwt)
         flag = np.zeros(size, bool)
         flag[at] = True
-        order = np.argsort(bwt, kind="stable")
+        order = pc.array_sort_indices(pa.array(bwt)).to_numpy().view(np.int64)  # stable, by counting
         counts = np.bincount(bwt, minlength=256)
         ends = np.cumsum(counts)
         begins = ends - counts
         here = np.flatnonzero(counts)
+        head, last = order[begins[here]], order[ends[here] - 1]  # of each symbol in the block
         new = flag[order]
         before = np.empty(size, bool)
         before[1:] = new[:-1]
@@ -50,24 +53,25 @@ class _Scan:
         symbol = bwt[place]
         rank = want - begins[symbol]
         inner = rank > 0
+        padded = np.append(lcp, _NONE)
         least = np.empty(len(want), np.uint8)
         if inner.any():
             cut = np.empty(2 * int(inner.sum()), np.int64)
             cut[::2] = order[want[inner] - 1] + 1
             cut[1::2] = place[inner] + 1
-            least[inner] = np.minimum.reduceat(np.append(lcp, _NONE), cut)[::2]
-        if not inner.all():
-            head = np.minimum.accumulate(lcp)
-            least[~inner] = np.minimum(self.low[symbol[~inner]], head[place[~inner]])
+            least[inner] = np.minimum.reduceat(padded, cut)[::2]
+        by = np.argsort(head)
+        low = self.low.copy()  # with what lies before the symbol's first place in the block
+        low[here[by]] = np.minimum(low[here[by]], np.minimum.accumulate(np.minimum.reduceat(padded, np.append(0, head[by] + 1))[:-1]))
+        least[~inner] = low[symbol[~inner]]
         rank = rank + self.count[symbol]
         prefix = np.where(rank > 0, least + np.uint8(1), 0).astype(np.uint8)
         own = new[want]
         self.new.append((symbol[own], rank[own], string[np.searchsorted(at, place[own])], prefix[own]))
         self.old.append((symbol[~own], rank[~own], prefix[~own]))
-        last = order[ends[here] - 1]
-        tail = np.append(np.minimum.accumulate(lcp[::-1])[::-1], _NONE)
-        self.low = np.minimum(self.low, tail[0])
-        self.low[here] = tail[last + 1]
+        self.low = np.minimum(self.low, lcp.min())
+        by = np.argsort(last)
+        self.low[here[by]] = np.minimum.accumulate(np.minimum.reduceat(padded, last[by] + 1)[::-1])[::-1]
         self.fresh[here] = flag[last]
         self.count += counts
 

@@ -30,6 +30,9 @@ WIDTH = 100
 #: Bytes of a minimizer, a power of two, and its places within a string of WIDTH bytes.
 KEY = 32
 REACH = WIDTH - KEY + 1
+#: Into how many classes the places of a minimizer are parted to find the shared part of a piece.
+CLASSES = 4
+_EDGES = [REACH * k // CLASSES for k in range(CLASSES + 1)]
 #: Bytes of the pieces that go into one transform.
 COLLECTION_BYTES = 8 << 20
 #: Distinct pieces of a minimizer above which it is taken apart.
@@ -282,6 +285,45 @@ def compare(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, GONE)
 
 
+def _shared(symbols: np.ndarray, starts: np.ndarray, key: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the part of each piece begins and ends (in symbols) that may hold a string of another of its key;
+    equal where there is none.
+
+    A string is told by the place of the minimizer in it. The places are parted into ``CLASSES``; all strings
+    of a class have bytes around the minimizer in common, so a class whose bytes no other piece of the key
+    has is left out. Single strings, and all pieces of a key that one of them holds twice, stay whole.
+    """
+    m = len(starts) - 1
+    lo, hi = starts[:-1].copy(), starts[1:].copy()
+    h = _gram_hashes(symbols)
+    of = np.repeat(np.arange(m), np.diff(starts))[: len(h)]
+    hit = np.flatnonzero(h.view(np.int64) == key[of])
+    hit = hit[hit + KEY <= starts[of[hit] + 1]]
+    mine, first = np.unique(of[hit], return_index=True)
+    at = np.full(m, -1)
+    at[mine] = hit[first]
+    group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+    whole = (np.bincount(group, twice) > 0)[group] | (at < 0)
+    far, near = np.full(m, -1), np.full(m, REACH)  # the places of a minimizer that are shared, from near to far
+    for a, b in zip(_EDGES, _EDGES[1:]):
+        u, v = at - a, at - b + 1 + WIDTH
+        rows = np.flatnonzero(~whole & (u >= starts[:-1]) & (v <= starts[1:]))
+        u, v = u[rows], v[rows]
+        seen = key[rows].view(np.uint64)
+        for place in (u, (u + v - KEY) // 2, v - KEY):  # three grams cover a class's bytes
+            seen = (seen ^ h[place]) * np.uint64(0xD6E8FEB86659FD93)
+            seen ^= seen >> np.uint64(32)
+        _, inverse, counts = np.unique(seen, return_inverse=True, return_counts=True)
+        rows = rows[counts[inverse] > 1]
+        far[rows], near[rows] = np.maximum(far[rows], b - 1), np.minimum(near[rows], a)
+    none = ~whole & (far < 0)
+    part = ~whole & ~none
+    lo[part] = np.maximum(lo[part], at[part] - far[part])
+    hi[part] = np.minimum(hi[part], at[part] - near[part] + WIDTH)
+    hi[none] = lo[none]
+    return lo, hi
+
+
 def _repeats(t: pa.Table, folder: str) -> pa.RecordBatch:
     """GONE rows of whole keys."""
     key, twice = t.column("key").to_numpy(), t.column("twice").to_numpy()
@@ -291,9 +333,15 @@ def _repeats(t: pa.Table, folder: str) -> pa.RecordBatch:
     of, offset, first = (np.empty(0, np.int64) for _ in range(3))
     if len(t):
         symbols, starts = _flat(t.column("s").chunk(0))
+        lo, hi = _shared(symbols, starts, t.column("key").to_numpy(), t.column("twice").to_numpy())
+        t, ahead, lo, hi = t.filter(pa.array(hi > lo)).combine_chunks(), (lo - starts[:-1])[hi > lo], lo[hi > lo], hi[hi > lo]
+    if len(t):
+        of, k = _repeat(hi - lo)
+        symbols, starts = symbols[lo[of] + k], np.append(0, np.cumsum(hi - lo))
         lengths = np.diff(starts)
         found = collection_bwt.suffix_groups(*collection_bwt.build(symbols, starts, folder), lengths, WIDTH)
         of, offset, same = (np.concatenate(c) for c in zip(*found))
+        offset = offset + ahead[of]
         none = t.column("doc_id").is_null().to_numpy()
         doc, th = t.column("doc_id").fill_null(0).to_numpy(), t.column("th").to_numpy()
         by = np.lexsort((th, doc, none))
