@@ -20,6 +20,7 @@ from pyarrow.fs import FileSystem
 
 BLOCK = 1 << 17
 _NONE = np.uint8(255)
+_AFTER = np.arange(2, 514, 2, dtype=np.uint16)
 
 
 class _Scan:
@@ -38,17 +39,19 @@ class _Scan:
         flag = np.zeros(size, bool)
         flag[at] = True
         order = pc.array_sort_indices(pa.array(bwt)).to_numpy().view(np.int64)  # stable, by counting
-        counts = np.bincount(bwt, minlength=256)
-        ends = np.cumsum(counts)
-        begins = ends - counts
+        sorted_ = ((bwt.astype(np.uint16) << 1) | flag)[order]
+        ends = np.searchsorted(sorted_, _AFTER)
+        begins = np.append(0, ends[:-1])
+        counts = ends - begins
         here = np.flatnonzero(counts)
         head, last = order[begins[here]], order[ends[here] - 1]  # of each symbol in the block
-        new = flag[order]
-        before = np.empty(size, bool)
-        before[1:] = new[:-1]
-        before[begins[here]] = self.fresh[here]
-        want = np.flatnonzero(new | before)
-        want = want[want >= ends[0]]  # symbol 0 ends a string
+        new = (sorted_ & 1).astype(bool)
+        own = np.flatnonzero(new)
+        after = own[own + 1 < size] + 1  # suffixes behind a new one, unless of the next symbol
+        after = after[sorted_[after] >> 1 == sorted_[after - 1] >> 1]
+        want = np.sort(np.concatenate([own, after, begins[here[self.fresh[here]]]]))
+        want = want[np.searchsorted(want, ends[0]) :]  # symbol 0 ends a string
+        want = want[np.append(True, want[1:] != want[:-1])[: len(want)]]
         place = order[want]
         symbol = bwt[place]
         rank = want - begins[symbol]

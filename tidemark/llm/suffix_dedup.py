@@ -33,7 +33,9 @@ REACH = WIDTH - KEY + 1
 #: Into how many classes the places of a minimizer are parted to find the shared part of a piece.
 CLASSES = 4
 _EDGES = [REACH * k // CLASSES for k in range(CLASSES + 1)]
-#: Bytes of the pieces that go into one transform.
+#: Keys whose longest pieces differ by fewer bytes share a transform.
+LENGTHS = 12
+#: Bytes of the pieces that are compared at a time.
 COLLECTION_BYTES = 8 << 20
 #: Distinct pieces of a minimizer above which it is taken apart.
 CROWD = 1024
@@ -44,6 +46,8 @@ BATCH_BYTES = 32 << 20
 #: Bytes of text that are hashed at a time; places in them have 16 bits.
 _STRETCH = 1 << 15
 _PLACE = np.uint64(0xFFFF)
+#: Odd numbers for the doublings, drawn once for all.
+_ODD = np.random.Generator(np.random.PCG64(12)).integers(0, 1 << 63, KEY, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A document is known by its id and the hash of its text.
 DOC = ("doc_id", "th")
 #: done: an equal piece stands earlier in the batch, so key is only where the row is dealt to.
@@ -61,15 +65,19 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
-    """A hash of the KEY bytes from each place, by doubling."""
-    x = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(29)
-    k = 1
+    """A hash of the KEY bytes from each place, by doubling from words of four."""
+    if len(text) < KEY:
+        return np.empty(0, np.uint64)
+    words = np.ndarray(len(text) - 3, "<u4", np.ascontiguousarray(text), strides=(1,))
+    x, k = words.astype(np.uint64) * _ODD[0], 4
+    x ^= x >> np.uint64(31)
     while k < KEY:
-        y = x[:-k] * np.uint64(0x94D049BB133111EB)
+        y = x[:-k] * _ODD[k]
         y += x[k:]
-        y ^= y >> np.uint64(31)
         x, k = y, 2 * k
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(32)
     return x
 
 
@@ -108,7 +116,9 @@ def cut(text: np.ndarray, bounds: np.ndarray, apart: np.ndarray) -> Iterator[tup
         size = len(best)
         lo, hi = np.searchsorted(bounds, (at, at + size))
         inside = bounds[lo:hi] - at
-        begin = np.unique(np.concatenate([[0], np.flatnonzero(best[1:] != best[:-1]) + 1, inside[inside < size]]))
+        mark = np.append(True, best[1:] != best[:-1])
+        mark[inside[inside < size]] = True
+        begin = np.flatnonzero(mark)
         key = h[(best[begin] & _PLACE).astype(np.int64)]
         doc = np.searchsorted(bounds, begin + at, side="right") - 1
         new = np.ones(len(begin), bool)  # runs of one hash in one text are a piece, cut at REACH strings
@@ -127,7 +137,8 @@ def cut(text: np.ndarray, bounds: np.ndarray, apart: np.ndarray) -> Iterator[tup
         key, doc, single, twice = key[of], doc[of], single[of], twice[of] & ~single[of]
         n, last = end - start, end - 1 + WIDTH - KEY
         content = _digest(h, start, last, n, 0)
-        key[single] = _digest(h, start[single], last[single], n[single], 0x5851F42D4C957F2D)
+        if single.any():
+            key[single] = _digest(h, start[single], last[single], n[single], 0x5851F42D4C957F2D)
         yield key.view(np.int64), content.view(np.int64), doc, start + at - bounds[doc], n, twice
 
 
@@ -154,6 +165,14 @@ def _stretches(batches: Iterator[pa.RecordBatch], apart: np.ndarray) -> Iterator
                 yield s, [np.concatenate(c) for c in zip(*parts)]
 
 
+def _in_groups(values: np.ndarray, least: int) -> np.ndarray:
+    """Where the values are that occur so often at least."""
+    by = np.argsort(values)
+    begin = np.flatnonzero(np.append(True, values[by][1:] != values[by][:-1]))[: len(values)]
+    counts = np.diff(np.append(begin, len(values)))
+    return by[np.repeat(counts >= least, counts)]
+
+
 def _order(b: pa.RecordBatch) -> np.ndarray:
     """The rank of each row's document in its batch: by id (null last), then by the hash of the text."""
     none = b.column(0).is_null().to_numpy(zero_copy_only=False)
@@ -169,9 +188,11 @@ def crowded_keys(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (key, content, *_) in _stretches(batches, np.empty(0, np.uint64)):
+            often = _in_groups(key, CROWD_IN_BATCH)
+            key, content = key[often], content[often]
             by = np.lexsort((content, key))
             key, content = key[by], content[by]
-            new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
+            new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))[: len(key)]
             keys, counts = np.unique(key[new], return_counts=True)
             many = counts >= CROWD_IN_BATCH
             yield pa.RecordBatch.from_arrays([pa.array(keys[many]), pa.array(counts[many])], ["key", "n"])
@@ -188,10 +209,11 @@ def pieces(docs: DataFrame, apart: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, (key, content, doc, start, n, twice) in _stretches(batches, sent.value):
             place = _order(b)[doc]
-            by = np.lexsort((start, place, content, key))
+            often = _in_groups(key ^ content, 2)
+            by = often[np.lexsort((start[often], place[often], content[often], key[often]))]
             k, c = key[by], content[by]
-            done = np.empty(len(by), bool)
-            done[by] = np.append(False, (k[1:] == k[:-1]) & (c[1:] == c[:-1]))
+            done = np.zeros(len(key), bool)
+            done[by[1:]] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
             dealt = np.where(done, (key.view(np.uint64) + np.arange(len(key), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64), key)
             for at in range(0, len(key), 1 << 16):
                 i = slice(at, at + (1 << 16))
@@ -333,15 +355,23 @@ def _repeats(t: pa.Table, folder: str) -> pa.RecordBatch:
     of, offset, first = (np.empty(0, np.int64) for _ in range(3))
     if len(t):
         symbols, starts = _flat(t.column("s").chunk(0))
-        lo, hi = _shared(symbols, starts, t.column("key").to_numpy(), t.column("twice").to_numpy())
-        t, ahead, lo, hi = t.filter(pa.array(hi > lo)).combine_chunks(), (lo - starts[:-1])[hi > lo], lo[hi > lo], hi[hi > lo]
-    if len(t):
-        of, k = _repeat(hi - lo)
-        symbols, starts = symbols[lo[of] + k], np.append(0, np.cumsum(hi - lo))
-        lengths = np.diff(starts)
-        found = collection_bwt.suffix_groups(*collection_bwt.build(symbols, starts, folder), lengths, WIDTH)
+        key = t.column("key").to_numpy()
+        lo, hi = _shared(symbols, starts, key, t.column("twice").to_numpy())
+        group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+        longest = np.zeros(group[-1] + 1, np.int64)
+        np.maximum.at(longest, group, hi - lo)
+        kind = np.where(hi > lo, (longest[group] - WIDTH) // LENGTHS, -1)
+        found, so_far = [], 0
+        for c in np.unique(kind[kind >= 0]):  # keys of about one length, since there are as many rounds as the longest piece has bytes
+            rows = np.flatnonzero(kind == c)
+            at, k = _repeat(hi[rows] - lo[rows])
+            part, own = symbols[lo[rows][at] + k], np.append(0, np.cumsum(hi[rows] - lo[rows]))
+            bwt, lcp = collection_bwt.build(part, own, folder)
+            for string, place, same in collection_bwt.suffix_groups(bwt, lcp, np.diff(own), WIDTH):
+                found.append((rows[string], place + (lo - starts[:-1])[rows[string]], same + so_far))
+            so_far += len(bwt) + 1
+    if len(t) and found:
         of, offset, same = (np.concatenate(c) for c in zip(*found))
-        offset = offset + ahead[of]
         none = t.column("doc_id").is_null().to_numpy()
         doc, th = t.column("doc_id").fill_null(0).to_numpy(), t.column("th").to_numpy()
         by = np.lexsort((th, doc, none))
