@@ -196,7 +196,7 @@ def test_stream_applies_each_file_once(spark, tmp_path):
     write([("c", "a", "t", "h1", "x", 1, 2), ("c", "b", "t", "h2", "x", 1, 2)])
     go()
     go()
-    got = {r["item_id"]: (r["unchanged_streak"], r["content_hash"], r["first_seen_run"]) for r in spark.read.parquet(f"{tmp_path}/state/v=1").collect()}
+    got = {r["item_id"]: (r["unchanged_streak"], r["content_hash"], r["first_seen_run"]) for r in incremental.inventory_of(spark, f"{tmp_path}/state").collect()}
     assert got == {"a": (1, "h1", 0), "b": (0, "h2", 0)}
 
 

@@ -387,3 +387,33 @@ a AS (SELECT *, {_cut_at("content", "1200")} AS c1 FROM d), b AS (SELECT *, strl
 g AS (SELECT *, s1 > 1440 AS over, strlen(c1) - (s1 - 1440) AS budget FROM b), h AS (SELECT *, CASE WHEN NOT over THEN c1 WHEN budget > 0 THEN {_cut_at("c1", "budget")} END AS c2 FROM g),
 z AS (SELECT *, strlen(to_json({{'item_id': item_id, 'owner': owner, 'content': c2}})::varchar) AS s2 FROM h), w AS (SELECT *, CASE WHEN c2 IS NULL THEN 'no room for content' WHEN s2 > 1500 THEN 'too large' END AS skipped FROM z)
 SELECT item_id, CASE WHEN skipped IS NULL THEN c2 END AS content, strlen(content) AS original_bytes, CASE WHEN skipped IS NULL THEN strlen(c2) END AS final_bytes, strlen(content) > 1200 OR over AS truncated, CASE WHEN c2 IS NOT NULL THEN s2 END AS item_bytes, skipped FROM w"""
+SQL["cascade_probes"] = f"""{_with(*_H)}{_ELM},
+pc AS (SELECT customer_id AS id, count(*) AS n, min(engagement_id) AS child FROM ee JOIN ce USING (customer_id) WHERE ce.em < {NOW} GROUP BY ALL ORDER BY n, id LIMIT 1),
+pe AS (SELECT engagement_id AS id, count(*) AS n, min(entry_id) AS child, arg_min(te.em, entry_id) < {NOW} AS past FROM te JOIN ee USING (engagement_id) WHERE ee.em < {NOW} GROUP BY ALL ORDER BY n, id LIMIT 1),
+pt AS (SELECT min(entry_id) AS id FROM te WHERE em < {NOW}),
+v AS (SELECT * FROM (VALUES ('sound', true, true, true), ('alone', true, false, false), ('one level', true, true, false), ('children only', false, true, true), ('backwards', false, false, false)) x(variant, own, child, below)),
+k AS (SELECT (SELECT n FROM pc) AS children, (SELECT count(*) FROM te JOIN ee USING (engagement_id) WHERE customer_id = (SELECT id FROM pc) AND te.em < {NOW}) AS grandchildren),
+r AS (SELECT variant, 'update of a customer reaches its engagement' AS "check", id, first AS child_id, own AS own_moved, v.child AS child_moved, NULL::BIGINT AS stale, own AND v.child AS fine FROM v, (SELECT id, child FROM pc) p(id, first)
+UNION ALL SELECT variant, 'update of a engagement reaches its entry', id, first, own, v.child AND past, NULL, own AND v.child AND past FROM v, (SELECT id, child, past FROM pe) p(id, first, past)
+UNION ALL SELECT variant, 'update of a entry', id, NULL, own, NULL, NULL, own FROM v, pt
+UNION ALL SELECT variant, 'no older child: engagement<customer', NULL, NULL, NULL, NULL, CASE WHEN own AND NOT child THEN children ELSE 0 END, NOT (own AND NOT child) FROM v, k
+UNION ALL SELECT variant, 'no older child: entry<engagement', NULL, NULL, NULL, NULL, CASE WHEN child AND NOT below THEN grandchildren ELSE 0 END, NOT (child AND NOT below) OR grandchildren = 0 FROM v, k
+UNION ALL SELECT variant, 'no older child: entry<customer', NULL, NULL, NULL, NULL, CASE WHEN own AND NOT below THEN grandchildren ELSE 0 END, NOT (own AND NOT below) OR grandchildren = 0 FROM v, k)
+SELECT * EXCLUDE (fine), CASE WHEN fine THEN 'ok' ELSE 'fail' END AS verdict FROM r"""
+_RESOLVED = f"""w AS (SELECT c_custkey AS k, 'conn' || c_nationkey AS connection_id, 'g' || c_custkey AS name FROM customer WHERE c_custkey % 23 <> 0),
+a AS (SELECT w.connection_id, name, CASE WHEN k % 7 = 0 THEN 'run' WHEN k % 10 = 0 THEN 'map' WHEN p.source_key IS NOT NULL THEN 'store' ELSE 'directory' END AS provenance,
+ CASE WHEN k % 7 = 0 THEN CASE WHEN k % 14 = 0 THEN 'run' || k END WHEN k % 10 = 0 THEN 'abcdef01-2345-6789-abcd-' || lpad(k::varchar, 12, '0') WHEN p.source_key IS NOT NULL THEN object_id WHEN k % 3 = 0 THEN 'dir' || k END AS object_id
+ FROM w LEFT JOIN (SELECT * FROM principal WHERE expires_utc > {NOW}) p ON p.connection_id = w.connection_id AND p.source_key = w.name)"""
+SQL["resolve_order"] = f"{_with('principal')}, {_RESOLVED} SELECT connection_id, name, object_id, provenance FROM a"
+SQL["resolve_order_store"] = f"""{_with('principal', 'connection')}, {_RESOLVED}, n AS (SELECT a.*, CASE WHEN object_id IS NULL THEN greatest(least(720, coalesce(negative_ttl_minutes, 60)), 1) ELSE 720 END AS minutes FROM a LEFT JOIN connection USING (connection_id) WHERE provenance = 'directory')
+SELECT connection_id, name AS source_key, object_id, {NOW} + INTERVAL 1 MINUTE * minutes AS expires_utc, 0 AS hit_count FROM n
+UNION ALL SELECT connection_id, source_key, object_id, expires_utc, hit_count FROM principal WHERE (connection_id, source_key) NOT IN (SELECT (connection_id, name) FROM n)"""
+SQL["bad_rows"] = """WITH r AS (SELECT doc_id AS i, n_chars, row_number() OVER () AS ordinal FROM documents), o AS (SELECT *, CASE WHEN i % 71 = 3 THEN 'skipped' WHEN i % 53 = 7 OR i % 61 = 9 THEN 'bad' ELSE 'mapped' END AS outcome FROM r)
+SELECT ordinal, outcome, CASE WHEN outcome = 'bad' THEN CASE WHEN i % 53 = 7 THEN 'bytes: not a bigint' ELSE 'modified: not a timestamp' END END AS error, CASE WHEN outcome = 'mapped' THEN 'doc' || i END AS item_id,
+ CASE WHEN outcome = 'mapped' THEN n_chars END AS bytes, CASE WHEN outcome = 'mapped' AND i % 4 <> 0 THEN TIMESTAMP '2001-02-03 04:05:06' END AS modified FROM o"""
+SQL["stream_inventory"] = """WITH r AS (SELECT doc_id AS i, source, CASE WHEN doc_id % 3 = 0 THEN 2 WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS last,
+ doc_id % 2 = 0 AND doc_id % 5 = 1 AS one, doc_id % 3 = 0 AND (doc_id % 5 = 2) AS two, doc_id % 2 = 0 AS at1, doc_id % 3 = 0 AS at2 FROM documents),
+b AS (SELECT *, one AS w1, at2 AND (two OR one) AS w2 FROM r)
+SELECT 'conn' || i % 3 AS connection_id, 'doc' || i AS item_id, sha256(CASE WHEN at2 THEN CASE WHEN two THEN source || '2' ELSE source END WHEN one THEN source || '1' ELSE source END) AS content_hash, 0::BIGINT AS first_seen_run, last::BIGINT AS last_seen_run,
+ CASE WHEN w2 THEN 2 WHEN w1 THEN 1 ELSE 0 END::BIGINT AS last_written_run, 1 AS state, CASE WHEN w2 THEN 0 ELSE (CASE WHEN at2 THEN 1 ELSE 0 END) + (CASE WHEN w1 THEN 0 WHEN at1 THEN 1 ELSE 0 END) END AS unchanged_streak FROM b"""
+SQL["health_by_severity"] = f"""{_with(*_RCI)}, {_HEALTH} SELECT connection_id, display_name, health, cast(row_number() OVER (ORDER BY {_RANK}, display_name) AS int) AS place FROM health"""

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions import hashing, text
-from tidemark.operators import changes, entitlement, flatten, inventory, reconcile, reporting, timing
+from tidemark.operators import changes, entitlement, flatten, inventory, principals, probes, reconcile, reporting, timing
 from tidemark.plans.fixtures import AS_OF, fixture
 from tidemark.shared import written
 from tidemark.sources import tables as scans
+from tidemark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -828,3 +831,101 @@ def fitted_items(spark, d):
     wide = F.repeat("source", F.when(n % 5 == 0, n % 400).otherwise(1).cast("int"))
     docs = _read(spark, d, "documents").select(F.concat(F.lit("doc"), n).alias("item_id"), wide.alias("owner"), F.col("text").alias("content"))
     return text.fitted(docs, "content", 1200, 1500, 60).drop("owner")
+
+
+def _touches():
+    """The update as it is, and ones with a planted fault."""
+    keep = lambda tables, *changed: tuple(n if n is not None else t for n, t in zip(changed, tables))
+
+    def alone(tables, level, ids):
+        return keep(tables, *(changes.cascade(tables[k], ids.withColumnRenamed("id", probes.KEYS[k]), probes.KEYS[k], AS_OF) if k == level else None for k in range(3)))
+
+    def one_level(tables, level, ids):
+        whole = probes.touched(tables, level, ids, AS_OF)
+        return keep(tables, *(whole[k] if k <= level + 1 else None for k in range(3)))
+
+    def children_only(tables, level, ids):
+        whole = probes.touched(tables, level, ids, AS_OF)
+        return keep(tables, *(whole[k] if k > level else None for k in range(3)))
+
+    def backwards(tables, level, ids):
+        hit = F.broadcast(ids.select(F.col("id").alias(probes.KEYS[level]), F.lit(True).alias("_hit")))
+        t = tables[level].join(hit, probes.KEYS[level], "left")
+        t = t.withColumn("effective_modified", F.when(F.col("_hit"), F.lit("1980-01-01").cast("timestamp")).otherwise(F.col("effective_modified"))).drop("_hit")
+        return keep(tables, *(t if k == level else None for k in range(3)))
+
+    return {"sound": lambda t, k, ids: probes.touched(t, k, ids, AS_OF), "alone": alone, "one level": one_level, "children only": children_only, "backwards": backwards}
+
+
+@query
+def cascade_probes(spark, d):
+    """All probes, of the update as it is and of updates that fail in four ways."""
+    tables = tuple(t.select(*keys, "effective_modified") for t, keys in zip(_effective(spark, d), (["customer_id"], ["engagement_id", "customer_id"], ["entry_id", "engagement_id"])))
+    out = None
+    for name, touch in _touches().items():
+        found = probes.cascade_probes(tables, touch, AS_OF).select(F.lit(name).alias("variant"), "check", "id", "child_id", "own_moved", "child_moved", "stale", "verdict")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _resolved(spark, d):
+    k = F.col("c_custkey")
+    c = _read(spark, d, "customer")
+    group = F.concat(F.lit("g"), k)
+    wanted = c.select(F.concat(F.lit("conn"), "c_nationkey").alias("connection_id"), F.when(k % 23 == 0, "  ").when(k % 2 == 0, F.upper(group)).otherwise(group).alias("name"))
+    wanted = wanted.unionByName(wanted.withColumn("name", F.lower("name")))
+    found = c.where(k % 7 == 0).select(F.concat(F.lit("conn"), "c_nationkey").alias("connection_id"), group.alias("name"), F.when(k % 14 == 0, F.concat(F.lit("run"), k)).alias("object_id"))
+    told = c.where(k % 5 == 0).select(F.upper(group).alias("name"), F.when(k % 10 == 0, F.concat(F.lit("{ABCDEF01-2345-6789-abcd-"), F.lpad(k.cast("string"), 12, "0"), F.lit("}"))).otherwise("nobody").alias("object_id"))
+    directory = c.where(k % 3 == 0).select(group.alias("name"), F.concat(F.lit("dir"), k).alias("object_id"))
+    return principals.resolve_in_order(wanted, found, told, fixture(spark, d, "principal"), directory, AS_OF)
+
+
+@query
+def resolve_order(spark, d):
+    return _resolved(spark, d)
+
+
+@query
+def resolve_order_store(spark, d):
+    """The store after the directory's answers were written back."""
+    new = principals.to_store(_resolved(spark, d))
+    kept = inventory.cache_principals(fixture(spark, d, "principal"), new, fixture(spark, d, "connection"), AS_OF)
+    return kept.select("connection_id", "source_key", "object_id", "expires_utc", "hit_count")
+
+
+@query
+def bad_rows(spark, d):
+    """Documents read with planted faults: numbers and times that are none, and rows without a key."""
+    i = F.col("doc_id")
+    docs = scans.numbered(spark, f"{d}/documents.parquet").withColumns({
+        "key": F.when(i % 71 == 3, F.when(i % 2 == 0, " ")).otherwise(F.concat(F.lit("doc"), i)),
+        "size": F.when(i % 53 == 7, "many").otherwise(F.col("n_chars").cast("string")),
+        "at": F.when(i % 61 == 9, "yesterday").when(i % 4 == 0, None).otherwise("2001-02-03 04:05:06"),
+    })
+    rows = scans.mapped(docs, {"item_id": ("key", "string"), "bytes": ("size", "bigint"), "modified": ("at", "timestamp")}, "item_id")
+    return rows.select("ordinal", "outcome", "error", "item_id", "bytes", "modified")
+
+
+@query
+def stream_inventory(spark, d):
+    """The inventory that a stream keeps of documents which arrive in three files; the third batch is run twice."""
+    from tidemark.shared import shared_folder
+
+    at = f"{shared_folder(spark)}/tidemark-tables/stream-{uuid.uuid4().hex}"
+    n = F.col("doc_id")
+    docs = _read(spark, d, "documents").select(F.concat(F.lit("conn"), n % 3).alias("connection_id"), F.concat(F.lit("doc"), n).alias("item_id"), F.col("lang").alias("item_type"), F.sha2("source", 256).alias("content_hash"), F.sha2("lang", 256).alias("acl_hash"), F.col("n_chars").alias("content_bytes"), "source", n)
+    arrivals = (F.lit(True), n % 2 == 0, n % 3 == 0)
+    for run, here in enumerate(arrivals):
+        changed = F.when((n % 5 == run) & F.lit(run > 0), F.sha2(F.concat("source", F.lit(str(run))), 256)).otherwise(F.col("content_hash"))
+        part = docs.where(here).withColumn("content_hash", changed).withColumn("run_id", F.lit(run).cast("long")).drop("doc_id", "source")
+        part.coalesce(1).write.mode("append").parquet(f"{at}/in")
+        incremental.follow(spark, f"{at}/in", part.schema, f"{at}/state", f"{at}/check", AS_OF, buckets=16).awaitTermination()
+    incremental.apply_batch(part, 2, f"{at}/state", AS_OF, buckets=16)
+    return incremental.inventory_of(spark, f"{at}/state").select("connection_id", "item_id", "content_hash", "first_seen_run", "last_seen_run", "last_written_run", "state", "unchanged_streak")
+
+
+@query
+def health_by_severity(spark, d):
+    """Connections in order of severity, with their place in it."""
+    d_ = reporting.by_severity(_health(spark, d)).select("connection_id", "display_name", "health")
+    return d_.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))

@@ -74,6 +74,37 @@ def error_budget(results: DataFrame, most_percent: int = 10, least: int = 50) ->
     return d.withColumn("exceeded", (F.col("examined") >= least) & (F.col("percent") > most_percent))
 
 
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table with file and ordinal: the name of a row's file and its number there, from 1. They are
+    where the row lies, so they hold for every read, and nothing is sorted for them."""
+    d = spark.read.parquet(path)
+    return d.select("*", F.col("_metadata.file_name").alias("file"), (F.col("_metadata.row_index") + 1).alias("ordinal"))
+
+
+def mapped(df: DataFrame, columns: dict[str, tuple[str, str]], key: str) -> DataFrame:
+    """Rows of numbered() under new names and types, in one pass with three outcomes: mapped, skipped (no key)
+    or bad. columns: new name to (column, type).
+
+    A value that can't be cast makes its row bad: error names the first such column and its type, never
+    what it held, and all values of the row are null. Whole rows stay, with file and ordinal, so that what is
+    made of the outcomes reads the source once.
+    """
+    cast = {new: F.expr(f"try_cast(`{old}` AS {kind})") for new, (old, kind) in columns.items()}
+    bad = F.coalesce(*(F.when(F.col(old).isNotNull() & cast[new].isNull(), F.lit(f"{new}: not a {kind}")) for new, (old, kind) in columns.items()))
+    blank = F.trim(F.coalesce(F.col(columns[key][0]).cast("string"), F.lit(""))) == ""
+    d = df.withColumn("_bad", F.when(~blank, bad)).withColumn("_outcome", F.when(blank, "skipped").when(F.col("_bad").isNotNull(), "bad").otherwise("mapped"))
+    whole = F.col("_outcome") == "mapped"
+    return d.select("file", "ordinal", F.col("_outcome").alias("outcome"), F.col("_bad").alias("error"), *(F.when(whole, v).alias(new) for new, v in cast.items()))
+
+
+def refuse_bad_rows(rows: DataFrame, most: int = 20) -> DataFrame:
+    """The mapped rows, unless some are bad: then refused, with the places and errors of the first few."""
+    first = rows.where("outcome = 'bad'").select("file", "ordinal", "error").orderBy("file", "ordinal").limit(most).collect()
+    if first:
+        raise SourceRefused("rows could not be mapped: " + "; ".join(f"{r['file']} row {r['ordinal']} ({r['error']})" for r in first))
+    return rows.where("outcome = 'mapped'").drop("file", "ordinal", "outcome", "error")
+
+
 def record_items(df: DataFrame, prefix: str, *, key: str = "record_id", title: str = "title", body: str = "body", time: str = "last_modified", classifications: str | None = None, properties: tuple[str, ...] = ()) -> DataFrame:
     """Items of records; a null or blank key is skipped, classifications are a comma list."""
     has = F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) != ""
