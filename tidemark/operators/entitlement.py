@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.shared import written
+from tidemark.sources.tables import SourceRefused
 
 ACCESS, MASKING, ROW_FILTER = 0, 1, 2
 MAX_BROADCAST_POLICIES = 50_000
@@ -45,6 +46,25 @@ def unreadable_policies(policies: DataFrame) -> DataFrame:
     return d.where("effect is not null").select("id", "name", "effect")
 
 
+def dangerous_tag_policies(policies: DataFrame) -> DataFrame:
+    """id and name of the enabled policies of a tag service that deny, mask or filter rows. Tags are not
+    evaluated here, so what such a policy takes away would be granted."""
+    takes = (F.coalesce(F.size("denyPolicyItems"), F.lit(0)) > 0) | F.coalesce("policyType", F.lit(ACCESS)).isin(MASKING, ROW_FILTER)
+    return policies.where(F.col("isEnabled") & takes).select("id", "name")
+
+
+def refuse_tag_policies(policies: DataFrame | None, named: int = 10) -> None:
+    """Refuses a run whose tag service (None: there is none) holds such policies, naming the first of them.
+    Their number and a few ids reach the driver."""
+    if policies is None:
+        return
+    found = dangerous_tag_policies(policies)
+    if n := found.count():
+        ids = ", ".join(str(r["id"]) for r in found.orderBy("id").limit(named).collect())
+        more = f" and {n - named} more" if n > named else ""
+        raise SourceRefused(f"{n} tag policies deny, mask or filter: {ids}{more}")
+
+
 def _quoted(value: Column) -> Column:
     return F.regexp_replace(value, r"([\\.\[\]{}()+^$|])", r"\\$1")
 

@@ -319,6 +319,22 @@ def clamp_absences(cache: DataFrame, connections: DataFrame, as_of) -> DataFrame
     return d.withColumn("expires_utc", F.when(F.col("object_id").isNull(), F.least("expires_utc", latest)).otherwise(F.col("expires_utc"))).drop("_negative")
 
 
+def record_throttles(events: DataFrame, run_id: int, new: DataFrame, as_of) -> DataFrame:
+    """events with those of a run appended: status_code, and where known retry_after_seconds, endpoint (item),
+    attempt_number (1) and occurred_utc (now). Nothing is compared, so a flush twice is recorded twice."""
+    given = {"retry_after_seconds": F.lit(None).cast("int"), "endpoint": F.lit("item"), "attempt_number": F.lit(1), "occurred_utc": instant(as_of)}
+    d = new.withColumns({c: F.coalesce(c, v) if c in new.columns else v for c, v in given.items()}).withColumn("run_id", F.lit(run_id))
+    return events.unionByName(d.select(*(F.col(c).cast(events.schema[c].dataType).alias(c) for c in events.columns if c in d.columns)), allowMissingColumns=True)
+
+
+def planned_modes(due: DataFrame, sources: DataFrame) -> DataFrame:
+    """connection_id and mode of each connection's next run. sources: connection_id, has_marker. A source
+    without a usable time of change is read whole by every run; one with it only when a full run is due."""
+    d = sources.join(due.select("connection_id", "full_due"), "connection_id", "left")
+    full = ~F.coalesce("has_marker", F.lit(False)) | F.coalesce("full_due", F.lit(True))
+    return d.select("connection_id", F.when(full, FULL).otherwise(INCREMENTAL).alias("mode"))
+
+
 def replace_run_rows(current: DataFrame, new: DataFrame) -> DataFrame:
     """The rows of a run (timings) in place of all that it had."""
     return current.join(new.select("run_id").distinct(), "run_id", "left_anti").unionByName(new)

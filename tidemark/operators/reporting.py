@@ -285,6 +285,42 @@ def item_mix(items: DataFrame) -> DataFrame:
     )
 
 
+def run_detail(run_id: int, history: DataFrame, types: DataFrame, phases: DataFrame, throttles: DataFrame) -> dict[str, DataFrame]:
+    """A run's four sets: its history row, its items by type (busiest first), its phases (longest first) and
+    what throttled it. types, phases and throttles are type_totals, timing.phase_shares and throttle_summary."""
+    own = lambda df: df.where(F.col("run_id") == run_id)
+    busy = F.col("items_written") + F.col("items_unchanged")
+    return {
+        "run": own(history),
+        "types": own(types).withColumn("unchanged_percent", percent(F.col("items_unchanged"), busy)).orderBy(busy.desc(), "item_type"),
+        "phases": own(phases).orderBy(F.desc("total_ms")),
+        "throttles": own(throttles),
+    }
+
+
+def connection_detail(connection_id: str, health: DataFrame, items: DataFrame, activity: DataFrame, checkpoints: DataFrame, as_of, days: int = 30) -> dict[str, DataFrame]:
+    """A connection's four sets: its health, the mix of what it holds (most first), its recent days, its marker."""
+    own = lambda df: df.where(F.col("connection_id") == connection_id)
+    return {
+        "health": own(health),
+        "mix": item_mix(own(items)).orderBy(F.desc("items")),
+        "activity": recent_activity(own(activity), as_of, days),
+        "checkpoint": own(checkpoints),
+    }
+
+
+def measures(sets: dict[str, DataFrame], names: dict[str, list[str]]) -> DataFrame:
+    """The numbers of several sets in one table: part, name, measure, value. names: the columns of each set
+    that together name its row."""
+    out = None
+    for part, df in sets.items():
+        numbers = [f.name for f in df.schema if f.dataType.typeName() in ("integer", "long", "decimal", "double") and f.name not in names[part]]
+        pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("measure"), F.col(n).cast("decimal(20,1)").alias("value")) for n in numbers))).alias("m")
+        d = df.select(F.lit(part).alias("part"), F.concat_ws(" ", *names[part]).alias("name"), pairs).select("part", "name", "m.*")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def health_counts(health: DataFrame) -> DataFrame:
     """Connections by word and severity rank."""
     rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, SEVERITY)), F.col("health")), F.lit(0)), F.lit(len(SEVERITY) + 1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.functions.text import SECRET_PATTERNS, TRUNCATION_MARK
+from tidemark.functions.text import TRUNCATION_MARK
 from tidemark.plans.fixtures import AS_OF, with_fixtures
 
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -79,8 +79,9 @@ SELECT 'engagement<customer' AS edge, count(*) FILTER (ee.em < ce.em) AS stale F
 UNION ALL SELECT 'entry<engagement', count(*) FILTER (te.last_modified < ee.em) FROM te JOIN ee ON ee.engagement_id = te.engagement_id
 UNION ALL SELECT 'entry<customer', count(*) FILTER (te.last_modified < ce.em) FROM te JOIN ee ON ee.engagement_id = te.engagement_id JOIN ce ON ce.customer_id = ee.customer_id)
 SELECT *, CASE WHEN stale = 0 THEN 'ok' ELSE 'stale' END AS verdict FROM s"""
-SQL["count_parity"] = f"""{_with(*_H)}{_LIVE}, n AS (SELECT (SELECT count(*) FROM c) + (SELECT count(*) FROM e JOIN c ON c.customer_id = e.customer_id)
- + (SELECT count(*) FROM t JOIN e ON e.engagement_id = t.engagement_id JOIN c ON c.customer_id = e.customer_id) AS k) SELECT k AS full_items, k AS incremental_items, 'ok' AS verdict FROM n"""
+SQL["count_parity"] = f"""{_with(*_H)}{_LIVE}, i AS (SELECT c.customer_id, true AS stays FROM c UNION ALL SELECT c.customer_id, c.customer_id % 5 <> 2 FROM e JOIN c ON c.customer_id = e.customer_id
+ UNION ALL SELECT c.customer_id, c.customer_id % 5 <> 2 FROM t JOIN e ON e.engagement_id = t.engagement_id JOIN c ON c.customer_id = e.customer_id)
+SELECT count(*) AS full_items, count(*) FILTER (stays) AS incremental_items, 'differs' AS verdict FROM i"""
 SQL["cascade"] = f"{_with(*_H)}{_ELM} SELECT engagement_id, CASE WHEN customer_id % 10 = 1 THEN greatest(em, TIMESTAMP '2000-09-01') ELSE em END AS effective_modified FROM ee"
 SQL["preflight"] = f"""{_with("engagements")} SELECT min(last_modified) AS first, max(last_modified) AS last, count(*) FILTER (last_modified > TIMESTAMP '2000-06-01') AS in_future,
  count(*) FILTER (last_modified > TIMESTAMP '2000-01-01' OR (last_modified = TIMESTAMP '2000-01-01' AND engagement_id > 100)) AS pending FROM engagements"""
@@ -263,14 +264,17 @@ SELECT doc_id, content, strlen(text) AS original_bytes, strlen(content) AS final
 SQL["strip_markup"] = r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS prose FROM pages"""
 
 
-def _scrubbed() -> str:
-    out = "text"
-    for pattern, instead in SECRET_PATTERNS:
-        out = f"regexp_replace({out}, '{pattern}', '{instead.replace('$1', chr(92) + '1')}', 'g')"
-    return out
-
-
-SQL["scrub_secrets"] = f"SELECT doc_id, sha256({_scrubbed()}) AS scrubbed_sha256, {' OR '.join(f'''regexp_matches(text, '{p}')''' for p, _ in SECRET_PATTERNS)} AS had_secret FROM documents"
+# Written by hand, not from the implementation: each pattern with what stands in its place.
+_SECRETS = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+ '(?i)-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----', '[private key [redacted]]', 'g'),
+ '(?i)eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]*', '[token [redacted]]', 'g'),
+ '(?i)\bBearer\s+[A-Za-z0-9._~+/\-]+=*', 'Bearer [token [redacted]]', 'g'),
+ '(?i)([A-Za-z][A-Za-z0-9 _.]{1,40}=[^;]{0,200};\s*){2,}', '[connection string [redacted]] ', 'g'),
+ '(?i)\b(password|pwd|user\s*id|uid|client[_\s]?secret|access[_\s]?token|api[_\s]?key|secret)\s*=\s*[^;,\s"]*', '\1=[redacted]', 'g')"""
+SQL["scrub_secrets"] = rf"""SELECT doc_id, sha256({_SECRETS}) AS scrubbed_sha256, regexp_matches(text, '(?i)-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*-----END [A-Z ]*PRIVATE KEY-----')
+ OR regexp_matches(text, '(?i)eyJ[A-Za-z0-9_\-]{{5,}}\.[A-Za-z0-9_\-]{{5,}}\.') OR regexp_matches(text, '(?i)\bBearer\s+[A-Za-z0-9._~+/\-]')
+ OR regexp_matches(text, '(?i)([A-Za-z][A-Za-z0-9 _.]{{1,40}}=[^;]{{0,200}};\s*){{2}}')
+ OR regexp_matches(text, '(?i)\b(password|pwd|user\s*id|uid|client[_\s]?secret|access[_\s]?token|api[_\s]?key|secret)\s*=') AS had_secret FROM documents"""
 _N = "(n_chars * 977)"
 SQL["formats"] = f"""SELECT doc_id, CASE WHEN {_N} < 1000 THEN cast({_N} AS varchar) WHEN {_N} < 1000000 THEN printf('%.1fk', round({_N} / 1e3, 1)) WHEN {_N} < 1000000000 THEN printf('%.1fM', round({_N} / 1e6, 1)) ELSE printf('%.1fB', round({_N} / 1e9, 1)) END AS count_word,
  CASE WHEN {_N} < 1024 THEN {_N} || ' B' WHEN {_N} < 1048576 THEN printf('%.1f KB', round({_N} / 1024.0::double, 1)) WHEN {_N} < 1073741824 THEN printf('%.1f MB', round({_N} / 1048576.0::double, 1)) ELSE printf('%.1f GB', round({_N} / 1073741824.0::double, 1)) END AS bytes_word,
@@ -417,3 +421,45 @@ b AS (SELECT *, one AS w1, at2 AND (two OR one) AS w2 FROM r)
 SELECT 'conn' || i % 3 AS connection_id, 'doc' || i AS item_id, sha256(CASE WHEN at2 THEN CASE WHEN two THEN source || '2' ELSE source END WHEN one THEN source || '1' ELSE source END) AS content_hash, 0::BIGINT AS first_seen_run, last::BIGINT AS last_seen_run,
  CASE WHEN w2 THEN 2 WHEN w1 THEN 1 ELSE 0 END::BIGINT AS last_written_run, 1 AS state, CASE WHEN w2 THEN 0 ELSE (CASE WHEN at2 THEN 1 ELSE 0 END) + (CASE WHEN w1 THEN 0 WHEN at1 THEN 1 ELSE 0 END) END AS unchanged_streak FROM b"""
 SQL["health_by_severity"] = f"""{_with(*_RCI)}, {_HEALTH} SELECT connection_id, display_name, health, cast(row_number() OVER (ORDER BY {_RANK}, display_name) AS int) AS place FROM health"""
+
+
+def _measures(part: str, rel: str, name: str, numbers: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{part}' AS part, {name} AS name, '{n}' AS measure, cast({n} AS decimal(20,1)) AS value FROM {rel}" for n in numbers.split())
+
+
+def _as(key: str) -> str:
+    """Another query's SQL as a table expression of its own."""
+    return f"({SQL[key]})"
+
+
+SQL["run_detail"] = f"""WITH h AS (SELECT * FROM {_as("run_history")} WHERE run_id = 3), t AS (SELECT *, cast(cast(100 AS decimal(4,1)) * items_unchanged / nullif(items_written + items_unchanged, 0) AS decimal(5,1)) AS unchanged_percent FROM {_as("type_totals")} WHERE run_id = 3),
+p AS (SELECT * FROM {_as("phase_shares")} WHERE run_id = 3), o AS (SELECT * FROM {_as("throttle_summary")} WHERE run_id = 3)
+{_measures("run", "h", "run_id::varchar", "duration_seconds items_written items_unchanged items_deleted unchanged_percent items_per_second")}
+UNION ALL {_measures("types", "t", "run_id || ' ' || item_type", "items_written items_unchanged items_deleted items_skipped items_failed items_duplicate bytes_written unchanged_percent")}
+UNION ALL {_measures("phases", "p", "run_id || ' ' || phase", "sample_count total_ms p50_ms p95_ms p99_ms max_ms share_percent")}
+UNION ALL {_measures("throttles", "o", "run_id || ' ' || connection_id", "throttle_events refusals_429 server_errors total_retry_after_seconds max_retry_after_seconds distinct_minutes deepest_retry")}"""
+SQL["connection_detail"] = f"""{_with(*_RCI, "checkpoint")}, {_HEALTH}, {_DAILY}, h AS (SELECT * FROM health WHERE connection_id = 'conn4'), a AS (SELECT * FROM daily WHERE connection_id = 'conn4' AND activity_date >= DATE '2001-08-03' - 400), k AS (SELECT * FROM checkpoint WHERE connection_id = 'conn4'),
+m AS (SELECT item_type, count(*) AS items, count(*) FILTER (state = 1) AS live, count(*) FILTER (state = 2) AS pending_delete, count(*) FILTER (state = 3) AS tombstoned, sum(content_bytes) AS content_bytes,
+ cast(sum(unchanged_streak) / count(*) AS decimal(14,5)) AS avg_unchanged_streak, max(unchanged_streak) AS max_unchanged_streak FROM item WHERE connection_id = 'conn4' GROUP BY item_type)
+{_measures("health", "h", "connection_id || ' ' || health", "expected_interval_minutes last_run_id minutes_since_last_success consecutive_failures last_success_items_written last_success_items_unchanged last_success_items_deleted live_item_count pending_delete_count")}
+UNION ALL {_measures("mix", "m", "item_type", "items live pending_delete tombstoned content_bytes avg_unchanged_streak max_unchanged_streak")}
+UNION ALL {_measures("activity", "a", "activity_date::varchar", "runs succeeded failed items_written items_unchanged items_deleted unchanged_percent avg_duration_seconds")}
+UNION ALL {_measures("checkpoint", "k", "connection_id || ' ' || marker_key", "run_id run_count")}"""
+SQL["dangerous_tag_policies"] = "SELECT n_nationkey::BIGINT AS id, n_name AS name FROM nation WHERE n_nationkey % 5 <> 3 AND (n_nationkey % 4 = 0 OR n_nationkey % 6 = 1 OR n_nationkey % 7 = 2)"
+SQL["record_throttles"] = f"""{_with("throttle_event")} SELECT * FROM throttle_event UNION ALL SELECT -event_id, 12, 429, NULL, 'item', CASE WHEN event_id % 3 = 0 THEN 7 ELSE 1 END, CASE WHEN event_id % 2 = 0 THEN ts ELSE {NOW} END FROM events WHERE event_type = 'error'"""
+SQL["planned_modes"] = f"""{_with("connection")}, f AS (SELECT * FROM {_as("full_due")} WHERE connection_id <> 'conn7')
+SELECT c.connection_id, CASE WHEN negative_ttl_minutes = 60 AND full_due IS NOT NULL AND NOT full_due THEN 2 ELSE 1 END AS mode FROM connection c LEFT JOIN f ON f.connection_id = c.connection_id"""
+_PAIR = lambda name, value: f"CASE WHEN {value} IS NULL THEN ''::BLOB ELSE {_frame(repr(name))} || {_frame(value)} END"
+SQL["content_hash_types"] = f"""WITH i AS (SELECT 'e' || event_id AS item_id, event_type, CASE WHEN event_id % 7 <> 0 THEN cast(cast(event_id % 100 AS double) / 8 AS varchar) END AS share, CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '0Z' END AS seen,
+ cast(event_id AS varchar) AS number, CASE event_id % 3 WHEN 0 THEN event_type || chr(31) || 'x' || event_id % 4 WHEN 1 THEN '' END AS tags, CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END AS content FROM events)
+SELECT item_id, sha256({_frame("item_id")} || {_frame("event_type")} || {_PAIR("number", "number")} || {_PAIR("seen", "seen")} || {_PAIR("share", "share")} || {_PAIR("tags", "tags")} || {_frame("content")}) AS content_hash FROM i"""
+SQL["name_parts"] = """SELECT doc_id, CASE WHEN i % 3 <> 0 THEN 't' || i ELSE '' END || CASE WHEN i % 6 = 1 THEN '.col' ELSE '' END || CASE WHEN i % 4 <> 0 AND i % 3 <> 0 THEN '@c' ELSE '' END AS object,
+ 'db' || i % 5 || CASE WHEN i % 3 = 0 AND i % 4 <> 0 THEN '@c' ELSE '' END AS database, CASE WHEN i % 4 <> 0 THEN cast(i % 2 AS varchar) ELSE '' END AS cluster,
+ CASE WHEN len(p) = 2 THEN p[1] ELSE 'default' END AS table_database, CASE WHEN len(p) = 2 THEN p[2] ELSE array_to_string(p, '.') END AS "table", CASE WHEN i % 2 = 0 THEN 'last' ELSE i::varchar END AS a, 'd=e' AS c, 2 AS pairs,
+ CASE WHEN i % 4 <> 0 THEN 'one|' || lang || '|two' END AS tags, f AS file_name, CASE i % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.txt' ELSE '.' || i END AS extension, '/data/' || source AS folder, 'https://x/' || i || '/view' AS link,
+ 'pdata' || source || 'Report' || i || CASE i % 3 WHEN 0 THEN 'PDF' WHEN 1 THEN 'txt' ELSE '' END AS key
+FROM (SELECT *, doc_id AS i, list_filter([CASE WHEN doc_id % 2 <> 1 THEN 'sales' END, CASE WHEN doc_id % 3 <> 1 THEN 'orders' END, CASE WHEN doc_id % 5 <> 1 THEN 'part' END], lambda x: x IS NOT NULL) AS p,
+ 'Report.' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.PDF' WHEN 1 THEN '.txt' ELSE '' END AS f FROM documents)"""
+SQL["gathered_files"] = """WITH l AS (SELECT '/in/' || source || '/' || CASE doc_id % 10 WHEN 3 THEN '.' WHEN 7 THEN '_' ELSE '' END || 'f' || doc_id || ['.txt', '.HTML', '.bin', '.docx', '.txt.tmp', ''][doc_id % 6 + 1] AS path,
+ TIMESTAMP '2001-01-01' + INTERVAL 1 MINUTE * (doc_id % 50) AS modified, doc_id AS i FROM documents)
+SELECT path, modified FROM l WHERE i % 11 <> 5 AND i % 10 NOT IN (3, 7) AND i % 6 IN (0, 1, 3) AND (modified, path) > (TIMESTAMP '2001-01-01 00:20:00', '/in/src2')"""

@@ -14,6 +14,7 @@ from tidemark.functions import hashing, text
 from tidemark.operators import changes, entitlement, flatten, inventory, principals, probes, reconcile, reporting, timing
 from tidemark.plans.fixtures import AS_OF, fixture
 from tidemark.shared import written
+from tidemark.sources import files
 from tidemark.sources import tables as scans
 from tidemark.streaming import incremental
 
@@ -135,9 +136,10 @@ def stale_edges(spark, d):
 
 @query
 def count_parity(spark, d):
+    """The whole hierarchy against an incremental view that has lost the engagements of every fifth customer."""
     h = _hierarchy(spark, d)
     c, e, t = changes.effective_modified(*h)
-    return changes.count_parity(flatten.all_items(*h), flatten.all_items(c, e, t))
+    return changes.count_parity(flatten.all_items(*h), flatten.all_items(c, e.where("customer_id % 5 <> 2"), t))
 
 
 @query
@@ -929,3 +931,76 @@ def health_by_severity(spark, d):
     """Connections in order of severity, with their place in it."""
     d_ = reporting.by_severity(_health(spark, d)).select("connection_id", "display_name", "health")
     return d_.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
+@query
+def run_detail(spark, d):
+    """The numbers of the four sets of one run."""
+    t, p, h = type_totals(spark, d), phase_shares(spark, d), throttle_summary(spark, d)
+    sets = reporting.run_detail(3, _history(spark, d), t, p, h)
+    return reporting.measures(sets, {"run": ["run_id"], "types": ["run_id", "item_type"], "phases": ["run_id", "phase"], "throttles": ["run_id", "connection_id"]})
+
+
+@query
+def connection_detail(spark, d):
+    """The numbers of the four sets of one connection."""
+    sets = reporting.connection_detail("conn4", _health(spark, d), fixture(spark, d, "item"), daily_activity(spark, d), fixture(spark, d, "checkpoint"), AS_OF, 400)
+    return reporting.measures(sets, {"health": ["connection_id", "health"], "mix": ["item_type"], "activity": ["activity_date"], "checkpoint": ["connection_id", "marker_key"]})
+
+
+@query
+def dangerous_tag_policies(spark, d):
+    n = F.col("n_nationkey")
+    body = _policy_text(
+        F.concat(F.lit('"id":'), n), F.concat(F.lit('"name":"'), F.col("n_name"), F.lit('"')), F.concat(F.lit('"policyType":'), F.when(n % 6 == 1, 1).when(n % 7 == 2, 2).otherwise(0)),
+        F.when(n % 4 == 0, F.lit('"denyPolicyItems":[{"groups":["g"]}]')), F.when(n % 5 == 3, F.lit('"isEnabled":false')),
+    )
+    return entitlement.dangerous_tag_policies(entitlement.parse_policies(_read(spark, d, "nation").select(body.alias("value"))))
+
+
+@query
+def record_throttles(spark, d):
+    e = _read(spark, d, "events").where("event_type = 'error'")
+    new = e.select((-F.col("event_id")).alias("throttle_event_id"), F.lit(429).alias("status_code"), F.when(F.col("event_id") % 2 == 0, F.col("ts")).alias("occurred_utc"), F.when(F.col("event_id") % 3 == 0, 7).alias("attempt_number"))
+    return inventory.record_throttles(fixture(spark, d, "throttle_event"), 12, new, AS_OF)
+
+
+@query
+def planned_modes(spark, d):
+    sources = fixture(spark, d, "connection").select("connection_id", (F.col("negative_ttl_minutes") == 60).alias("has_marker"))
+    due = full_due(spark, d).where("connection_id <> 'conn7'")
+    return inventory.planned_modes(due, sources)
+
+
+@query
+def content_hash_types(spark, d):
+    """Hashes over doubles, timestamps, whole numbers, lists and nulls."""
+    e, i = _read(spark, d, "events"), F.col("event_id")
+    items = e.select(
+        F.concat(F.lit("e"), i).alias("item_id"), F.col("event_type").alias("item_type"), F.when(i % 7 != 0, (i % 100) / 8.0).alias("share"), F.when(i % 5 != 0, F.col("ts").cast("timestamp")).alias("seen"), i.alias("number"),
+        F.when(i % 3 == 0, F.array(F.col("event_type"), F.concat(F.lit("x"), i % 4))).when(i % 3 == 1, F.array().cast("array<string>")).alias("tags"), F.when(i % 2 == 0, F.col("event_type")).alias("content"),
+    )
+    return items.select("item_id", hashing.content_hash(items, ["tags", "share", "seen", "number"]).alias("content_hash"))
+
+
+@query
+def name_parts(spark, d):
+    """Qualified names, table names, pairs, tags, paths and links taken apart and put together."""
+    i = F.col("doc_id")
+    q = F.concat(F.lit("db"), i % 5, F.when(i % 3 != 0, F.concat(F.lit(".t"), i)).otherwise(""), F.when(i % 6 == 1, ".col").otherwise(""), F.when(i % 4 != 0, F.concat(F.lit("@c@"), i % 2)).otherwise(""))
+    t = F.concat_ws(".", *(F.when(i % k != 1, F.lit(x)) for k, x in ((2, "sales"), (3, "orders"), (5, "part"))))
+    pairs = F.concat(F.lit(" a = "), i, F.lit(";b; =x;c=d=e;"), F.when(i % 2 == 0, " a=last ; ").otherwise(""))
+    path = F.concat(F.lit("/data/"), "source", F.lit("/Report."), i, F.when(i % 3 == 0, ".PDF").when(i % 3 == 1, ".txt").otherwise(""))
+    words = F.when(i % 4 == 0, " , ,").otherwise(F.concat(F.lit("one, "), "lang", F.lit(" ,,two")))
+    r = _read(spark, d, "documents").select("doc_id", text.qualified_name(q).alias("q"), text.table_name(t).alias("t"), text.key_values(pairs).alias("m"), F.array_join(text.tags(words), "|").alias("tags"), text.file_name(path).alias("file_name"), text.extension(path).alias("extension"), text.folder(path).alias("folder"), text.from_template("https://x/{0}/view", i).alias("link"), text.item_key("p", path).alias("key"))
+    return r.select("doc_id", "q.object", F.col("q.database").alias("database"), "q.cluster", F.col("t.database").alias("table_database"), "t.table", F.col("m")["a"].alias("a"), F.col("m")["c"].alias("c"), F.size("m").alias("pairs"), "tags", "file_name", "extension", "folder", "link", "key")
+
+
+@query
+def gathered_files(spark, d):
+    """The files of a listing that are indexed, after a marker."""
+    i = F.col("doc_id")
+    kind = F.element_at(F.array(*map(F.lit, (".txt", ".HTML", ".bin", ".docx", ".txt.tmp", ""))), (i % 6 + 1).cast("int"))
+    name = F.concat(F.when(i % 10 == 3, ".").when(i % 10 == 7, "_").otherwise(""), F.lit("f"), i, kind)
+    listing = _read(spark, d, "documents").select(F.concat(F.lit("/in/"), "source", F.lit("/"), name).alias("path"), (F.lit("2001-01-01").cast("timestamp") + F.make_dt_interval(mins=i % 50)).alias("modified"), (i % 11 == 5).alias("is_directory"))
+    return files.gathered(listing, marker_time="2001-01-01 00:20:00", marker_key="/in/src2").select("path", "modified")
