@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import bands, chat, common, language_id, mixing, packing, quality_model, quality_rules, simhash, substring_dedup, warc, winnowing
+from tidemark.llm import bands, chat, common, language_id, mixing, packing, quality_model, quality_rules, queries, simhash, substring_dedup, warc, winnowing
 
 R = random.Random(5)
 VOCABULARY = ["".join(R.choice("abcdefghij") for _ in range(R.randint(2, 8))) for _ in range(400)]
@@ -144,16 +144,46 @@ def test_winnowing_takes_the_rightmost_tie(spark, size):
 def test_winnowing_covers_every_window(spark):
     d = spark.createDataFrame([(1, "a b c d e a b c d e a b c d e")], "doc_id long, text string")
     got = winnowing.fingerprints(d).select(winnowing.places(F.col("prints")).alias("p")).first()["p"]
-    assert all(any(a <= p < a + winnowing.WINDOW for p in got) for a in range(11 - winnowing.WINDOW + 1))
+    n = 15 - winnowing.K + 1
+    assert all(any(a <= p < a + winnowing.WINDOW for p in got) for a in range(n - winnowing.WINDOW + 1))
     assert len(set(got)) == len(got)
 
 
-def test_winnowing_by_code_points(spark):
-    long_ = "".join(R.choice("的一是不了人我在有他这为之大来以个中上们") for _ in range(600))
-    d = spark.createDataFrame([(2, long_), (1, "a few short words only"), (0, "")], "doc_id long, text string")
-    got = {r["doc_id"]: r for r in winnowing.edited_pairs(d).collect()}
-    assert got[2]["near_edited"] > 0.4 and got[1]["near_edited"] > 0.4
-    assert got[0]["fingerprint"] == "" and got[0]["near_edited"] == 1
+UNIT_PATTERN = re.compile(winnowing.UNITS.replace(r"\x{20000}-\x{3FFFF}", "\U00020000-\U0003ffff"))
+
+
+def check_guarantee(texts, got):
+    """Every text of which K + WINDOW - 1 whole units are left in the edited text shares a hash with it."""
+    short = winnowing.K + winnowing.WINDOW - 1
+    bound = 0
+    for i, text in texts.items():
+        left = text[: len(text) - len(text) // 3]
+        whole = [m for m in UNIT_PATTERN.finditer(text) if m.end() <= len(left)]
+        if len(whole) > short:  # the last one left may have grown into the text that follows
+            assert got[i] > 0, text
+            bound += 1
+    return bound
+
+
+def test_winnowing_guarantee(spark):
+    """Scripts with and without spaces, mixed; 1 to 30 words; a word of 400 letters."""
+    r = random.Random(8)
+    han = lambda n: "".join(r.choice("的一是不了人我在有他这为之大来以个中上们𠀀") for _ in range(n))
+    texts = [han(600), han(300), prose(300, r), han(40) + " " + prose(20, r) + han(9), "x" * 400, "สวัสดีชาวโลกทั้งหลายในวันนี้" * 3, *(prose(n, r) for n in range(1, 31)), *(han(n) for n in range(1, 31))]
+    r.shuffle(texts)
+    texts = dict(enumerate(texts))
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in winnowing.edited_pairs(d).collect()}
+    assert check_guarantee(texts, {i: x["near_edited"] for i, x in got.items()}) > 45
+    assert winnowing.fingerprints(spark.createDataFrame([("",), (None,), (" \n",)], "text string")).where(F.size("prints") > 0).count() == 0
+
+
+def test_winnowing_guarantee_on_documents(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {x["doc_id"]: x["text"] or "" for x in d.collect()}
+    got = {x["doc_id"]: x for x in queries.QUERIES["op2_winnowing"](spark, "/root/testdata/sf0.001").collect()}
+    assert check_guarantee(texts, {i: x["near_edited"] for i, x in got.items()}) > 150
+    assert np.median([x["near_edited"] for x in got.values()]) > 0.4 and np.median([x["near_next"] for x in got.values()]) < 0.05
 
 
 @pytest.mark.parametrize("hot", [None, 7])

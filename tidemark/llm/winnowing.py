@@ -1,9 +1,11 @@
 """Winnowing fingerprints, with DataFrame functions only.
 
-Units of a text are its words or, where words tell too little (short texts, scripts without spaces), its
-code points. Hashes of K successive units; of every WINDOW successive hashes the smallest is chosen, of
-equal ones the rightmost, and its place is kept. A run of K + WINDOW - 1 units that two texts share
-therefore leaves a common hash in both fingerprints: the match guarantee.
+Units of a text are its words, of which long ones are cut every ``UNIT`` code points, and single code points
+of scripts that are written without spaces. What is a unit depends on the code points of its own word alone,
+so an edit elsewhere in a text changes no unit. Hashes of K successive units; of every WINDOW successive
+hashes the smallest is chosen, of equal ones the rightmost, and its place is kept. A run of
+K + WINDOW - 1 units that two texts share therefore leaves a common hash in both fingerprints: the match
+guarantee, for texts of any length and script.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import text_of, word_array
+from tidemark.llm.common import text_of
 
-K = 5
-WINDOW = 4
-#: A text of fewer words, or of more code points a word, is taken by its code points.
-FEW_WORDS = K + WINDOW - 1
-LONG_WORDS = 32
+K = 3
+WINDOW = 3
+UNIT = 16
+#: Blocks of scripts without spaces: Thai to Myanmar, Khmer, Chinese, Japanese, Yi.
+NO_SPACES = r"\u0E00-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+UNITS = rf"[{NO_SPACES}]|[^\x20\x09-\x0D{NO_SPACES}]{{1,{UNIT}}}"
 #: Rows that one slice of the order is meant to hold.
 SLICE_ROWS = 2000
 #: Slices of different ids at most; from then on they hold more rows each, which are sorted on disk.
@@ -29,10 +32,9 @@ _PRINTS = "array<struct<hash:bigint,place:int>>"
 _PARTS = 1 << 20
 
 
-def units(text: Column, words: Column) -> Column:
-    """The words of a text, or its code points; a rule on the text alone, so equal texts have equal units."""
-    n = F.size(words)
-    return F.when((n >= FEW_WORDS) & (F.length(text) <= LONG_WORDS * n), words).otherwise(F.array_remove(F.split(text, ""), ""))
+def units(text: Column) -> Column:
+    """The units of a non-null text, in order."""
+    return F.regexp_extract_all(text, F.lit(UNITS), F.lit(0))
 
 
 def gram_hashes(units: Column, k: int = K) -> Column:
@@ -84,9 +86,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with prints, the hashes chosen from the text (null: empty). Each unit is hashed once."""
-    d = docs.withColumn("_words", word_array(text_of(text))).withColumn("_units", units(text_of(text), F.col("_words")))
-    d = d.withColumn("_hashed", F.transform("_units", lambda u: F.xxhash64(u))).withColumn("_grams", gram_hashes(F.col("_hashed")))
-    return d.withColumn("prints", winnow(F.col("_grams"))).drop("_words", "_units", "_hashed", "_grams")
+    d = docs.withColumn("_hashed", F.transform(units(text_of(text)), lambda u: F.xxhash64(u))).withColumn("_grams", gram_hashes(F.col("_hashed")))
+    return d.withColumn("prints", winnow(F.col("_grams"))).drop("_hashed", "_grams")
 
 
 def slice_tops(ids: DataFrame) -> Counter:
