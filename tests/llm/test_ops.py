@@ -615,12 +615,50 @@ def test_language_on_held_out(spark, odd):
     assert got[0] == "und" and got[1] != "und"
 
 
+def dense_ridge(rows, test):
+    """The same regression with all presence vectors in one matrix, and its scores of the test texts."""
+    norm = lambda x: x / np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True)))
+    langs = sorted({r["lang"] for r in rows})
+    rows = sorted(rows, key=lambda r: (r["unit"], bytes(r["bits"])))
+    x = norm(np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in rows], float))
+    per = max(1, language_id.LANDMARKS // len(langs))
+    z = x[[i for lang in langs for i in [k for k, r in enumerate(rows) if r["lang"] == lang][:per]]]
+    value, vector = np.linalg.eigh(z @ z.T)
+    good = value > 1e-6 * value.max()
+    phi = x @ z.T @ (vector[:, good] / np.sqrt(value[good]))
+    size = {lang: sum(r["n"] for r in rows if r["lang"] == lang) for lang in langs}
+    weight = np.array([r["n"] / size[r["lang"]] for r in rows])[:, None]
+    y = np.array([[1.0 if r["lang"] == lang else -1.0 for lang in langs] for r in rows])
+    w = np.linalg.solve(phi.T @ (weight * phi) + language_id.RIDGE * np.eye(phi.shape[1]) / len(langs), phi.T @ (weight * y))
+    t = norm(np.array([language_id.presence(x) for x in test], float))
+    return langs, t @ z.T @ (vector[:, good] / np.sqrt(value[good])) @ w
+
+
+def test_language_fit_is_the_dense_regression(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    d = d.unionByName(d.limit(9)).withColumn("doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("doc_id")))  # repeated rows, missing ids
+    rows = language_id.sample(d, 60).collect()
+    texts = [r["text"] for r in d.where("text is not null").limit(80).collect()]
+    langs, scores = dense_ridge(rows, texts)
+    model = language_id.fit(d, 60)
+    got, _ = model.predict(texts)
+    assert model.langs == langs and got == [langs[k] for k in scores.argmax(axis=1)]
+    assert 100 < sum(r["n"] for r in rows) and any(r["n"] > 1 for r in rows)
+
+
 def test_very_many_languages(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE_ROWS", 600)
     r = random.Random(10)
     docs = [(i, " ".join(chr(0x4E00 + 10 * (i % 300) + r.randrange(10)) for _ in range(30)), f"l{i % 300}", "s", 0) for i in range(900)]
-    model = language_id.fit(spark.createDataFrame(docs, SCHEMA))
-    assert len(model.langs) > 200
+    d = spark.createDataFrame(docs, SCHEMA)
+    folded = language_id.fit(d)
+    monkeypatch.setattr(language_id, "MOST_LANDMARKS", 200)  # fewer than languages: the model keeps landmarks
+    model = language_id.fit(d)
+    assert len(folded.langs) > 200 and folded.second is None and model.second.shape[0] == 200
+    texts = [x[1] for x in docs[:60]]
+    for m in (folded, model):
+        known = [(t, x[2]) for t, x in zip(texts, docs) if x[2] in m.langs]
+        assert np.mean([a == b for a, (_, b) in zip(m.predict([t for t, _ in known])[0], known)]) > 0.6
 
 
 def test_presence_kernel_equals_sets():
