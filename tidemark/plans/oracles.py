@@ -463,3 +463,6 @@ FROM (SELECT *, doc_id AS i, list_filter([CASE WHEN doc_id % 2 <> 1 THEN 'sales'
 SQL["gathered_files"] = """WITH l AS (SELECT '/in/' || source || '/' || CASE doc_id % 10 WHEN 3 THEN '.' WHEN 7 THEN '_' ELSE '' END || 'f' || doc_id || ['.txt', '.HTML', '.bin', '.docx', '.txt.tmp', ''][doc_id % 6 + 1] AS path,
  TIMESTAMP '2001-01-01' + INTERVAL 1 MINUTE * (doc_id % 50) AS modified, doc_id AS i FROM documents)
 SELECT path, modified FROM l WHERE i % 11 <> 5 AND i % 10 NOT IN (3, 7) AND i % 6 IN (0, 1, 3) AND (modified, path) > (TIMESTAMP '2001-01-01 00:20:00', '/in/src2')"""
+SQL["unchanged_crawl"] = f"""{_with(*_H)}{_LIVE}, i AS (SELECT 'Customer' AS item_type, 'unchanged' AS action FROM c UNION ALL SELECT 'Engagement', 'unchanged' FROM e JOIN c ON c.customer_id = e.customer_id
+ UNION ALL SELECT DISTINCT ON (entry_id) 'TimeEntry', CASE WHEN entry_id % 7 = 0 THEN 'write' ELSE 'unchanged' END FROM t JOIN e ON e.engagement_id = t.engagement_id JOIN c ON c.customer_id = e.customer_id)
+SELECT item_type, action, count(*) AS items FROM i GROUP BY ALL"""
