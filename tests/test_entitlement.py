@@ -159,27 +159,3 @@ def test_files_and_catalogue(spark, tmp_path):
     e = catalogue.parse_entities(spark.createDataFrame([(json.dumps(r),) for r in [*raw, raw[0]]], "value string"))
     (r,) = catalogue.described(e).collect()
     assert r["item_id"] == "ag1" and r["content"] == "table db.t\nOwner: o\nColumns: x, y\nTags: pii"
-
-
-def test_paged_source(spark):
-    import threading
-    from http.server import BaseHTTPRequestHandler, HTTPServer
-    from urllib.parse import parse_qs, urlparse
-
-    class Pages(BaseHTTPRequestHandler):
-        def do_GET(self):
-            q = {k: int(v[0]) for k, v in parse_qs(urlparse(self.path).query).items()}
-            rows = [{"guid": f"g{i}"} for i in range(25)][q["offset"] : q["offset"] + q["limit"]]
-            self.send_response(200)
-            self.end_headers()
-            self.wfile.write(json.dumps({"entities": rows}).encode())
-
-        def log_message(self, *args):
-            pass
-
-    server = HTTPServer(("127.0.0.1", 0), Pages)
-    threading.Thread(target=server.serve_forever, daemon=True).start()
-    spark.dataSource.register(catalogue.PagedJson)
-    d = spark.read.format("paged_json").option("url", f"http://127.0.0.1:{server.server_port}").option("pageSize", 10).option("partitions", 2).load()
-    assert d.select(F.get_json_object("value", "$.guid")).distinct().count() == 25
-    server.shutdown()

@@ -1,12 +1,12 @@
-"""Keyset resume, the inventory's state machine, sinks and the stream."""
+"""Keyset resume, the inventory's state machine and the stream."""
 
 import random
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes, inventory, reporting, sink
+from tidemark.operators import changes, inventory, reporting
 from tidemark.sources import tables
 from tidemark.streaming import incremental
 
@@ -155,38 +155,6 @@ def test_source_rules(spark):
     assert (b["examined"], b["failures"], b["percent"], b["exceeded"]) == (60, 9, 15, True)
 
 
-def test_batches_stay_within_limits():
-    rows = [{"item_id": str(i), "payload_bytes": n} for i, n in enumerate([1] * 25 + [5 << 20] + [3 << 20, 2 << 20])]
-    got = [[r["item_id"] for r in b] for b in sink.batches(iter(rows))]
-    assert [len(b) for b in got] == [20, 5, 1, 1, 1] and sum(got, []) == [r["item_id"] for r in rows]
-
-
-def test_only_the_retryable_is_sent_again():
-    calls, waits = [], []
-
-    def send(rows):
-        calls.append([r["item_id"] for r in rows])
-        if len(calls) == 1:
-            return {"a": (200, None), "b": (429, "7"), "c": (400, None)}
-        return {r["item_id"]: (200, None) for r in rows}
-
-    out = sink.send_batch([{"item_id": x} for x in "abcd"], send, sleep=waits.append)
-    assert calls == [["a", "b", "c", "d"], ["b", "d"]] and waits == [7.0]
-    assert sorted(out) == [("a", 200, 1, True), ("b", 200, 2, True), ("c", 400, 1, False), ("d", 200, 2, True)]
-    gone = sink.send_batch([{"item_id": "x"}], lambda rows: {"x": (404, None)}, delete=True)
-    assert gone == [("x", 404, 1, True)]
-    dead = sink.send_batch([{"item_id": "x"}], lambda rows: {"x": (503, None)}, sleep=waits.append)
-    assert dead == [("x", 503, 5, False)] and waits[1:] == [4.0, 8.0, 16.0, 32.0]
-    at = datetime(2020, 1, 1, tzinfo=timezone.utc)
-    assert sink.retry_after("Wed, 01 Jan 2020 00:00:20 GMT", at) == 20 and sink.retry_after("9999") == 300 and sink.retry_after("soon") is None
-
-
-def test_sink_sends_every_item(spark):
-    d = spark.range(95).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit("{}").alias("payload"), F.lit(2).alias("payload_bytes")).repartition(7)
-    got = sink.write_items(d, lambda: lambda rows: {r["item_id"]: (200, None) for r in rows}, writers=2).collect()
-    assert len({r["item_id"] for r in got}) == 95 and all(r["ok"] for r in got)
-
-
 def test_stream_applies_each_file_once(spark, tmp_path):
     schema = "connection_id string, item_id string, item_type string, content_hash string, acl_hash string, content_bytes long, run_id long"
     write = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")

@@ -1,21 +1,14 @@
-"""Catalogue entities and their lineage from JSON pages, and a paged REST source for them."""
+"""Catalogue entities from JSON pages."""
 
 from __future__ import annotations
 
-import json
-import urllib.parse
-import urllib.request
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.functions.hashing import guid_id
 from tidemark.functions.text import joined, qualified_name
 
 ENTITY = "guid string, typeName string, status string, attributes struct<name: string, qualifiedName: string, owner: string, description: string, comment: string, updateTime: long, columns: array<string>>, classificationNames array<string>, meanings array<struct<displayText: string>>"
-MAX_ENTITIES = 1_000_000
 
 
 def parse_entities(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -39,40 +32,3 @@ def described(entities: DataFrame) -> DataFrame:
         line("Comment", F.col("comment")), line("Columns", F.array_join("columns", ", ")), line("Terms", F.array_join("terms", ", ")), line("Tags", F.array_join("classifications", ", ")),
     )
     return entities.select(guid_id(F.col("guid")).alias("item_id"), F.col("type_name").alias("item_type"), F.col("name").alias("title"), content.alias("content"), F.col("updated_utc").alias("last_modified"), "classifications")
-
-
-class PagedJsonReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.url, self.size, self.parts = options["url"], int(options.get("pageSize", 1000)), int(options.get("partitions", 1))
-        self.field, self.key = options.get("field", "entities"), options.get("key", "guid")
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(self.parts)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        """Pages partition.value, + partitions, ...: a short, empty or repeated page ends it."""
-        seen: set[str] = set()
-        for page in range(partition.value, MAX_ENTITIES // self.size + 1, self.parts):
-            query = urllib.parse.urlencode({"limit": self.size, "offset": page * self.size})
-            with urllib.request.urlopen(f"{self.url}?{query}", timeout=60) as answer:  # noqa: S310
-                rows = json.load(answer).get(self.field) or []
-            new = [r for r in rows if r.get(self.key) not in seen]
-            seen.update(r.get(self.key) for r in new)
-            yield from ((json.dumps(r),) for r in new)
-            if len(rows) < self.size or not new:
-                return
-
-
-class PagedJson(DataSource):
-    """format("paged_json") with options url, pageSize, partitions, field and key: a column value of
-    JSON text. Repeated rows of different partitions are dropped by the parser's distinct ids."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_json"
-
-    def schema(self) -> str:
-        return "value string"
-
-    def reader(self, schema) -> PagedJsonReader:
-        return PagedJsonReader(self.options)
