@@ -267,16 +267,16 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
 
 
-def with_bytes(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pieces with their bytes (column s), cut from the texts. Pieces follow their text in one array, so
-    a long text is not copied for each; texts without any take no part in the shuffle while the others are
-    few enough to be broadcast by id."""
+def with_bytes(members: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pieces with their bytes (column s), cut from the texts, and a written table that they read. Pieces
+    follow their text in one array, so a long text is not copied for each; texts without any take no part in
+    the shuffle while the others are few enough to be broadcast by id."""
     own = table(members.groupBy(*DOC).agg(F.collect_list(F.struct("key", "start", "n", "twice")).alias("own")), "suffix-own")
     here = docs.alias("d").join(checked(own.select(*DOC)).alias("k"), _same("d", "k"), "left_semi")
     d = here.alias("d").join(own.alias("o"), _same("d", "o")).select("d.doc_id", "d.th", "d.bytes", "o.own")
     bytes_ = lambda o: F.substring(F.col("bytes"), (o["start"] + 1).cast("int"), o["n"] + (WIDTH - 1))
     d = d.select(*DOC, F.explode(F.transform("own", lambda o: F.struct(o["key"].alias("key"), o["start"].alias("start"), o["n"].alias("n"), o["twice"].alias("twice"), bytes_(o).alias("s")))).alias("p"))
-    return d.select(*DOC, "p.*")
+    return d.select(*DOC, "p.*"), own
 
 
 def compare(members: DataFrame) -> DataFrame:
@@ -403,10 +403,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     removed bytes in order. No two rows of docs may be alike."""
     found = table(settle(pieces(docs, crowded_keys(docs))), "suffix-settled")
     rest = found.where("not gone")
-    gone = [found.where("gone").select(*DOC, "start", "n"), table(compare(with_bytes(rest.where("not crowded"), docs)), "suffix-compared")]
+    few, own = with_bytes(rest.where("not crowded"), docs)
+    compared = table(compare(few), "suffix-compared")
+    gone, made = [found.where("gone").select(*DOC, "start", "n"), compared], [found, own, compared]
     crowd = rest.where("crowded")
     if not crowd.isEmpty():
-        gone.append(settle(strings_of(with_bytes(crowd, docs))).where("gone").select(*DOC, "start", "n"))
+        many, own = with_bytes(crowd, docs)
+        gone.append(settle(strings_of(many)).where("gone").select(*DOC, "start", "n"))
+        made.append(own)
     every = gone[0]
     for g in gone[1:]:
         every = every.unionByName(g)
@@ -430,7 +434,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(offsets, spans)], [*DOC, "spans"])
 
     out = table(own.mapInArrow(run, f"doc_id long, th long, {SPANS}"), "suffix-spans")
-    drop(found, *gone[1:2])
+    drop(*made)
     return out
 
 
