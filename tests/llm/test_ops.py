@@ -418,6 +418,19 @@ def test_substring_dedup_repeated_rows_and_very_long_texts(spark):
     assert 58 <= len(left[3][0][0].split()) <= 60 and len(left[4][0][0].split()) < 60
 
 
+def test_substring_dedup_without_ids(spark):
+    """Rows without an id lose what earlier documents hold, and of what only they hold one copy stays."""
+    r = random.Random(21)
+    shared, tail, own = prose(90, r), prose(40, r), prose(70, r)
+    rows = [(None, shared), (None, shared), (1, f"{shared} {tail}"), (2, shared), (None, own), (None, f"{tail[:50]} {own}"), (None, None)]
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA).repartition(3)
+    got = sorted((x["doc_id"] or 0, x["text"] or "") for x in substring_dedup.dedup(d).collect())
+    texts = [t for _, t in got]
+    assert (1, f"{shared} {tail}") in got and sum(shared in t for t in texts) == 1 and sum(own in t for t in texts) == 1 and not any(i == 2 for i, _ in got)
+    spans = substring_dedup.clusters(substring_dedup.removals(d)).collect()
+    assert {x["cluster_id"] for x in spans if x["kept_doc_id"] == 1} == {1} and {x["doc_id"] for x in spans} == {None, 2}
+
+
 # --- 4 simhash -----------------------------------------------------------------------------------
 
 

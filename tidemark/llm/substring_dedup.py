@@ -43,6 +43,8 @@ BANDS, BAND_ROWS = 12, 3
 GRAM, WINDOW = 25, 26
 _PLACES = np.uint64((1 << 24) - 1)
 _ID = "doc_id long, th long"
+#: Stands for a missing id, after all others; such documents are told apart by their texts.
+NO_ID = (1 << 63) - 1
 
 
 def anchors(g: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -109,7 +111,7 @@ def _digest(words: list[bytes]) -> bytes:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    d = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    d = docs.where("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     return d.select("doc_id", F.xxhash64("text").alias("th"), "text")
 
 
@@ -269,8 +271,9 @@ def _wordings(found: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """Spans to remove: doc_id, th, start, stop (word places), kind (passage or paragraph), kept_doc_id.
 
-    Texts that are null, or documents without an id, are left alone. Rows that repeat a doc_id and its
-    text are one document. kept_doc_id is a document in which an earlier copy begins. Empty, blank and
+    Null texts are left alone. Documents without an id (null) come last, in the order of their texts'
+    hashes. Rows that repeat a doc_id, or its absence, and its text are one document, which keeps what it is
+    the first to hold. kept_doc_id is a document in which an earlier copy begins. Empty, blank and
     short texts have no spans, very long ones are worked on whole; an empty table gives none. Columns
     but doc_id and text are not read.
     """
@@ -302,16 +305,19 @@ def removals(docs: DataFrame) -> DataFrame:
     p = found.select("doc_id", "th", F.explode("paragraphs").alias("p")).select("doc_id", "th", "p.start", "p.stop", "p.h1", "p.h2")
     lines = p.join(checked(keepers), ["h1", "h2"]).where(F.struct("doc_id", "th", "start") != F.col("f"))
     lines = lines.select("doc_id", "th", "start", "stop", F.lit("paragraph").alias("kind"), F.col("f.doc_id").alias("kept_doc_id"))
-    out = table(passages.unionByName(lines).distinct(), "removals")
+    out = passages.unionByName(lines).distinct()
+    out = table(out.withColumns({c: F.nullif(c, F.lit(NO_ID)) for c in ("doc_id", "kept_doc_id")}), "removals")
     drop(found, runs, wordings, met, nodes, wanted, seen, comp, named, keepers)
     return out
 
 
 def clusters(found: DataFrame) -> DataFrame:
-    """The rows of removals with cluster_id, the smallest doc_id of the documents that they connect."""
-    edges = found.select(F.col("doc_id").alias("a"), F.col("kept_doc_id").alias("b")).distinct()
-    comp = components(edges, "removal-clusters")
-    return found.join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left").withColumn("cluster_id", F.coalesce("c", "doc_id")).drop("c")
+    """The rows of removals with cluster_id, the smallest doc_id of the documents that they connect. A document
+    without an id is of its keeper's cluster, and of none if that has no id either."""
+    edges = found.select(F.col("doc_id").alias("a"), F.col("kept_doc_id").alias("b")).where("a is not null and b is not null").distinct()
+    comp = components(edges, "removal-clusters").select("node", F.col("component").alias("c"))
+    d = found.withColumn("node", F.coalesce("doc_id", "kept_doc_id"))
+    return d.join(comp, "node", "left").withColumn("cluster_id", F.coalesce("c", "node")).drop("c", "node")
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -344,7 +350,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     found = F.broadcast(found) if few else found  # the number of spans is checked, so that texts need no shuffle
     types, names = dict(docs.dtypes), docs.columns
     d = docs.select(F.struct(*names).alias("r"), F.col("doc_id").cast("long").alias("i"), F.xxhash64(F.col("text").cast("string")).alias("h"))
-    d = d.join(found, F.expr("i = doc_id and h = th"), "left").select("r.*", F.col("spans").alias("__spans"))
+    d = d.join(found, F.expr("i <=> doc_id and h = th"), "left").select("r.*", F.col("spans").alias("__spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
