@@ -146,17 +146,57 @@ def _groups(items: Column) -> Column:
 
 
 def _prepared(policies: DataFrame) -> DataFrame:
-    """Enabled policies with the columns that routing needs."""
+    """Enabled policies with the columns that routing needs; named: the columns that a grant is limited to."""
     grants = F.filter(_items("policyItems"), _reads)
     access = F.coalesce("policyType", F.lit(ACCESS)) == ACCESS
     none = F.array().cast("array<string>")
+    v, reads, kind = F.array_distinct(F.transform(_values("column"), lambda x: F.lower(x))), F.size(grants) > 0, F.coalesce("policyType", F.lit(ACCESS))
     return policies.where(F.col("isEnabled")).select(
-        "id", "resources", F.coalesce("policyType", F.lit(ACCESS)).alias("kind"), (F.size(_items("denyPolicyItems")) > 0).alias("denies"), (F.size(grants) > 0).alias("grants_read"),
+        (kind == ROW_FILTER).alias("filtered"), (kind == MASKING).alias("masked"), (F.size(_items("denyPolicyItems")) > 0).alias("denies"), (column_scoped() & reads).alias("scoped"),
         F.when(access, _groups(grants)).otherwise(none).alias("granted"), F.when(access, _groups(_items("allowExceptions"))).otherwise(none).alias("excepted"),
-        (access & F.coalesce("isDenyAllElse", F.lit(False))).alias("deny_all_else"), column_scoped().alias("column_scoped"), *_patterns(),
+        (access & F.coalesce("isDenyAllElse", F.lit(False))).alias("deny_all_else"), F.when((F.size(v) > 0) & ~F.array_contains(v, "*") & reads & access, v).alias("named"), *_patterns(),
     )
 
 
+_PATTERNS = ["database_like", "table_like", "path_like", "path_wide", "path_narrow", "database_values", "table_values", "path_values", "database_excludes", "table_excludes", "path_excludes"]
+_FLAGS = ["filtered", "masked", "denies", "scoped"]
+
+
+def _classes(policies: DataFrame) -> DataFrame:
+    """One row for all policies of the same patterns, under an id of its own: they meet the same resources, so
+    what they say together is settled once and not at every resource.
+
+    filtered, masked, denies and scoped hold if one of them says so; granted and excepted are their groups; only
+    is what each that denies all others leaves (null: none of them does), named the columns that all of those
+    which name columns name (null: none does). Groups and columns are counted as rows before any is listed,
+    so a class holds as many as there are distinct ones, however many policies it stands for. Written, so that
+    the policies are read once.
+    """
+    marks = lambda role, c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda g: _mark(role, g))
+    once = lambda role, c: F.when(c, F.array(_mark(role, F.lit("")))).otherwise(F.array().cast(_MARKS))
+    own = F.when(F.col("deny_all_else"), F.array_except("granted", "excepted"))
+    every = F.concat(
+        F.array(_mark("policy", F.lit(""))), marks("granted", F.col("granted")), marks("excepted", F.col("excepted")), marks("only", own), marks("named", F.col("named")),
+        once("onlys", F.col("deny_all_else")), once("nameds", F.col("named").isNotNull()),
+    )
+    flags = [F.bool_or(n).alias(n) for n in _FLAGS]
+    d = _prepared(policies).select(*_PATTERNS, *_FLAGS, F.explode(every).alias("m")).groupBy(*_PATTERNS, "m.role", "m.value").agg(F.count("*").alias("n"), *flags)
+    listed = lambda role: F.array_sort(F.collect_list(F.when(F.col("role") == role, F.col("value")))).alias(role)
+    counted = lambda role: F.collect_list(F.when(F.col("role") == role, F.struct("value", "n"))).alias(role)
+    number = lambda role: F.max(F.when(F.col("role") == role, F.col("n"))).alias(role)
+    d = d.groupBy(*_PATTERNS).agg(*flags, listed("granted"), listed("excepted"), counted("only"), counted("named"), number("onlys"), number("nameds"))
+    of_all = lambda role: F.when(F.col(f"{role}s").isNotNull(), F.transform(F.filter(role, lambda x: x["n"] == F.col(f"{role}s")), lambda x: x["value"])).alias(role)
+    d = d.select(*_PATTERNS, *_FLAGS, "granted", "excepted", of_all("only"), of_all("named"), F.monotonically_increasing_id().alias("id"))
+    return written(d, "policies")
+
+
+_MARKS = "array<struct<role: string, value: string>>"
+
+
+def _mark(role: str, value: Column) -> Column:
+    return F.struct(F.lit(role).alias("role"), value.alias("value"))
+
+
 def _small(d: DataFrame) -> DataFrame:
     """Broadcast up to a checked number of rows; beyond it both sides of an equi-join are shuffled."""
     return F.broadcast(d) if d.limit(MAX_BROADCAST_POLICIES + 1).count() <= MAX_BROADCAST_POLICIES else d
@@ -220,9 +260,9 @@ def _met(resources: DataFrame, policies: DataFrame, condition: Column, names: di
 
     names: the columns of a resource's names as patterns see them. Distinct resources meet the index by
     equality, are then joined with the policies found by id, and only those pairs are held against the
-    expressions.
+    expressions. A policy here is a class of policies (_classes).
     """
-    ready = _prepared(policies)
+    ready = _classes(policies)
     keys, distinct = resources.columns, resources.distinct()
     entries = _entries_of(ready, *names)
     asked = [distinct.select(*keys, F.lit(n).alias("name"), F.explode(_probes(entries, n, c)).alias("p")) for n, c in names.items()]
@@ -234,17 +274,16 @@ def _met(resources: DataFrame, policies: DataFrame, condition: Column, names: di
     return resources.unionByName(found, allowMissingColumns=True)
 
 
-def _decided(met: DataFrame, keys: list[str]) -> DataFrame:
-    """Flags and surviving groups of each resource over the policies that it met.
+def _decided(met: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Flags and surviving groups of each resource over the policies that it met, and more aggregates.
 
     Groups that any policy excepts go; each policy that denies all others then keeps only its own.
     """
-    own = F.array_except("granted", "excepted")
+    some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
     d = met.groupBy(*keys).agg(
-        F.coalesce(F.bool_or(F.col("kind") == ROW_FILTER), F.lit(False)).alias("filtered"), F.coalesce(F.bool_or(F.col("kind") == MASKING), F.lit(False)).alias("masked"),
-        F.coalesce(F.bool_or("denies"), F.lit(False)).alias("denied"), F.coalesce(F.bool_or(F.col("column_scoped") & F.col("grants_read")), F.lit(False)).alias("scoped"),
+        some("filtered").alias("filtered"), some("masked").alias("masked"), some("denies").alias("denied"), some("scoped").alias("scoped"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("granted")))).alias("granted"), F.flatten(F.collect_set("excepted")).alias("excepted"),
-        F.collect_list(F.when(F.col("deny_all_else"), own)).alias("only"), F.array_sort(F.collect_set("id")).alias("policies"),
+        F.collect_set("only").alias("only"), *more,
     )
     left = F.aggregate("only", F.array_except("granted", "excepted"), lambda a, b: F.array_intersect(a, b))
     return d.withColumn("groups", left)
@@ -276,12 +315,10 @@ def route_databases(databases: DataFrame, policies: DataFrame) -> DataFrame:
 
 def route_paths(paths: DataFrame, policies: DataFrame) -> DataFrame:
     """Paths: a deny anywhere above refuses; without any matching grant the file's own mask decides."""
-    p = paths.select("path")
-    found = _paths_met(p, policies)
-    deny = F.coalesce(F.bool_or(F.when(F.col("_denies"), F.col("denies"))), F.lit(False))
-    flags = found.groupBy("path").agg(deny.alias("_deny"))
-    granted = F.col("_grants") | F.col("id").isNull()  # a path without policies stays, too
-    d = _decided(found.where(granted), ["path"]).join(flags, "path")
+    found = _paths_met(paths.select("path"), policies)
+    deny = F.coalesce(F.bool_or("_deny"), F.lit(False)).alias("_deny")
+    granted = {n: F.when(F.col("_grants"), F.col(n)) for n in (*_FLAGS, "granted", "excepted", "only")}
+    d = _decided(found.withColumns({"_deny": F.col("_denies") & F.col("denies")} | granted), ["path"], deny)
     return _routed(d.withColumn("reason", F.when(F.col("_deny"), "deny")), ["path"])
 
 
@@ -292,7 +329,7 @@ def _paths_met(paths: DataFrame, policies: DataFrame) -> DataFrame:
     above it, so what a recursive policy or a deny reaches is found by equality as well.
     """
     at, grants, denies = _trimmed(F.col("path")), covers_path(F.col("path")), covers_path_for_deny(F.col("path"))
-    ready = _prepared(policies)
+    ready = _classes(policies)
     whole = F.transform("path_values", lambda v: F.when(v.rlike("[*?]"), _place(v)).otherwise(_key("under", _trimmed(v))))
     places = F.when(F.col("path_excludes") & (F.size("path_values") > 0), F.array(_key("any", F.lit("")))).otherwise(whole)
     entries = ready.select("id", F.explode(places).alias("p")).select("id", F.lit("path").alias("name"), "p.how", "p.value").distinct()
@@ -321,10 +358,7 @@ def _routed(d: DataFrame, keys: list[str]) -> DataFrame:
 
 def describable_columns(tables: DataFrame, policies: DataFrame) -> DataFrame:
     """database, table, columns: those that every granting policy which names columns names; null: all."""
-    v = F.array_distinct(F.transform(_values("column"), lambda x: F.lower(x)))
-    named = F.when((F.size(v) > 0) & ~F.array_contains(v, "*") & F.col("grants_read") & (F.col("kind") == ACCESS), v)
-    d = _tables_met(tables, policies)
-    d = d.groupBy("database", "table").agg(F.collect_list(named).alias("_lists"))
+    d = _tables_met(tables, policies).groupBy("database", "table").agg(F.collect_set("named").alias("_lists"))
     both = F.aggregate("_lists", F.get("_lists", F.lit(0)), lambda a, b: F.array_intersect(a, b))
     return d.select("database", "table", F.when(F.size("_lists") > 0, F.array_sort(both)).alias("columns"))
 
