@@ -29,3 +29,11 @@ def test_columns_of_alike_policies(spark):
     policies = en.parse_policies(spark.createDataFrame([(json.dumps(p),) for p in made], "value string"))
     tables = spark.createDataFrame([("d", "t"), ("d", "u")], "database string, table string")
     assert {r["table"]: r["columns"] for r in en.describable_columns(tables, policies).collect()} == {"t": ["b", "c"], "u": None}
+
+
+def test_paths_meet_alike_policies_once(spark):
+    policies = _policies(spark, {"path": {"values": ["/data/*"], "isRecursive": True}}, 200)
+    paths = spark.createDataFrame([("/data/a/b",), ("/data/c",), ("/x",)], "path string")
+    assert en._paths_met(paths, policies).count() == 3 + 2
+    got = {r["path"]: (r["verdict"], r["groups"]) for r in en.route_paths(paths, policies).collect()}
+    assert got == {"/data/a/b": ("index", ["all"]), "/data/c": ("index", ["all"]), "/x": ("index", [])}
