@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.times import boundaries, instant
 from tidemark.operators.inventory import DELETED, FULL, INCREMENTAL, LIVE, PENDING, SUCCEEDED
+from tidemark.shared import written
 
 # The words that other systems read.
 MODES = {FULL: "full", INCREMENTAL: "incremental"}
@@ -213,15 +214,36 @@ def seek_page(df: DataFrame, order: list[tuple[str, bool]], *, size: int | None
     """
     size = default if size is None or size < 1 else min(size, most)
     if cursor is not None:
-        body, _, signed = cursor.partition(".")
-        payload = base64.urlsafe_b64decode(body.encode())
-        if not hmac.compare_digest(signed, _signature(secret, f"{scope}{order}", payload)):
-            raise ValueError("the cursor is not of this list")
-        last = [F.lit(v).cast(df.schema[name].dataType) for (name, _), v in zip(order, json.loads(payload))]
-        df = df.where(_following(order, last))
+        df = after_cursor(df, order, cursor, secret=secret, scope=scope)
     return df.orderBy(*(F.col(c).desc() if falls else F.col(c).asc() for c, falls in order)).limit(size)
 
 
+def after_cursor(df: DataFrame, order: list[tuple[str, bool]], cursor: str, *, secret: bytes = b"", scope: str = "") -> DataFrame:
+    """All rows after a cursor, as seek_page takes it."""
+    body, _, signed = cursor.partition(".")
+    payload = base64.urlsafe_b64decode(body.encode())
+    if not hmac.compare_digest(signed, _signature(secret, f"{scope}{order}", payload)):
+        raise ValueError("the cursor is not of this list")
+    last = [F.lit(v).cast(df.schema[name].dataType) for (name, _), v in zip(order, json.loads(payload))]
+    return df.where(_following(order, last))
+
+
+def all_pages(df: DataFrame, order: list[tuple[str, bool]], *, size: int | None = None, default: int = 50, most: int = 500) -> DataFrame:
+    """All rows with page, the number from 1 of the page on which reading on by seek_page meets them.
+
+    One sort for all pages, dealt by ranges and written; a row's place is the number of rows in the ranges before
+    its own, which are as few as there are tasks, and its place there.
+    """
+    size = default if size is None or size < 1 else min(size, most)
+    d = df.orderBy(*(F.col(c).desc() if falls else F.col(c).asc() for c, falls in order))
+    d = written(d.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "pages")
+    ranges = d.groupBy("_range").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select("_range", (before - F.col("_first")).alias("_shift"))
+    place = F.col("_at") + F.col("_shift")
+    return d.join(F.broadcast(ranges), "_range").select(*df.columns, (F.floor(place / size) + 1).cast("int").alias("page"))
+
+
 def next_cursor(page: DataFrame, order: list[tuple[str, bool]], *, secret: bytes = b"", scope: str = "") -> str | None:
     """The cursor after a page's last row, signed on the driver; None after an empty page. Of the page only the
     columns of the order are collected."""
