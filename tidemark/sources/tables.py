@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.text import item_key, joined, tags
 from tidemark.operators.changes import incremental
@@ -81,6 +82,19 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
     return d.select("*", F.col("_metadata.file_name").alias("file"), (F.col("_metadata.row_index") + 1).alias("ordinal"))
 
 
+def numbered_through(spark: SparkSession, path: str) -> DataFrame:
+    """numbered() whose ordinal goes on from file to file, in the order of their paths, so a table in many
+    files has the numbers that it would have in one.
+
+    Only how many rows each file has is counted, from its last row's place, which no column is read for.
+    """
+    d = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"), (F.col("_metadata.row_index") + 1).alias("_row"))
+    files = d.groupBy("_path").agg(F.max("_row").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    d = d.join(F.broadcast(files.select("_path", before.alias("_before"))), "_path")
+    return d.withColumn("ordinal", F.col("_row") + F.col("_before")).drop("_path", "_row", "_before")
+
+
 def mapped(df: DataFrame, columns: dict[str, tuple[str, str]], key: str) -> DataFrame:
     """Rows of numbered() under new names and types, in one pass with three outcomes: mapped, skipped (no key)
     or bad. columns: new name to (column, type).
