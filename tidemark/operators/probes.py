@@ -49,31 +49,40 @@ def touched(tables: Tables, level: int, ids: DataFrame, now) -> Tables:
     return out[0], out[1], out[2]
 
 
-def cascade_probes(tables: Tables, touch: Touch, as_of) -> DataFrame:
-    """One row per check: check, id, child_id, own_moved, child_moved, stale, verdict (ok, fail or skipped).
-
-    Checks: a touched entry moves, a touched engagement and customer move with their first child, and after
-    the customer's update no child is older than its parent, by edge. Without a row to touch a probe is
-    skipped.
-    """
+def chosen(tables: Tables, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The row of each level that is touched: id, before, children, child_id, child_before; at most one."""
     c, e, t = tables
     none = F.lit(None)
     alone = t.where(F.col("effective_modified") < instant(as_of)).orderBy("entry_id").limit(1)
-    chosen = [
+    return (
         fewest_children(c, e, "customer_id", "engagement_id", as_of),
         fewest_children(e, t, "engagement_id", "entry_id", as_of),
         alone.select(F.col("entry_id").alias("id"), F.col("effective_modified").alias("before"), none.cast("long").alias("children"), none.cast("long").alias("child_id"), none.cast("timestamp").alias("child_before")),
-    ]
+    )
+
+
+def _only(after: DataFrame, key: str, ids: DataFrame, id_: str, time: str) -> DataFrame:
+    """id and time of the rows of one id: it is taken to the table, whose rows neither move nor reach the driver."""
+    return after.join(F.broadcast(ids.select(F.col(id_).alias(key))), key, "left_semi").select(F.col(key).alias(id_), F.col("effective_modified").alias(time))
+
+
+def cascade_probes(tables: Tables, touch: Touch, as_of, picks: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row per check: check, id, child_id, own_moved, child_moved, stale, verdict (ok, fail or skipped).
+
+    Checks: a touched entry moves, a touched engagement and customer move with their first child, and after
+    the customer's update no child is older than its parent, by edge. Without a row to touch a probe is
+    skipped. Several probes of the same tables can share picks, what chosen() found in them.
+    """
+    none = F.lit(None)
+    picks = picks or chosen(tables, as_of)
     out, after_customer = None, None
-    for level, pick in enumerate(chosen):
+    for level, pick in enumerate(picks):
         after = touch(tables, level, pick.select("id"))
         if level == 0:
             after_customer = after
-        own = after[level].select(F.col(KEYS[level]).alias("id"), F.col("effective_modified").alias("after"))
-        d = pick.join(own, "id", "left")
+        d = pick.join(F.broadcast(_only(after[level], KEYS[level], pick, "id", "after")), "id", "left")
         if level < 2:
-            below = after[level + 1].select(F.col(KEYS[level + 1]).alias("child_id"), F.col("effective_modified").alias("child_after"))
-            d = d.join(below, "child_id", "left")
+            d = d.join(F.broadcast(_only(after[level + 1], KEYS[level + 1], pick, "child_id", "child_after")), "child_id", "left")
         else:
             d = d.withColumn("child_after", none.cast("timestamp"))
         moved = lambda a, b: F.coalesce(F.col(a) > F.col(b), F.lit(False))
