@@ -31,8 +31,10 @@ GROUP_ROWS = 384
 TOKENIZER = "word_bpe_49k.json"
 #: Words of a generation of a tokenizer's kept parts: some 30 MB, of parts of 64 code points at most.
 _CACHE_WORDS = 150_000
+#: Runs of signs, of 64 code points at most, whose ids a tokenizer keeps.
+_STOPS = 10_000
 _MARK = "\x01"
-_STOPPED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[,.]")
+_STOPPED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{1,64})([!-/:-@\\[-`{-~]*)")
 
 
 def _latin(text: str) -> bool:
@@ -48,19 +50,21 @@ def _latin(text: str) -> bool:
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer's rules never look across a blank or a line feed, so the parts between those are
-    encoded on their own and their ids are kept. Of kept parts there are two generations of at most
+    The tokenizer's rules never look across a blank or a line feed and take a run of letters for one piece,
+    so the parts between those are encoded on their own and their ids are kept. Of kept parts there are two generations of at most
     _CACHE_WORDS each; once the younger is full it becomes the older, and what is met again moves on. A task
     forgets them at its end, so a worker that goes on to other work holds none.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
-        self.stops = dict(zip(",.", self._ids([",", "."])))
+        self.stops: dict[str, bytes] = {}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {k: level.pre_tokenize_str(chr(k))[0][0] for k in range(0xC0, 0x100)}
 
     def forget(self) -> None:
         self.older: dict[str, bytes] = {}
@@ -80,16 +84,46 @@ class WordTokenizer:
         return out
 
     def _learn(self, new: set[str]) -> None:
-        """Parts of Latin letters and one stop have the ids of the letters, then those of the stop."""
-        kept, older = self.kept, self.older
-        kept.update([(p, older[p]) for p in new if p in older])
-        stopped = [p for p in new if p[-1:] in self.stops and p not in kept and _STOPPED.fullmatch(p)]
-        plain = new.union(p[:-1] for p in stopped).difference(kept, stopped)
-        kept.update([(p, older[p]) for p in plain if p in older])
-        plain = [p for p in plain if p not in kept]
-        kept.update(self._parts([p for p in plain if _MARK not in p]))
-        kept.update((p, self._ids([p])[0]) for p in plain if _MARK in p)
-        kept.update((p, kept[p[:-1]] + self.stops[p[-1]]) for p in stopped)
+        """Parts of Latin letters and then ASCII signs have the ids of the letters, then those of the signs;
+        small letters alone are one piece of the tokenizer's rules, which its model takes as it is."""
+        kept, older, stops = self.kept, self.older, self.stops
+        stopped, heads, signs, words, rest = [], [], [], set(), []
+        for p in new:
+            if p in older:
+                kept[p] = older[p]
+            elif not (m := _STOPPED.fullmatch(p)):
+                rest.append(p)
+            elif not m[2]:
+                words.add(p)
+            else:
+                stopped.append(p)
+                heads.append(head := m[1])
+                signs.append(m[2])
+                if head in older:
+                    kept[head] = older[head]
+                elif head not in kept:
+                    words.add(head)
+        kept.update(self._pieces([w for w in words if w.islower()]))
+        kept.update(self._parts([w for w in words if not w.islower()]))
+        kept.update(self._parts([p for p in rest if _MARK not in p]))
+        kept.update((p, self._ids([p])[0]) for p in rest if _MARK in p)
+        if strange := set(signs).difference(stops):
+            found = self._parts(list(strange))
+            stops = stops | found
+            if len(stops) <= _STOPS:
+                self.stops |= {s: ids for s, ids in found.items() if len(s) <= 64}
+        kept.update(zip(stopped, [kept[head] + stops[s] for head, s in zip(heads, signs)]))
+
+    def _pieces(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of small Latin letters, by the model alone."""
+        tokenize, out = self.tokenizer.model.tokenize, {}
+        for at in range(0, len(words), 500):
+            own = words[at : at + 500]
+            found = [tokenize(w if w.isascii() else w.translate(self.bytes_of)) for w in own]
+            ids = np.array([x.id for f in found for x in f], "<u4").tobytes()
+            ends = (np.cumsum([len(f) for f in found]) * 4).tolist()
+            out.update(zip(own, (ids[i:j] for i, j in zip([0, *ends], ends))))
+        return out
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
